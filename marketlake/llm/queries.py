@@ -17,6 +17,12 @@ def _file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketlake.llm import mixing
+
+    return mixing.report(table(spark, sf_dir, "documents"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from marketlake.llm import token_files
 
@@ -37,6 +43,12 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backtrack_bpe.digests(table(spark, sf_dir, "documents"), _file("word_bpe_49k.json"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketlake.llm import quality
+
+    return quality.report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
