@@ -49,6 +49,12 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketlake.llm import language
+
+    return language.report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
