@@ -17,6 +17,12 @@ def _file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketlake.llm import secrets
+
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from marketlake.llm import mixing
 
