@@ -17,6 +17,12 @@ def _file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketlake.llm import cover_tree
+
+    return cover_tree.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from marketlake.llm import secrets
 
