@@ -23,6 +23,12 @@ def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cover_tree.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.98)
 
 
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketlake.llm import host_paths
+
+    return host_paths.main_text(table(spark, sf_dir, "pages"))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from marketlake.llm import secrets
 
