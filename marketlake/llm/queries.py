@@ -17,6 +17,12 @@ def _file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketlake.llm import prefix_tree
+
+    return prefix_tree.linked(table(spark, sf_dir, "documents"), size=3, threshold="9/10")
+
+
 def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     from marketlake.llm import cover_tree
 
