@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from marketlake.llm.common import text_slices
-from marketlake.llm.pretokens import read_specials, read_spec
+from marketlake.llm.pretokens import byte_alphabet, read_specials, read_spec
 
 #: Stands for the end of a word inside this module; it is no letter of the byte alphabet.
 END = "\x00"
@@ -24,13 +24,6 @@ END = "\x00"
 MEMORY = 600_000
 
 
-def byte_alphabet() -> list[str]:
-    """The character that stands for each byte: itself if printable Latin-1, else the next ones from U+0100 on."""
-    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
-    hidden = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in set(shown))}
-    return [hidden.get(b, chr(b)) for b in range(256)]
-
-
 class Encoder:
     def __init__(self, spec: dict):
         model = spec["model"]

@@ -22,10 +22,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketlake.llm.common import text_slices
-from marketlake.llm.pretokens import Specials, read_specials, read_spec
+from marketlake.llm.pretokens import Specials, byte_alphabet, read_specials, read_spec
 
 #: Words whose ids a task remembers; beyond it the memory starts anew.
-MEMORY = 600_000
+MEMORY = 400_000
 #: For each control byte the lengths of its four codes.
 LENGTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)], np.uint8)
 
@@ -67,21 +67,27 @@ class LibraryEncoder:
 
         spec = read_spec(path)
         self.specials: Specials = read_specials(spec)
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
+        self.model = Tokenizer.from_file(path).model
+        self.alphabet = dict(enumerate(byte_alphabet()))
         self.seen: dict[str, bytes] = {}
 
+    def _word(self, word: str) -> bytes:
+        """A word goes to the library's model in the byte alphabet, as its pre-tokenizer would hand it over."""
+        special = self.specials.ids.get(word)
+        if special is not None:
+            return np.array([special], "<u4").tobytes()
+        if not (word.isascii() and word.isprintable()):
+            word = "".join(map(self.alphabet.__getitem__, word.encode()))
+        return np.array([t.id for t in self.model.tokenize(word)], "<u4").tobytes()
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         lists = [self.specials.words(t) for t in texts]
-        fresh = list(set().union(*lists) - self.seen.keys())
+        fresh = set().union(*lists) - self.seen.keys()
         if len(self.seen) + len(fresh) > MEMORY:
             self.seen.clear()
-            fresh = list(set().union(*lists))
-        for at in range(0, len(fresh), 20_000):
-            some = fresh[at : at + 20_000]
-            for w, x in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.seen[w] = np.array(x.ids, "<u4").tobytes()
+            fresh = set().union(*lists)
+        for w in fresh:
+            self.seen[w] = self._word(w)
         return [b"".join(map(self.seen.__getitem__, x)) for x in lists]
 
 
