@@ -162,7 +162,7 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         lists = [self.specials.words(t) for t in texts]
-        fresh = set().union(*lists) - self.seen.keys()
+        fresh = set().union(*lists).difference(self.seen)
         if len(self.seen) + len(fresh) > MEMORY:
             self.seen.clear()
             fresh = set().union(*lists)

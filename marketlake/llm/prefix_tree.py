@@ -55,7 +55,7 @@ def gram_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
     A text of fewer words than `size` has one n-gram, all of it; one without words has none.
     """
     lists = [t.encode().lower().split() if t else [] for t in texts]
-    fresh = set().union(*lists) - _seen.keys()
+    fresh = set().union(*lists).difference(_seen)
     if len(_seen) + len(fresh) > MEMORY:
         _seen.clear()
         fresh = set().union(*lists)

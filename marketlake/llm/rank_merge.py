@@ -158,7 +158,7 @@ def count_tokens(texts: list[str | None], model_file: str) -> list[int]:
         _TABLES[model_file] = (load_pieces(model_file), {})
     table, seen = _TABLES[model_file]
     lists = [PRETOKEN.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-    fresh = list(set().union(*lists) - seen.keys())
+    fresh = list(set().union(*lists).difference(seen))
     if len(seen) + len(fresh) > MEMORY:
         seen.clear()
         fresh = list(set().union(*lists))
