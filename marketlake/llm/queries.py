@@ -11,7 +11,7 @@ from marketlake.llm.common import shared_dir, table
 from marketlake.shipping import ship
 
 
-def _file(name: str) -> str:
+def tokenizer_file(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -51,20 +51,20 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from marketlake.llm import token_files
 
     path = f"{shared_dir(spark)}/token-files-{uuid.uuid4().hex}"
-    token_files.write(table(spark, sf_dir, "documents"), path, _file("word_bpe_49k.json"), end_id=2)
+    token_files.write(table(spark, sf_dir, "documents"), path, tokenizer_file("word_bpe_49k.json"), end_id=2)
     return token_files.read(spark, path)
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from marketlake.llm import rank_merge
 
-    return rank_merge.token_counts(table(spark, sf_dir, "documents"), _file("piece_bpe_32k.model"))
+    return rank_merge.token_counts(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from marketlake.llm import backtrack_bpe
 
-    return backtrack_bpe.digests(table(spark, sf_dir, "documents"), _file("word_bpe_49k.json"))
+    return backtrack_bpe.digests(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
