@@ -108,8 +108,14 @@ def prefix_size(n: int, t: Fraction) -> int:
     return 0 if least == n and int(n / t) == n else n - least + 1
 
 
-def join(sets: list[np.ndarray], labels: list, order: Order, t: Fraction) -> list[tuple[int, int]]:
-    """Pairs (i, j) of linked sets that join what hangs apart; sets of equal labels hang together from the start."""
+def join(sets: list[np.ndarray], labels: list, order: Order, t: Fraction, whole: list[int] | None = None) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Pairs (i, j) of linked sets that join what hangs apart; sets of equal labels hang together from the start.
+
+    With `whole` the sets are but heads (the first n-grams in order) of sets of those sizes. Then the second result tells
+    of each set whether its head lets it link with any other: with an overlap so far, no more can follow than what
+    remains beyond the n-grams that both heads cover.
+    """
+    heads = whole is not None
     grams, inverse = np.unique(np.concatenate(sets), return_inverse=True)
     place = np.empty(len(grams), np.int64)
     place[np.argsort(order.ranks(grams), kind="stable")] = np.arange(len(grams))
@@ -119,6 +125,9 @@ def join(sets: list[np.ndarray], labels: list, order: Order, t: Fraction) -> lis
     rows = [rows[i] for i in by]
     n = len(rows)
     size = np.array([len(r) for r in rows])
+    full = np.array([whole[i] for i in by]) if heads else size
+    reach = np.array([r[-1] for r in rows]) if heads else np.full(n, len(grams))  # how far a set is known
+    alive = np.zeros(n, bool)
     first: dict = {}
     comp = np.array([first.setdefault(labels[i], k) for k, i in enumerate(by)])
     # how far neighbours in the sorted order run alike
@@ -136,37 +145,48 @@ def join(sets: list[np.ndarray], labels: list, order: Order, t: Fraction) -> lis
             member[rows[k], k - at] = True
         flat = np.concatenate([rows[k] + (k - at) * len(grams) for k in walkers])
         begin = np.r_[0, np.cumsum(size[walkers])]
-        stack = [(0, n, 0, walkers, np.zeros(len(walkers), np.int64))]
+        stack = [(0, n, 0, walkers, np.zeros(len(walkers), np.int64), np.zeros(len(walkers), np.int64))]
         while stack:
-            lo, hi, depth, who, overlap = stack.pop()
+            lo, hi, depth, who, overlap, used = stack.pop()
             # each pair is met once: by the walker that sorts first
             stay = who < hi - 1
-            if (comp[lo:hi] == comp[lo]).all():
+            if heads:
+                if alive[lo:hi].all():
+                    stay &= ~alive[who]
+            elif (comp[lo:hi] == comp[lo]).all():
                 stay &= comp[who] != comp[lo]
-            who, overlap = who[stay], overlap[stay]
+            who, overlap, used = who[stay], overlap[stay], used[stay]
             if not len(who):
                 continue
             to = size[lo] if hi - lo == 1 else int(min(size[lo], alike[lo + 1 : hi].min()))
             if to > depth:
                 segment = rows[lo][depth:to]
                 overlap = overlap + member[np.ix_(segment, who - at)].sum(axis=0)
-                own = size[who] - (np.searchsorted(flat, (who - at) * len(grams) + segment[-1], side="right") - begin[who - at])
+                used = used + np.searchsorted(segment, reach[who], side="right")
+                own = full[who] - (np.searchsorted(flat, (who - at) * len(grams) + segment[-1], side="right") - begin[who - at])
             else:
-                own = size[who] - overlap
-            low, high = size[lo:hi].min(), size[lo:hi].max()
-            stay = overlap + np.minimum(own, high - to) >= needed(size[who], low, t)
-            who, overlap = who[stay], overlap[stay]
+                own = full[who] - overlap
+            low, high = full[lo:hi].min(), full[lo:hi].max()
+            most = overlap + np.minimum(own, high - used)
+            stay = most >= needed(full[who], low, t)
+            who, overlap, used, own = who[stay], overlap[stay], used[stay], own[stay]
             if not len(who):
                 continue
             if size[lo] == to:
-                for k in np.flatnonzero((who < lo) & (overlap >= needed(size[who], size[lo], t))):
+                met = (who < lo) & (overlap + np.minimum(own, full[lo] - used) >= needed(full[who], full[lo], t))
+                if heads and met.any():
+                    alive[lo] = True
+                    alive[who[met]] = True
+                for k in np.flatnonzero(met) if not heads else ():
                     if comp[who[k]] != comp[lo]:
                         links.append((by[who[k]], by[lo]))
                         comp[comp == comp[who[k]]] = comp[lo]
                 lo += 1
             borders = [lo, *(np.flatnonzero(alike[lo + 1 : hi] == to) + lo + 1).tolist(), hi] if hi > lo else []
-            stack.extend((a, b, to, who, overlap) for a, b in zip(borders[:-1], borders[1:], strict=True))
-    return links
+            stack.extend((a, b, to, who, overlap, used) for a, b in zip(borders[:-1], borders[1:], strict=True))
+    found = np.zeros(n, bool)
+    found[by] = alive
+    return links, found
 
 
 def _frequent(docs: DataFrame, size: int) -> np.ndarray:
@@ -238,6 +258,12 @@ def linked(docs: DataFrame, size: int = 5, threshold: str = "4/5", id_col: str =
     hubs = own.groupBy("gram").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last").select("gram", "hub")
     met = own.join(hubs, "gram").groupBy("hub", "node").agg(F.max("n").alias("n"))
     met = written(met, "met")
+    # a hub whose documents all hang on one smaller hub too, in one chunk, adds nothing: they are compared there
+    counts = met.groupBy("hub").agg(F.count("*").alias("docs"), F.sum("n").alias("grams"))
+    small = counts.where((F.col("docs") <= CHUNK) & (F.col("grams") <= CHUNK_GRAMS)).select(F.col("hub").alias("lead"))
+    lead = met.groupBy("node").agg(F.min("hub").alias("lead"))
+    idle = met.join(lead, "node").groupBy("hub").agg(F.min("lead").alias("lead"), F.max("lead").alias("last")).where("lead = last and lead < hub").join(small, "lead", "left_semi").select("hub")
+    met = written(met.join(idle, "hub", "left_anti"), "groups")
     counts = met.groupBy("hub").agg(F.count("*").alias("docs"), F.sum("n").alias("grams"))
     chunks = counts.select("hub", F.greatest(F.ceil(F.col("docs") / CHUNK), F.ceil(F.col("grams") / CHUNK_GRAMS)).cast("int").alias("chunks"))
     # the hub goes into each of its chunks
@@ -245,7 +271,25 @@ def linked(docs: DataFrame, size: int = 5, threshold: str = "4/5", id_col: str =
     one = F.array(F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     dealt = met.join(chunks, "hub").select("hub", "node", F.col("node").alias("label"), F.explode(F.when(F.col("node") == F.col("hub"), every).otherwise(one)).alias("part"), F.lit(0).alias("other"))
 
+    heads = described.where("size(head) > 0").join(nodes, "mark").where("doc_id = node").select(F.col("node").alias("of"), F.col("n").alias("whole"), "head")
+
+    def hopeful(dealt: DataFrame) -> DataFrame:
+        """Of each group those that, by their heads, may link with another of it."""
+        headed = dealt.join(heads, F.col("node") == F.col("of")).select("hub", "part", "other", "node", "label", "whole", "head")
+
+        def group(table: pa.Table) -> pa.Table:
+            alive = np.zeros(table.num_rows, bool)
+            if table.num_rows > 1:
+                column = table.column("head").combine_chunks()
+                ends, flat = column.offsets.to_numpy(), column.values.to_numpy().view(np.uint64)
+                sets = [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+                alive = join(sets, list(range(len(sets))), Order(shared.value), t, table.column("whole").to_pylist())[1]
+            return table.select(["hub", "part", "other", "node", "label"]).filter(pa.array(alive))
+
+        return headed.groupBy("hub", "part", "other").applyInArrow(group, f"hub {kind}, part int, other int, node {kind}, label {kind}")
+
     def settle(dealt: DataFrame) -> DataFrame:
+        dealt = written(hopeful(dealt).distinct(), "hopeful")
         texts = dealt.join(rows, F.col("node") == F.col("doc_id")).select("hub", "part", "other", "node", "label", "text")
 
         def group(table: pa.Table) -> pa.Table:
@@ -257,7 +301,7 @@ def linked(docs: DataFrame, size: int = 5, threshold: str = "4/5", id_col: str =
                 if len(s):
                     kept.setdefault((i, s.tobytes()), (i, label, s))
             known = list(kept.values())
-            pairs = join([s for *_, s in known], [label for _, label, _ in known], order, t) if len(known) > 1 else []
+            pairs = join([s for *_, s in known], [label for _, label, _ in known], order, t)[0] if len(known) > 1 else []
             node_type = table.schema.field("node").type
             return pa.table({"a": pa.array([known[i][0] for i, _ in pairs], node_type), "b": pa.array([known[j][0] for _, j in pairs], node_type)})
 
