@@ -24,7 +24,7 @@ def funding_paid(positions: DataFrame, funding: DataFrame) -> DataFrame:
 
     Months bucket the range join: a position goes to each month that it spans, a payment to its own.
     """
-    p = positions.withColumn("bucket", F.explode(F.expr("sequence(trunc(entry, 'month'), trunc(exit, 'month'), interval 1 month)")))
+    p = positions.where("entry < exit").withColumn("bucket", F.explode(F.expr("sequence(trunc(entry, 'month'), trunc(exit, 'month'), interval 1 month)")))
     f = funding.withColumn("bucket", F.trunc("paid_at", "month"))
     j = p.join(f, ["symbol", "bucket"]).where("paid_at > entry and paid_at <= exit")
     sign = F.when(F.col("side") == "long", -1).otherwise(1)
