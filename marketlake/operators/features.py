@@ -2,26 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from marketlake.functions.ewm import ewm
 
-_ALL = Window.partitionBy("symbol").orderBy("open_time")
-_RUN = Window.partitionBy("symbol", "section").orderBy("open_time")
-_DAY = Window.partitionBy("symbol", "day").orderBy("open_time").rowsBetween(Window.unboundedPreceding, 0)
+
+def _in_order(*keys: str) -> WindowSpec:
+    return Window.partitionBy(*keys).orderBy("open_time")
+
+
+def _so_far(*keys: str) -> WindowSpec:
+    return _in_order(*keys).rowsBetween(Window.unboundedPreceding, 0)
+
+
+def _run() -> WindowSpec:
+    return _in_order("symbol", "section")
 
 
 def with_section(grid: DataFrame) -> DataFrame:
     """Adds data_valid, section (gaps so far) and row_in_section (valid bars of the section so far; null at a gap)."""
     df = grid.withColumn("data_valid", F.col("close").isNotNull())
-    df = df.withColumn("section", F.sum((~F.col("data_valid")).cast("long")).over(_ALL.rowsBetween(Window.unboundedPreceding, 0)))
-    n = F.count("close").over(_RUN.rowsBetween(Window.unboundedPreceding, 0))
+    df = df.withColumn("section", F.sum((~F.col("data_valid")).cast("long")).over(_so_far("symbol")))
+    n = F.count("close").over(_so_far("symbol", "section"))
     return df.withColumn("row_in_section", F.when(F.col("data_valid"), n))
 
 
 def _before() -> Column:
-    return F.lag("close").over(_RUN)
+    return F.lag("close").over(_run())
 
 
 def returns(df: DataFrame) -> DataFrame:
@@ -39,14 +47,14 @@ def true_range(df: DataFrame) -> DataFrame:
 def volatility(df: DataFrame, windows: tuple[int, ...] = (30, 60)) -> DataFrame:
     """Adds the sample deviation of log returns over full windows."""
     for w in windows:
-        over = _RUN.rowsBetween(-(w - 1), 0)
+        over = _run().rowsBetween(-(w - 1), 0)
         df = df.withColumn(f"volatility_{w}", F.when(F.count("log_return").over(over) == w, F.stddev_samp("log_return").over(over)))
     return df
 
 
 def zscore(df: DataFrame, n: int = 20) -> DataFrame:
     """Adds the distance of the close from its mean over n bars, in sample deviations; null if they are 0."""
-    over = _RUN.rowsBetween(-(n - 1), 0)
+    over = _run().rowsBetween(-(n - 1), 0)
     z = F.try_divide(F.col("close") - F.avg("close").over(over), F.stddev_samp("close").over(over))
     return df.withColumn(f"zscore_{n}", F.when(F.count("close").over(over) == n, z))
 
@@ -54,8 +62,8 @@ def zscore(df: DataFrame, n: int = 20) -> DataFrame:
 def vwap_day(df: DataFrame) -> DataFrame:
     """Adds the volume-weighted price of the UTC day so far; null at and after the day's first gap, and before any volume."""
     df = df.withColumn("day", F.to_date("open_time"))
-    whole = F.min(F.col("close").isNotNull().cast("int")).over(_DAY) == 1
-    v = F.try_divide(F.sum("quote_volume").over(_DAY), F.nullif(F.sum("volume").over(_DAY), F.lit(0.0)))
+    whole = F.min(F.col("close").isNotNull().cast("int")).over(_so_far("symbol", "day")) == 1
+    v = F.try_divide(F.sum("quote_volume").over(_so_far("symbol", "day")), F.nullif(F.sum("volume").over(_so_far("symbol", "day")), F.lit(0.0)))
     return df.withColumn("vwap_utc_day", F.when(whole, v)).drop("day")
 
 
