@@ -118,8 +118,7 @@ def mixed(docs: DataFrame) -> DataFrame:
 
     Rows of one id and text share a plan row; ids and texts are matched by value, nulls included.
     """
-    own = docs.columns
     p = plan(docs, split=False).where("times > 0").groupBy("order").agg(F.max("positions").alias("positions"))
-    keyed = docs.withColumn("_order", F.xxhash64("doc_id", "text"))
-    df = keyed.join(p, keyed["_order"] == p["order"]).withColumn("_at", F.explode("positions"))
-    return df.orderBy("_at", "_order").select(*own)
+    packed = docs.select(F.struct("*").alias("row"), F.xxhash64("doc_id", "text").alias("key"))
+    df = packed.join(p, F.col("key") == F.col("order")).withColumn("at", F.explode("positions"))
+    return df.orderBy("at", "key").select("row.*")

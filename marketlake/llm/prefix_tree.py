@@ -341,12 +341,10 @@ def keep_one(docs: DataFrame, size: int = 5, threshold: str = "4/5") -> DataFram
     """
     found = linked(docs, size, threshold)
     stay = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_times"), F.max("n_shingles").alias("_n"))
-    own = docs.columns
-    stay = written(stay.select(F.col("doc_id").alias("_id"), ((F.col("_times") > 1) & (F.col("_n") > 0)).alias("_again")), "stay")
-    df = docs.join(stay, F.col("doc_id") == F.col("_id"))
-    again = stay.where("_again")
-    if again.isEmpty():
-        kept = df.select(*own)
-    else:
-        kept = df.where(~F.col("_again")).select(*own).unionByName(df.where("_again").dropDuplicates(["doc_id"]).select(*own))
-    return kept.unionByName(docs.where("doc_id is null"))
+    stay = written(stay.select(F.col("doc_id").alias("id"), ((F.col("_times") > 1) & (F.col("_n") > 0)).alias("again")), "stay")
+    packed = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("key"))
+    df = packed.join(stay, F.col("key") == F.col("id"))
+    kept = df
+    if not stay.where("again").isEmpty():
+        kept = df.where(~F.col("again")).unionByName(df.where("again").dropDuplicates(["key"]))
+    return kept.select("row.*").unionByName(docs.where(F.col("doc_id").isNull()))

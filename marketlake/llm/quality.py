@@ -125,10 +125,10 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows that the rules keep, with their columns as they are.
+    """The rows that the rules keep, with their columns as they are, whatever their names.
 
     Texts are read twice and never shuffled: once for the sketch, once for the filter beside the small table of fences.
     """
-    own = docs.columns
     limits = written(fences(sketch(with_counts(docs.select("lang", "source", "text")))), "fences")
-    return judge(with_counts(docs), limits).where("q_kept").select(*own)
+    rows = docs.select(F.struct("*").alias("q_row"), "lang", "source", "text")
+    return judge(with_counts(rows), limits).where("q_kept").select("q_row.*")

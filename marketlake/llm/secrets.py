@@ -144,17 +144,18 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, path: str | None =
 
 def redact(docs: DataFrame, mark: str = "[secret]", path: str | None = "source") -> DataFrame:
     """All rows, with each secret in their text replaced by the mark (and n_chars, if there is one, made to fit)."""
-    own = docs.columns
-    found = scan(docs, path=path).where("is_secret").groupBy("doc_key").agg(F.collect_set("value").alias("_values"))  # of one text
-    keyed = docs.withColumn("_key", F.xxhash64("text"))
-    df = keyed.join(found, keyed["_key"] == found["doc_key"], "left")
+    found = scan(docs, path=path).where("is_secret").groupBy("doc_key").agg(F.collect_set("value").alias("values"))  # of one text
+    packed = docs.select(F.struct("*").alias("row"), F.xxhash64("text").alias("key"))
+    df = packed.join(found, F.col("key") == F.col("doc_key"), "left")
     # longer values first, so that one that holds another goes whole
-    values = F.expr("array_sort(_values, (a, b) -> case when length(a) <> length(b) then length(b) - length(a) when a < b then -1 when a > b then 1 else 0 end)")
-    clean = F.when(F.col("_values").isNull(), F.col("text")).otherwise(F.aggregate(values, F.col("text"), lambda t, v: F.replace(t, v, F.lit(mark))))
-    df = df.withColumn("text", clean)
-    if "n_chars" in own:
-        df = df.withColumn("n_chars", F.when(F.col("_values").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return df.select(*own)
+    values = F.expr("array_sort(values, (a, b) -> case when length(a) <> length(b) then length(b) - length(a) when a < b then -1 when a > b then 1 else 0 end)")
+    text = F.col("row.text")
+    clean = F.when(F.col("values").isNull(), text).otherwise(F.aggregate(values, text, lambda t, v: F.replace(t, v, F.lit(mark))))
+    df = df.withColumn("row", F.col("row").withField("text", clean))
+    if "n_chars" in docs.columns:
+        size = F.length("row.text").cast(docs.schema["n_chars"].dataType)
+        df = df.withColumn("row", F.col("row").withField("n_chars", F.when(F.col("values").isNull(), F.col("row.n_chars")).otherwise(size)))
+    return df.select("row.*")
 
 
 def report(docs: DataFrame) -> DataFrame:
