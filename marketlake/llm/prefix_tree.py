@@ -1,9 +1,10 @@
 """N-gram Jaccard join by prefix trees: documents link when their sets of word n-grams overlap enough.
 
 All n-grams have one order: first those that are not frequent, by hash, then the frequent ones, the most frequent last. Two
-sets that overlap enough share one of their first n-grams in that order, so documents meet under those. Under each, all
-hang on the smallest document (the hub), and the documents of a hub, in chunks of bounded size, go into a prefix tree of
-their ordered sets. All documents of a chunk walk down the tree together: a node's overlap is counted once for all sets
+sets that overlap enough share some of their first n-grams in that order (their heads), so documents meet under those,
+passing over as many of the most shared ones as a head is longer than it must be. Under each, all hang on the smallest
+document (the hub), and the documents of a hub, in chunks of bounded size, go into a prefix tree of their ordered heads,
+and those whose heads leave hope into one of their whole sets. All documents of a chunk walk down the tree together: a node's overlap is counted once for all sets
 below it, and a subtree is left as soon as what remains of the sets cannot make up the overlap that is needed, or all its
 documents already hang together with the one that walks. Only links that join something leave a task.
 
@@ -17,6 +18,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from fractions import Fraction
+from itertools import chain
 from math import ceil
 
 import numpy as np
@@ -34,6 +36,8 @@ CHUNK, CHUNK_GRAMS = 256, 1_000_000
 FREQUENT = 1 << 17
 #: Counters of a task that looks for frequent n-grams; one in more than a thousandth of its documents is reported.
 COUNTERS, SHARE = 1 << 20, 1000
+#: A head is longer than it must be by one in SPARE of a set's n-grams; so many of its most shared n-grams are passed over.
+SPARE = 20
 #: Cells of the membership table that a walk uses at once.
 CELLS = 1 << 24
 #: Words whose hashes a task remembers.
@@ -61,21 +65,26 @@ def gram_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
         fresh = set().union(*lists)
     for w in fresh:
         _seen[w] = xxhash.xxh3_64_intdigest(w)
-    out = []
-    for words in lists:
-        n = len(words)
-        h = np.fromiter(map(_seen.__getitem__, words), np.uint64, n)
-        span = min(size, n)
-        if not n:
-            out.append(h)
-            continue
-        acc = np.full(n - span + 1, span, np.uint64)
-        for j in range(span):
-            acc = _mix((acc + _MIX[0]) * _MIX[0] ^ h[j : n - span + 1 + j])
-        out.append(np.unique(acc))
+    sizes = [len(words) for words in lists]
+    h = np.fromiter(map(_seen.__getitem__, chain.from_iterable(lists)), np.uint64, sum(sizes))
+    whole = _grams(h, size) if len(h) >= size else h[:0]
+    out, at = [], 0
+    for n in sizes:
+        out.append(np.unique(whole[at : at + n - size + 1]) if n >= size else _grams(h[at : at + n], n))
+        at += n
     return out
 
 
+def _grams(h: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all runs of `size` words, from the words' hashes."""
+    if not size:
+        return h
+    acc = np.full(len(h) - size + 1, size, np.uint64)
+    for j in range(size):
+        acc = _mix((acc + _MIX[0]) * _MIX[0] ^ h[j : len(h) - size + 1 + j])
+    return acc
+
+
 class Order:
     """The order of all n-grams: keys of frequent ones sorted by hash, with their rank."""
 
@@ -102,10 +111,15 @@ def needed(a: np.ndarray | int, b: np.ndarray | int, t: Fraction) -> np.ndarray
     return -((-p * (a + b)) // q)
 
 
+def spare(n: int) -> int:
+    """n-grams that a head has beyond the least; so many of a document's, those that most heads hold, need not be met under."""
+    return n // SPARE
+
+
 def prefix_size(n: int, t: Fraction) -> int:
-    """n-grams of a set that a linked set must share one of; 0 if only an equal set can be linked."""
+    """Size of a head: linked sets share 1 + spare of their heads' n-grams; 0 if only an equal set can be linked."""
     least = ceil(t * n)
-    return 0 if least == n and int(n / t) == n else n - least + 1
+    return 0 if least == n and int(n / t) == n else min(n, n - least + 1 + spare(n))
 
 
 def join(sets: list[np.ndarray], labels: list, order: Order, t: Fraction, whole: list[int] | None = None) -> tuple[list[tuple[int, int]], np.ndarray]:
@@ -194,8 +208,12 @@ def _frequent(docs: DataFrame, size: int) -> np.ndarray:
 
     def merge(keys: np.ndarray, counts: np.ndarray, more: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         k, c = np.unique(np.concatenate(more), return_counts=True)
-        both, at = np.unique(np.r_[keys, k], return_inverse=True)
-        total = np.bincount(at, np.r_[counts, c], len(both)).astype(np.int64)
+        seen = np.searchsorted(keys, k)
+        hit = (keys[np.minimum(seen, len(keys) - 1)] == k) if len(keys) else np.zeros(len(k), bool)
+        counts = counts.copy()
+        counts[seen[hit]] += c[hit]
+        both = np.insert(keys, seen[~hit], k[~hit])
+        total = np.insert(counts, seen[~hit], c[~hit])
         if len(both) > COUNTERS:
             total -= np.partition(total, len(both) - COUNTERS)[len(both) - COUNTERS]
             both, total = both[total > 0], total[total > 0]
@@ -254,9 +272,15 @@ def linked(docs: DataFrame, size: int = 5, threshold: str = "4/5", id_col: str =
 
     described = written(rows.mapInArrow(describe, f"doc_id {kind}, n long, mark binary, head array<long>"), "sets")
     nodes = written(described.where("mark is not null").groupBy("mark").agg(F.min("doc_id").alias("node")), "nodes")
-    own = described.where("size(head) > 0").join(nodes, ["mark"]).where("doc_id = node").dropDuplicates(["node", "mark"]).select("node", "n", F.explode("head").alias("gram"))
-    hubs = own.groupBy("gram").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last").select("gram", "hub")
-    met = own.join(hubs, "gram").groupBy("hub", "node").agg(F.max("n").alias("n"))
+    heads = described.where("size(head) > 0").join(nodes, "mark").where("doc_id = node").select(F.col("node").alias("of"), F.col("n").alias("whole"), "mark", "head").dropDuplicates(["of", "mark"])
+    own = heads.select(F.col("of").alias("node"), "mark", F.explode("head").alias("gram"))
+    # a document is in a group for each shared n-gram of its head, but for the `spare` that most heads hold: linked sets
+    # share one n-gram more than that, and the one that fewest heads hold stays on both sides
+    hubs = own.select("node", "gram").groupBy("gram").agg(F.min("node").alias("hub"), F.max("node").alias("last"), F.count("*").alias("held")).where("hub < last").select("gram", "hub", "held")
+    several = own.join(hubs, "gram").groupBy("node", "mark").agg(F.sort_array(F.collect_list(F.struct("held", "gram", "hub"))).alias("g"))  # of one document
+    kept = several.join(heads.select("of", F.col("mark").alias("m"), "whole"), (F.col("node") == F.col("of")) & (F.col("mark") == F.col("m")))
+    kept = kept.withColumn("some", F.size("g") - F.floor(F.col("whole") / SPARE).cast("int")).where("some > 0")
+    met = kept.select("node", F.col("whole").alias("n"), F.explode(F.array_distinct(F.transform(F.slice("g", 1, F.col("some")), lambda x: x["hub"]))).alias("hub")).groupBy("hub", "node").agg(F.max("n").alias("n"))
     met = written(met, "met")
     # a hub whose documents all hang on one smaller hub too, in one chunk, adds nothing: they are compared there
     counts = met.groupBy("hub").agg(F.count("*").alias("docs"), F.sum("n").alias("grams"))
@@ -271,8 +295,6 @@ def linked(docs: DataFrame, size: int = 5, threshold: str = "4/5", id_col: str =
     one = F.array(F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     dealt = met.join(chunks, "hub").select("hub", "node", F.col("node").alias("label"), F.explode(F.when(F.col("node") == F.col("hub"), every).otherwise(one)).alias("part"), F.lit(0).alias("other"))
 
-    heads = described.where("size(head) > 0").join(nodes, "mark").where("doc_id = node").select(F.col("node").alias("of"), F.col("n").alias("whole"), "head")
-
     def hopeful(dealt: DataFrame) -> DataFrame:
         """Of each group those that, by their heads, may link with another of it."""
         headed = dealt.join(heads, F.col("node") == F.col("of")).select("hub", "part", "other", "node", "label", "whole", "head")

@@ -127,8 +127,8 @@ def report(docs: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows that the rules keep, with their columns as they are, whatever their names.
 
-    Texts are read twice and never shuffled: once for the sketch, once for the filter beside the small table of fences.
+    Texts are never shuffled: rows are written down with their counts, the small table of fences is joined to them.
     """
-    limits = written(fences(sketch(with_counts(docs.select("lang", "source", "text")))), "fences")
     rows = docs.select(F.struct("*").alias("q_row"), "lang", "source", "text")
-    return judge(with_counts(rows), limits).where("q_kept").select("q_row.*")
+    counted = written(with_counts(rows).drop("text"), "counted")
+    return judge(counted, written(fences(sketch(counted)), "fences")).where("q_kept").select("q_row.*")
