@@ -38,6 +38,8 @@ FREQUENT = 1 << 17
 COUNTERS, SHARE = 1 << 20, 1000
 #: A head is longer than it must be by one in SPARE of a set's n-grams; so many of its most shared n-grams are passed over.
 SPARE = 20
+#: Rows (of five numbers) that are broadcast at most, after counting them.
+BROADCAST_ROWS = 400_000
 #: Cells of the membership table that a walk uses at once.
 CELLS = 1 << 24
 #: Words whose hashes a task remembers.
@@ -273,13 +275,13 @@ def linked(docs: DataFrame, size: int = 5, threshold: str = "4/5", id_col: str =
     described = written(rows.mapInArrow(describe, f"doc_id {kind}, n long, mark binary, head array<long>"), "sets")
     nodes = written(described.where("mark is not null").groupBy("mark").agg(F.min("doc_id").alias("node")), "nodes")
     heads = described.where("size(head) > 0").join(nodes, "mark").where("doc_id = node").select(F.col("node").alias("of"), F.col("n").alias("whole"), "mark", "head").dropDuplicates(["of", "mark"])
-    own = heads.select(F.col("of").alias("node"), "mark", F.explode("head").alias("gram"))
+    own = heads.select(F.col("of").alias("node"), F.explode("head").alias("gram"))
     # a document is in a group for each shared n-gram of its head, but for the `spare` that most heads hold: linked sets
     # share one n-gram more than that, and the one that fewest heads hold stays on both sides
-    hubs = own.select("node", "gram").groupBy("gram").agg(F.min("node").alias("hub"), F.max("node").alias("last"), F.count("*").alias("held")).where("hub < last").select("gram", "hub", "held")
-    several = own.join(hubs, "gram").groupBy("node", "mark").agg(F.sort_array(F.collect_list(F.struct("held", "gram", "hub"))).alias("g"))  # of one document
-    kept = several.join(heads.select("of", F.col("mark").alias("m"), "whole"), (F.col("node") == F.col("of")) & (F.col("mark") == F.col("m")))
-    kept = kept.withColumn("some", F.size("g") - F.floor(F.col("whole") / SPARE).cast("int")).where("some > 0")
+    hubs = own.groupBy("gram").agg(F.min("node").alias("hub"), F.max("node").alias("last"), F.count("*").alias("held")).where("hub < last").select("gram", "hub", "held")
+    several = own.join(hubs, "gram").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("held", "gram", "hub"))).alias("g"))  # of one document
+    # of several texts under one node the smallest decides how many are passed over
+    kept = several.join(heads.groupBy("of").agg(F.min("whole").alias("whole")), F.col("node") == F.col("of")).withColumn("some", F.size("g") - F.floor(F.col("whole") / SPARE).cast("int")).where("some > 0")
     met = kept.select("node", F.col("whole").alias("n"), F.explode(F.array_distinct(F.transform(F.slice("g", 1, F.col("some")), lambda x: x["hub"]))).alias("hub")).groupBy("hub", "node").agg(F.max("n").alias("n"))
     met = written(met, "met")
     # a hub whose documents all hang on one smaller hub too, in one chunk, adds nothing: they are compared there
@@ -312,7 +314,9 @@ def linked(docs: DataFrame, size: int = 5, threshold: str = "4/5", id_col: str =
 
     def settle(dealt: DataFrame) -> DataFrame:
         dealt = written(hopeful(dealt).distinct(), "hopeful")
-        texts = dealt.join(rows, F.col("node") == F.col("doc_id")).select("hub", "part", "other", "node", "label", "text")
+        # few documents are left, as a rule; then their ids go to the texts, else both are shuffled
+        few = F.broadcast(dealt) if dealt.count() <= BROADCAST_ROWS else dealt
+        texts = rows.join(few, F.col("node") == F.col("doc_id")).select("hub", "part", "other", "node", "label", "text")
 
         def group(table: pa.Table) -> pa.Table:
             order = Order(shared.value)
