@@ -273,8 +273,9 @@ def linked(docs: DataFrame, size: int = 5, threshold: str = "4/5", id_col: str =
             yield pa.RecordBatch.from_arrays([ids, pa.array([len(s) for s in sets], pa.int64()), pa.array(marks, pa.binary()), grams], ["doc_id", "n", "mark", "head"])
 
     described = written(rows.mapInArrow(describe, f"doc_id {kind}, n long, mark binary, head array<long>"), "sets")
-    nodes = written(described.where("mark is not null").groupBy("mark").agg(F.min("doc_id").alias("node")), "nodes")
-    heads = described.where("size(head) > 0").join(nodes, "mark").where("doc_id = node").select(F.col("node").alias("of"), F.col("n").alias("whole"), "mark", "head").dropDuplicates(["of", "mark"])
+    # equal sets have equal heads: one row a set, copies are folded before the shuffle
+    nodes = written(described.where("mark is not null").groupBy("mark").agg(F.min("doc_id").alias("node"), F.max("n").alias("whole"), F.first("head").alias("head")), "nodes")
+    heads = nodes.where("size(head) > 0").select(F.col("node").alias("of"), "whole", "head")
     own = heads.select(F.col("of").alias("node"), F.explode("head").alias("gram"))
     # a document is in a group for each shared n-gram of its head, but for the `spare` that most heads hold: linked sets
     # share one n-gram more than that, and the one that fewest heads hold stays on both sides
@@ -299,7 +300,7 @@ def linked(docs: DataFrame, size: int = 5, threshold: str = "4/5", id_col: str =
 
     def hopeful(dealt: DataFrame) -> DataFrame:
         """Of each group those that, by their heads, may link with another of it."""
-        headed = dealt.join(heads, F.col("node") == F.col("of")).select("hub", "part", "other", "node", "label", "whole", "head")
+        headed = heads.join(_few(dealt), F.col("node") == F.col("of")).select("hub", "part", "other", "node", "label", "whole", "head")
 
         def group(table: pa.Table) -> pa.Table:
             alive = np.zeros(table.num_rows, bool)
@@ -313,10 +314,8 @@ def linked(docs: DataFrame, size: int = 5, threshold: str = "4/5", id_col: str =
         return headed.groupBy("hub", "part", "other").applyInArrow(group, f"hub {kind}, part int, other int, node {kind}, label {kind}")
 
     def settle(dealt: DataFrame) -> DataFrame:
-        dealt = written(hopeful(dealt).distinct(), "hopeful")
-        # few documents are left, as a rule; then their ids go to the texts, else both are shuffled
-        few = F.broadcast(dealt) if dealt.count() <= BROADCAST_ROWS else dealt
-        texts = rows.join(few, F.col("node") == F.col("doc_id")).select("hub", "part", "other", "node", "label", "text")
+        dealt = written(hopeful(written(dealt, "dealt")).distinct(), "hopeful")
+        texts = rows.join(_few(dealt), F.col("node") == F.col("doc_id")).select("hub", "part", "other", "node", "label", "text")
 
         def group(table: pa.Table) -> pa.Table:
             order = Order(shared.value)
@@ -339,11 +338,16 @@ def linked(docs: DataFrame, size: int = 5, threshold: str = "4/5", id_col: str =
     rest = _apart(large)
     if not rest.isEmpty():
         joined = components(links.union(written(settle(rest), "links")))
-    named = nodes.join(joined.withColumnRenamed("node", "n_"), F.col("node") == F.col("n_"), "left").select("mark", F.coalesce("component", "node").alias("c"))
+    named = nodes.select("mark", "node").join(joined.withColumnRenamed("node", "n_"), F.col("node") == F.col("n_"), "left").select("mark", F.coalesce("component", "node").alias("c"))
     df = described.select("doc_id", "n", "mark").join(named, "mark", "left")
     return df.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("c", "doc_id").alias("component_id"))
 
 
+def _few(rows: DataFrame) -> DataFrame:
+    """Rows of a written table for a join: broadcast where a count proves them few, else both sides are shuffled."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
 def _apart(large: DataFrame) -> DataFrame:
     """Groups for what hangs apart in hubs of several chunks: all but the hub's largest component, against all."""
     parts = large.groupBy("hub", "label").agg(F.count("*").alias("docs"))
