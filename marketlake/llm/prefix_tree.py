@@ -369,12 +369,16 @@ def keep_one(docs: DataFrame, size: int = 5, threshold: str = "4/5") -> DataFram
     Rows that link with nothing all stay, those without an id among them. Of rows that repeat an id that stays, with
     n-grams, one stays.
     """
-    found = linked(docs, size, threshold)
-    stay = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_times"), F.max("n_shingles").alias("_n"))
-    stay = written(stay.select(F.col("doc_id").alias("id"), ((F.col("_times") > 1) & (F.col("_n") > 0)).alias("again")), "stay")
+    found = linked(docs, size, threshold).where("doc_id is not null")
+    own = F.col("doc_id") == F.col("component_id")
+    ids = found.groupBy(F.col("doc_id").alias("id")).agg(F.count(F.when(own, 1)).alias("times"), F.max(F.when(own, F.col("n_shingles"))).alias("n"))
+    # those that leave are fewer than those that stay, as a rule; texts are then not shuffled
+    ids = written(ids.where("times = 0 or (times > 1 and n > 0)").select("id", (F.col("times") == 0).alias("leaves")), "leave")
     packed = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("key"))
-    df = packed.join(stay, F.col("key") == F.col("id"))
-    kept = df
-    if not stay.where("again").isEmpty():
-        kept = df.where(~F.col("again")).unionByName(df.where("again").dropDuplicates(["key"]))
-    return kept.select("row.*").unionByName(docs.where(F.col("doc_id").isNull()))
+    leave, again = _few(ids.where("leaves").select("id")), ids.where("not leaves").select("id")
+    kept = packed.join(leave, F.col("key") == F.col("id"), "left_anti")
+    if not again.isEmpty():
+        again = _few(again)
+        repeated = kept.join(again, F.col("key") == F.col("id"), "left_semi").dropDuplicates(["key"])
+        kept = kept.join(again, F.col("key") == F.col("id"), "left_anti").unionByName(repeated)
+    return kept.select("row.*")

@@ -101,6 +101,17 @@ def test_keep_one(docs, none):
     assert prefix_tree.keep_one(none).count() == 0
 
 
+@pytest.mark.parametrize("most", [0, 400_000])
+def test_keep_one_either_join(spark, monkeypatch, most):
+    """Which rows stay does not depend on which side is broadcast; a row of an id that leaves, under any text, goes too."""
+    monkeypatch.setattr(prefix_tree, "BROADCAST_ROWS", most)
+    other = " ".join(reversed(WORDS * 3))
+    rows = [(1, TEXT), (2, TEXT + " end"), (3, other), (3, other), (4, other), (5, None), (5, None), (None, TEXT), (None, None), (6, "one two"), (7, "one two")]
+    kept = prefix_tree.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    got = collections.Counter((r.doc_id, r.text) for r in kept.collect())
+    assert got == collections.Counter([(1, TEXT), (3, other), (5, None), (5, None), (None, TEXT), (None, None), (6, "one two")])
+
+
 def test_embeddings(spark):
     e = table(spark, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"), (F.col("label") % 2).alias("label"))
     rng = np.random.default_rng(2)
