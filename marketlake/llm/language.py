@@ -1,13 +1,13 @@
 """Language identification by string kernels: presence of n-grams, Nyström landmarks, one-versus-rest kernel ridge.
 
 The kernel of two texts is the number of different n-grams (of 1 to 4 characters: the blended spectrum, by presence) that
-both hold, over the geometric mean of their own numbers. n-grams are told apart by a hash of 2^15 values. A landmark's
-column of the kernel is a row of presence bits, so a batch of texts is scored by matrix products: presence times landmarks
-times the weights of each language; the last two are multiplied once.
+both hold, over the geometric mean of their own numbers. n-grams are told apart by 64 bits and kept as sparse sets, so long
+texts and large alphabets do not become alike. The n-grams of the landmarks are a sorted list with a bit for each landmark;
+a text's n-grams are looked up there, and the counts of common ones times the solved weights are its scores.
 
 The fit takes at most `per_lang` texts of each language (those with the smallest hash of id) and only of `max_langs`
-languages, the most frequent; its kernel matrix is solved on the driver, whose share is bits of those texts: 4 KB each.
-Every text is scored whole, in one narrow pass.
+languages, the most frequent. Their counts with the landmarks are taken in tasks; the driver holds those (a number for each
+text and landmark) and the n-grams of the landmarks, 8 bytes each. Every text is scored whole, in one narrow pass.
 """
 
 from __future__ import annotations
@@ -20,37 +20,59 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import text_slices
+from marketlake.llm.common import text_slices, written
 
-BITS = 15
 ORDERS = (1, 2, 3, 4)
 UNKNOWN = "und"
 
 
 def presence(text: str) -> np.ndarray:
-    """Indices of the n-grams that a text holds; white space and digits count as one mark, letters as lower case."""
+    """64-bit ids of the different n-grams that a text holds; white space and digits count as one mark, letters as lower case."""
     code = np.frombuffer(text.lower().encode("utf-32-le"), np.uint32).astype(np.uint64)
     code = np.where((code < 65) | ((code > 90) & (code < 97)), 32, code)
     if len(code) > 1:  # runs of marks are one
         code = code[np.r_[True, (code[1:] != 32) | (code[:-1] != 32)]]
-    seen = np.zeros(1 << BITS, bool)
+    found = [np.zeros(0, np.uint64)]
     h = np.zeros(len(code), np.uint64)
     for n in ORDERS:
         if len(code) < n:
             break
         h = (h[: len(code) - n + 1] * np.uint64(0x100000001B3) + code[n - 1 :] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-        seen[(h >> np.uint64(64 - BITS)).astype(np.int64)] = True
         h ^= h >> np.uint64(29)
-    return np.flatnonzero(seen)
+        ids = np.sort(h)
+        found.append(ids[np.r_[True, ids[1:] != ids[:-1]]])
+    return np.concatenate(found)
 
 
 def has_letter(text: str | None) -> bool:
     return bool(text) and any(map(str.isalpha, text))
 
 
+class Landmarks:
+    """The n-grams of some texts, sorted, with a bit for each text that holds them."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.array([len(x) for x in sets], np.float64)
+        self.ids = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]))
+        self.bits = np.zeros((len(self.ids), (len(sets) + 7) // 8), np.uint8)
+        for k, x in enumerate(sets):
+            self.bits[np.searchsorted(self.ids, x), k // 8] |= np.uint8(128 >> k % 8)
+
+    def kernel(self, ids: np.ndarray) -> np.ndarray:
+        """The kernel of a text, given by the ids of its n-grams, with each landmark."""
+        common = np.zeros(len(self.sizes), np.int64)
+        if not len(self.ids) or not len(ids):
+            return common.astype(np.float64)
+        at = np.minimum(np.searchsorted(self.ids, ids), len(self.ids) - 1)
+        at = at[self.ids[at] == ids]
+        for i in range(0, len(at), 255):  # as many as a byte can count
+            common += np.unpackbits(self.bits[at[i : i + 255]], axis=1, count=len(common)).sum(axis=0, dtype=np.uint8)
+        return common / np.sqrt(len(ids) * self.sizes)
+
+
 class Model:
-    def __init__(self, langs: list[str], weights: np.ndarray):
-        self.langs, self.weights = langs, weights
+    def __init__(self, langs: list[str], marks: Landmarks, weights: np.ndarray):
+        self.langs, self.marks, self.weights = langs, marks, weights
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """Language of each text, and how sure: the softmax of the scores, 0 where there is nothing to go by."""
@@ -59,39 +81,28 @@ class Model:
             return names, sure
         for i, t in enumerate(texts):
             if has_letter(t):
-                x = presence(t)
-                score = self.weights[x].sum(axis=0) / np.sqrt(len(x))
+                score = self.marks.kernel(presence(t)) @ self.weights
                 p = np.exp(4 * (score - score.max()))
                 k = int(score.argmax())
                 names[i], sure[i] = self.langs[k], float(p[k] / p.sum())
         return names, sure
 
 
-def solve(bits: np.ndarray, langs: np.ndarray, n_landmarks: int = 256, ridge: float = 1e-3) -> Model:
-    """Kernel ridge on Nyström features. bits: a row of presence for each text; landmarks are spread over the languages."""
+def solve(cross: np.ndarray, inner: np.ndarray, langs: np.ndarray, marks: Landmarks, ridge: float = 1e-3) -> Model:
+    """Kernel ridge on Nyström features. cross: the kernel of each text with the landmarks; inner: that of the landmarks themselves."""
     names = sorted(set(langs.tolist()))
     if not names:
-        return Model([], np.zeros((1 << BITS, 0), np.float32))
-    turn = np.zeros(len(langs), np.int64)
-    for name in names:
-        own = np.flatnonzero(langs == name)
-        turn[own] = np.arange(len(own))
-    marks = np.argsort(turn, kind="stable")[:n_landmarks]
-    x = bits.astype(np.float32)
-    x /= np.sqrt(np.maximum(1, x.sum(axis=1, keepdims=True)))
-    land = x[marks]
+        return Model([], marks, np.zeros((0, 0)))
     y = np.where(langs[:, None] == np.array(names)[None, :], 1.0, -1.0)
-    cross = (x @ land.T).astype(np.float64)
-    inner = (land @ land.T).astype(np.float64)
     # every language weighs the same, however many texts it has
     size = np.array([(langs == name).sum() for name in langs])[:, None]
     balance = len(langs) / (len(names) * size)
-    alpha = np.linalg.lstsq(cross.T @ (balance * cross) + ridge * len(langs) * inner + 1e-9 * np.eye(len(marks)), cross.T @ (balance * y), rcond=None)[0]
-    return Model(names, (land.T @ alpha.astype(np.float32)))
+    alpha = np.linalg.lstsq(cross.T @ (balance * cross) + ridge * len(langs) * inner + 1e-9 * np.eye(len(inner)), cross.T @ (balance * y), rcond=None)[0]
+    return Model(names, marks, alpha)
 
 
-def fit(docs: DataFrame, learn: Column, per_lang: int = 500, max_langs: int = 200, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Learns from rows where `learn` holds, the language is known and the text has a letter."""
+def fit(docs: DataFrame, learn: Column, per_lang: int = 500, max_langs: int = 200, n_landmarks: int = 256, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
+    """Learns from rows where `learn` holds, the language is known and the text has a letter; landmarks are spread over the languages."""
     rows = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
     few = rows.groupBy(lang_col).agg(F.count("*").alias("n")).orderBy(F.desc("n"), lang_col).limit(max_langs)
     w = Window.partitionBy(lang_col).orderBy("key", id_col)
@@ -100,31 +111,43 @@ def fit(docs: DataFrame, learn: Column, per_lang: int = 500, max_langs: int = 20
     chosen = ranked.join(F.broadcast(few.select(lang_col)), lang_col, "left_semi").select(id_col, "rank")
     picked = rows.join(F.broadcast(chosen), id_col).select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), "rank")  # at most per_lang * max_langs ids
 
-    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    picked = written(picked.withColumn("key", F.xxhash64("text")), "picked")
+    place = ["rank", "lang", "id", "key"]
+    kind = picked.schema["id"].dataType.simpleString()
+    most = last = 0
+    for r in picked.groupBy("rank").count().orderBy("rank").collect():  # per_lang rows, or as often as an id repeats
+        most, last = most + r["count"], r["rank"]
+        if most >= n_landmarks:
+            break
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_slices(batches, "text"):
-            out = []
-            for t in b.column("text").to_pylist():
-                seen = np.zeros(1 << BITS, bool)
-                seen[presence(t)] = True
-                out.append(np.packbits(seen).tobytes())
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("lang"), b.column("rank"), pa.array(out, pa.binary())], ["id", "lang", "rank", "bits"])
+            out = [presence(t).tobytes() for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in place), pa.array(out, pa.binary())], [*place, "grams"])
 
-    kind = picked.schema["id"].dataType.simpleString()
-    got: pd.DataFrame = picked.mapInArrow(bits, f"id {kind}, lang string, rank int, bits binary").toPandas().sort_values(["rank", "lang", "id", "bits"])
-    if got.empty:
-        return solve(np.zeros((0, 1 << BITS), bool), np.zeros(0, object))
-    return solve(np.unpackbits(np.stack([np.frombuffer(x, np.uint8) for x in got["bits"]]), axis=1).astype(bool), got["lang"].to_numpy(object))
+    first: pd.DataFrame = picked.where(F.col("rank") <= last).mapInArrow(sets, f"rank int, lang string, id {kind}, key long, grams binary").toPandas().sort_values(place)
+    marks = Landmarks([np.frombuffer(x, np.uint64) for x in first["grams"][:n_landmarks]])
+    inner = np.array([marks.kernel(np.frombuffer(x, np.uint64)) for x in first["grams"][:n_landmarks]])
+    shared = docs.sparkSession.sparkContext.broadcast(marks)
+
+    def kernels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in text_slices(batches, "text"):
+            out = [shared.value.kernel(presence(t)).tobytes() for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in place), pa.array(out, pa.binary())], [*place, "kernel"])
+
+    got: pd.DataFrame = picked.mapInArrow(kernels, f"rank int, lang string, id {kind}, key long, kernel binary").toPandas().sort_values(place)
+    cross = np.array([np.frombuffer(x) for x in got["kernel"]]).reshape(len(got), len(inner))
+    return solve(cross, inner, got["lang"].to_numpy(object), marks)
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, lang_pred, score of every row. A null text or one without a letter is 'und' with score 0; so is any if nothing was learnt."""
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.weights.astype(np.float32)))  # 2^15 floats a language
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Model(*shared.value)
         for b in text_slices(batches, "text"):
-            names, sure = m.predict(b.column("text").to_pylist())
+            names, sure = shared.value.predict(b.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(names, pa.string()), pa.array(sure, pa.float64())], ["doc_id", "lang_pred", "score"])
 
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double")

@@ -242,3 +242,16 @@ def test_language(spark, docs, none):
     by = {x.doc_id: x for x in language.report(docs).collect()}
     assert by[4].lang_pred == by[5].lang_pred == by[6].lang_pred == "und" and len(by) == len({x[0] for x in DOCS})
     assert language.report(none).count() == 0
+
+
+def test_language_of_very_long_texts(spark):
+    """Whole long texts over one large alphabet: two made-up languages that share all characters and differ in their words."""
+    rng = np.random.default_rng(5)
+    words_of = {lang: ["".join(map(chr, 0x4E00 + rng.integers(0, 2000, 2))) for _ in range(3000)] for lang in ("aa", "bb")}
+    latin = {lang: ["".join(map(chr, 97 + rng.integers(0, 26, 6))) for _ in range(3000)] for lang in ("cc", "dd")}
+    make = lambda w, n: "".join(rng.choice(w, n)) if len(w[0]) == 2 else " ".join(rng.choice(w, n))
+    short = [(40 * k + i, make(w, 400), lang) for k, (lang, w) in enumerate((words_of | latin).items()) for i in range(40)]
+    long_ = [(1000 + k, make(w, n), lang) for k, (lang, w, n) in enumerate((lang, w, n) for lang, w in (words_of | latin).items() for n in (30_000, 100_000))]
+    model = language.fit(spark.createDataFrame(short, "doc_id long, text string, lang string"), F.lit(True))
+    r = language.predict(spark.createDataFrame(long_, "doc_id long, text string, lang string"), model).collect()
+    assert {x.doc_id: x.lang_pred for x in r} == {i: lang for i, _, lang in long_}
