@@ -32,12 +32,34 @@ CONTAINERS = set("body main article section div td center blockquote table tbody
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "option": {"select"}}
-# Words in classes, ids and roles of parts that are not the article.
+# Words in classes, ids and roles of parts that are not the article. A name is whole, or made of such words and
+# of words of place only, or ends in one that says what the part is (article-share, but not tag-news or review-body).
 JUNK = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|adsense|sponsor(?:ed)?|promo(?:tion)?s?|banners?|cookies?|consent|gdpr|notices?|alerts?|nav|navbar|navigation|navi|menus?|breadcrumbs?|crumbs|sidebars?|side|aside|footers?|masthead|topbar|(?:site|page|main|top|global)-header"
-    r"|comments?|commentlist|disqus|respond|replies|reply|reviews?|related|recommended|recommendations?|teasers?|more-stories|read-more|share|sharing|social|newsletters?|subscribe|subscription|signup|sign-up|login|paywall|popups?|modals?|overlay|widgets?|tags?|tagcloud|pagination|pager|toolbar|search|searchform|form|skip|skip-link|copyright|legal|disclaimer|byline-links|complementary|contentinfo|search|dialog|alert|hidden|print-only|sr-only|visually-hidden)(?=$|[\s_-])",
+    r"ads?|adverts?|advertisements?|advertising|adsense|sponsor(?:ed)?|promo(?:tion)?s?|banners?|cookies?|consent|gdpr|notices?|alerts?|nav|navbar|navigation|navi|menus?|breadcrumbs?|crumbs|sidebars?|side|aside|footers?|masthead|topbar|header|(?:site|page|main|top|global)-header"
+    r"|comments?|commentlist|disqus|respond|replies|reply|reviews?|related|recommended|recommendations?|teasers?|more-stories|read-more|share|sharing|social|newsletters?|subscribe|subscription|signup|sign-up|login|paywall|popups?|modals?|overlay|widgets?|tags?|tagcloud|pagination|pager|toolbar|search|searchform|form|skip|skip-link|copyright|legal|disclaimer|byline-links|complementary|contentinfo|dialog|alert|print-only",
     re.I,
 )
+PLACE = re.compile(r"|site|page|main|top|bottom|left|right|global|primary|secondary|area|box|list|wrap|wrapper|container|section|block|bar|inner|outer|slot|unit|items?|links?|posts|articles|stories|icons?|buttons?|desktop|mobile|sticky|fixed|\d+|[a-z]", re.I)
+TAILS = re.compile(r"ads?|adverts?|breadcrumbs?|comments|commentlist|disqus|footer|nav|navbar|navigation|newsletter|pagination|pager|related|respond|share|sharing|social|tags|disclaimer|copyright", re.I)
+UNSEEN = re.compile(r"(?:^|[_-])hidden|sr-only|visually-hidden", re.I)
+#: Names that an article may bear too: such a part is kept if it holds at least as much text as all that is kept without it.
+DOUBTFUL = re.compile(r"(?:reviews?|legal|notices?|alerts?|side|form|search|tags?|widgets?|teasers?|promo(?:tion)?s?|newsletters?|disclaimer|share|social|sponsor(?:ed)?|overlay|modals?|header)(?:$|[_-])", re.I)
+#: Why a part is left out: in doubt, by its name, or for good.
+DOUBT, NAMED, OUT = 1, 2, 3
+
+
+def junk_name(word: str) -> int:
+    """What a class, id or role says of its element: 0, DOUBT, NAMED or OUT."""
+    if UNSEEN.fullmatch(word):
+        return OUT
+    if not JUNK.fullmatch(word):
+        parts = re.split("[_-]", word)
+        own = [w for w in parts if not PLACE.fullmatch(w)]
+        if not own or not (all(JUNK.fullmatch(w) for w in own) or TAILS.fullmatch(own[-1])):
+            return 0
+    return DOUBT if DOUBTFUL.fullmatch(word) else NAMED
+
+
 _TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|<(?P<end>/)?(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?/][^>]*>|<[a-zA-Z][^>]*>", re.S | re.I)
 _ATTR = re.compile(r"(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/]|$)", re.I)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -50,9 +72,13 @@ class Page:
     def __init__(self, source: str):
         self.parent: list[int] = [-1]
         self.label: list[str] = ["body"]
-        self.junk: list[bool] = [False]
+        self.own: list[int] = [0]  # why each container is left out, without those above it
         self.blocks: list[tuple[int, str, float, str]] = []  # container, text, share of it in links, element
         self._parse(source)
+        self._keep_doubtful()
+        self.junk: list[int] = []
+        for up, own in zip(self.parent, self.own, strict=True):
+            self.junk.append(max(own, self.junk[up] if up >= 0 else 0))
 
     def _parse(self, source: str) -> None:
         stack: list[tuple[str, int]] = [("body", 0)]  # element, container
@@ -125,7 +151,7 @@ class Page:
             if tag in INLINE:
                 if tag not in VOID:
                     name, junk = self._name(m["attrs"])
-                    stack.append((tag, self._node(stack[-1][1], tag + name, True) if junk and tag == "span" and not held else stack[-1][1]))
+                    stack.append((tag, self._node(stack[-1][1], tag + name, junk) if junk and tag == "span" and not held else stack[-1][1]))
                     links += tag == "a"
                 continue
             flush()
@@ -153,25 +179,29 @@ class Page:
                 name, junk = self._name(m["attrs"])
                 # the header of an article may hold its heading
                 inside = tag == "header" and any(t in ("article", "main") for t, _ in stack)
-                node = self._node(node, tag + name, junk or (tag in DROPPED and not inside), inside)
+                if tag in ("article", "main") and junk < OUT:
+                    junk = min(junk, DOUBT) if tag == "article" else 0
+                if tag in DROPPED and not inside:
+                    junk = max(junk, DOUBT if tag == "form" else OUT)
+                node = self._node(node, tag + name, junk, inside)
             elif m["attrs"]:
                 name, junk = self._name(m["attrs"])
                 if junk:
-                    node = self._node(node, tag + name, True)
+                    node = self._node(node, tag + name, junk)
             stack.append((tag, node))
         flush()
 
-    def _node(self, parent: int, label: str, junk: bool, heading_only: bool = False) -> int:
+    def _node(self, parent: int, label: str, junk: int, heading_only: bool = False) -> int:
         self.parent.append(parent)
         self.label.append(label + ("^" if heading_only else ""))
-        self.junk.append(junk or self.junk[parent])
+        self.own.append(junk)
         return len(self.parent) - 1
 
     @staticmethod
-    def _name(attrs: str) -> tuple[str, bool]:
-        """The name for the path (a class, else the id), and whether the element is junk by its attributes."""
+    def _name(attrs: str) -> tuple[str, int]:
+        """The name for the path (a class, else the id), and what its attributes say against the element."""
         if not attrs or "=" not in attrs and "hidden" not in attrs:
-            return "", False
+            return "", 0
         got: dict[str, str] = {}
         for m in _ATTR.finditer(attrs):
             got.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
@@ -180,7 +210,7 @@ class Page:
         junk = "hidden" in got or got.get("aria-hidden", "").lower() == "true" or bool(_HIDDEN.search(got.get("style", "")))
         # names such as with-sidebar tell of a neighbour
         own = [w for w in words.split() if not re.match(r"(?:with|has|no)[-_]", w, re.I)]
-        junk = junk or any(w.lower() == "header" or JUNK.search(w) for w in own)
+        junk = OUT if junk else max((junk_name(w) for w in own), default=0)
         return ("." + _DIGITS.sub("#", first).lower() if first else ""), junk
 
     def path(self, node: int) -> str:
@@ -190,12 +220,36 @@ class Page:
             node = self.parent[node]
         return ">".join(reversed(out))
 
+    def _keep_doubtful(self) -> None:
+        """Containers in doubt are kept if they hold at least as much text as all that is kept without them."""
+        for _ in range(8 if DOUBT in self.own else 0):  # what is kept doubles each time
+            first: list[int] = []  # the topmost container left out, or -1
+            hard: list[bool] = []  # left out for more than doubt
+            for n, (up, own) in enumerate(zip(self.parent, self.own, strict=True)):
+                above = first[up] if up >= 0 else -1
+                first.append(above if above >= 0 else n if own else -1)
+                hard.append(own > DOUBT or up >= 0 and hard[up])
+            kept, held = 0.0, dict.fromkeys((n for n in set(first) if n >= 0 and self.own[n] == DOUBT), 0.0)
+            for node, text, linked, _ in self.blocks:
+                w = len(text) * (1 - linked)
+                if first[node] < 0:
+                    kept += w
+                elif first[node] in held and not hard[node]:
+                    held[first[node]] += w
+            top = max(held, key=lambda n: (held[n], -n), default=-1)
+            if top < 0 or not held[top] or held[top] < kept:
+                return
+            self.own[top] = 0
+
     def readable(self) -> list[int]:
-        """Blocks that may belong to the article: not in junk, not a list of links."""
+        """Blocks that may belong to the article: not in junk, not a list of links. Names count less where nothing is left."""
+        return next((found for level in (0, DOUBT, NAMED) if (found := self._readable(level))), [])
+
+    def _readable(self, level: int) -> list[int]:
         out = []
         lists: dict[int, list[int]] = {}
         for k, (node, text, linked, tag) in enumerate(self.blocks):
-            if self.junk[node] or self.label[node].endswith("^") and tag not in HEADINGS:
+            if self.junk[node] > level or self.label[node].endswith("^") and tag not in HEADINGS:
                 continue
             if tag == "li" or self.label[node].startswith(("li", "td", "dd")):
                 lists.setdefault(self.parent[node], []).append(k)
@@ -267,9 +321,7 @@ def extract(source: str | None, leaders: list[str], votes: list[float]) -> str:
                 places.setdefault(p, []).append(n)
     ranked = [(v * sum(total[n] for n in places[p]), p) for p, v in zip(leaders, votes, strict=True) if p in places]
     if ranked and max(ranked)[0] > 0:
-        nodes = places[max(ranked)[1]]
-        most = max(total[n] for n in nodes)
-        chosen = {n for n in nodes if total[n] >= 0.2 * most}
+        chosen = set(places[max(ranked)[1]])
     else:
         chosen = {page.best(total)}
     inside: dict[int, bool] = {-1: False}

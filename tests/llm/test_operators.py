@@ -142,6 +142,32 @@ def test_html(spark):
     assert host_paths.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+@pytest.mark.parametrize(
+    "body, want",
+    [
+        ('<article class="post tag-news"><p>Whole text</p></article><div class="sidebar">no</div>', "Whole text"),
+        ('<div class="elementor-widget elementor-widget-text-editor"><p>One two</p></div><div class="elementor-widget elementor-widget-text-editor"><p>Three</p></div>', "One two Three"),
+        ('<div class="review-body"><p>A review</p></div><div class="comments-area"><p>no</p></div>', "A review"),
+        ('<div class="legal-article"><p>The law</p></div><div class="cookie-notice">no</div>', "The law"),
+        ('<main class="widget"><p>In the main part</p></main>', "In the main part"),
+        ('<article class="review"><p>A long review of a thing</p></article><p>small</p>', "A long review of a thing"),
+        ('<div class="related"><p>All there is</p></div>', "All there is"),
+        ('<form id="aspnetForm"><div><p>A page in a form</p></div></form>', "A page in a form"),
+        ('<div class="x"><article><p>Text</p><div class="article-share">no</div><div class="ad-slot">no</div><div class="hidden">no</div></article></div><div id="comments"><p>longer than all of the text</p></div>', "Text"),
+        ('<div style="display:none"><p>unseen</p></div>', ""),
+    ],
+)
+def test_html_names(body, want):
+    source = f"<html><body>{body}</body></html>"
+    path, share = host_paths.vote(source) or ("", 0.0)
+    assert host_paths.extract(source, [path], [1.0]) == want == host_paths.extract(source, [], [])
+
+
+def test_html_short_sections():
+    source = "<body><div class=page>" + "".join(f"<div class=part><p>{t}</p></div>" for t in ("word " * 99, "short", "few words")) + "</div></body>"
+    assert host_paths.extract(source, ["body>div.page>div.part"], [1.0]).split() == ["word"] * 99 + ["short", "few", "words"]
+
+
 def test_secrets(docs, none):
     found = secrets.scan(docs).where("is_secret").collect()
     assert {(r.doc_id, r.value) for r in found} == {(9, "ab12cd34ef56ab78cd"), (9, "0123456789abcdef0123456789abcdef01234567")}
