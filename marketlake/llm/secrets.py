@@ -1,10 +1,12 @@
 r"""Secret scans: candidates by patterns, false positives removed by a random forest. DataFrame functions and Spark's own ML.
 
-A candidate is a run of at least 12 key characters with a digit in it, or what is assigned to a name such as `password`.
+A candidate is a run of at least 12 key characters with a digit in it, a JSON web token, a block with a private key, or what
+is assigned to a name such as `password`, with or without white space around the sign.
 The forest looks at its length, its transitions between classes of characters, how far words of the corpus cover its
 letters, the path it comes from and the words beside it. It is trained from labelled findings (`train`); where there are
 none, `presumed` labels a bounded number of the corpus's own candidates by formats that providers publish: those labels
-come from the exact shape of a value, the forest's features do not hold that shape.
+come from the exact shape of a value, the forest's features do not hold that shape. What they say to be a secret is not given
+up to a forest that saw few or none of its kind; the forest decides on all other candidates, and on all if labels are given.
 
 Candidates whose probability is at least `THRESHOLD` are secrets. Candidates without any letter (card and phone numbers,
 dates) and words of natural language come out low.
@@ -28,16 +30,27 @@ DICTIONARY = 20_000
 GRAM = 4
 
 # Names that secrets are assigned to, and shapes that providers publish.
-NAMES = r"passw(?:or)?d|passwd|pwd|secret|token|api_?key|access_?key|auth|credential|private_?key"
+NAMES = r"passw(?:or)?d|passwd|pwd|secret|token|api_?key|access_?key|auth|credential|private[_\- ]?key"
 KNOWN = r"^(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|xox[abpr]-[0-9A-Za-z-]{10,}|sk_live_[0-9A-Za-z]{24,}|AIza[0-9A-Za-z_\-]{35}|eyJ[0-9A-Za-z_\-]{10,}\.[0-9A-Za-z_\-.]{10,})$"
 
 _RUN = r"[A-Za-z0-9_+/\-]{12,}={0,2}"
 _SPLIT = r"[\x20\x09-\x0D]+"
 #: A whole run with a digit in it, or a known key without one.
-_KEY = rf"(?<![A-Za-z0-9_+/\-])(?:(?=[A-Za-z_+/\-]*[0-9])|(?=A[KS]IA[0-9A-Z]{{16}})){_RUN}"
+_JWT = r"eyJ[0-9A-Za-z_\-]{10,}\.[0-9A-Za-z_\-.]{9,}[0-9A-Za-z_\-]"
+_KEY = rf"(?<![A-Za-z0-9_+/\-])(?:{_JWT}|(?:(?=[A-Za-z_+/\-]*[0-9])|(?=A[KS]IA[0-9A-Z]{{16}}|gh[pousr]_|xox[abpr]-|sk_live_|AIza)){_RUN})"
 _ASSIGNED = rf"(?i)(?:{NAMES})[\"']?[:=][\"']?([^\"',;]{{6,}})"
+#: A sign of assignment, a name before it, and the value that follows as the next word.
+_SIGN = r"(?::=|=>|[:=]{1,2})"
+_NAME = rf"(?i)(?:{NAMES})[\"'\])]*"
+_FOLLOWS = rf"^{_SIGN}?[\"']?([^\"',;]{{6,}})"
+_SPACED = rf"{_NAME}(?:\s+{_SIGN}|{_SIGN}[\"']?\s)"
+#: A private key: its block, or what is left of one that is cut off.
+_OF_KEY = r"(?:[A-Z0-9]+ ){0,3}PRIVATE KEY(?: BLOCK)?-----"
+_PEM = rf"-----BEGIN {_OF_KEY}(?:[^-]*+(?:-(?!----)[^-]*+){{0,200}}+-----END {_OF_KEY}|(?:(?:\s|\\[nr])+[A-Za-z0-9+/=]{{16,}}){{1,400}})"
 #: What a text must hold for any of its words to be a candidate.
-_ANY = rf"{_KEY}|(?i)(?:{NAMES})[\"']?[:=]"
+_ANY = rf"{_KEY}|-----BEGIN {_OF_KEY}|{_NAME}\s*{_SIGN}"
+# What stands in the place of a secret.
+PLAIN = rf"(?i)^(?:none|null|nil|true|false|undefined|string|integer|boolean|bytes|required|optional|missing|invalid|expired|disabled|enabled|unknown|hidden|redacted|example|(?:your|my|the|some)[_\-].*|x+|(?:{NAMES})s?|[a-z]+://[^@]*|[a-z_]+(?:\.[a-z_]+)+)$|[(){{}}\[\]<>$%]"
 #: Transitions between classes of characters, as shares of the length.
 CLASSES = {"lower": "a-z", "upper": "A-Z", "digit": "0-9"}
 FEATURES = ["length", "coverage", "path_depth", "path_test", "named_inside", "named_before", "assigned", "quoted", "word_before", "word_after", *(f"share_{c}" for c in CLASSES), *(f"{a}_{b}" for a in CLASSES for b in CLASSES)]
@@ -49,18 +62,39 @@ def candidates(docs: DataFrame, path: str | None = "source", id_col: str = "doc_
     A null text has none. The whole text is split at white space; a word may hold several candidates.
     """
     text = F.col(text_col)
-    rows = docs.where(text.rlike(_ANY)).select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("doc_key"), (F.col(path) if path else F.lit(None)).cast("string").alias("path"), F.split(text, _SPLIT).alias("w"))
+    pems = F.when(text.contains("-----BEGIN "), F.regexp_extract_all(text, F.lit(_PEM), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    rows = docs.where(text.rlike(_ANY)).select(
+        F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("doc_key"), (F.col(path) if path else F.lit(None)).cast("string").alias("path"), F.split(text, _SPLIT).alias("w"),
+        text.rlike(_SPACED).alias("spaced"), pems.alias("pems"), F.when(F.size(pems) > 0, F.split(text, _PEM)).alias("pieces"),
+    )
+    rows = rows.withColumn("within", F.flatten(F.transform("pems", lambda b: F.split(b, _SPLIT))))
+
+    def told(x: Column, i: Column) -> Column:
+        """Whether a word follows a telling name and a sign."""
+        one, two = F.get("w", i - 1), F.get("w", i - 2)
+        after = one.rlike(rf"{_NAME}{_SIGN}[\"']?$") | (one.rlike(rf"^{_SIGN}[\"']?$") & two.rlike(rf"{_NAME}$")) | (x.rlike(rf"^{_SIGN}") & one.rlike(rf"{_NAME}$"))
+        return F.coalesce(F.col("spaced") & (F.length(x) >= 6) & after, F.lit(False))
+
+    marked = F.filter(F.transform("w", lambda x, i: F.struct(i.alias("i"), x.alias("x"), told(x, i).alias("told"))), lambda p: (p["told"] | p["x"].rlike(rf"{_KEY}|{_ASSIGNED}")) & ~F.array_contains("within", p["x"]))
     near = F.transform(
-        F.filter(F.transform("w", lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda p: p["x"].rlike(rf"{_KEY}|{_ASSIGNED}")),
-        lambda p: F.struct(p["i"].alias("i"), p["x"].alias("x"), F.array(*(F.get("w", p["i"] - k) for k in (3, 2, 1))).alias("before"), F.get("w", p["i"] + 1).alias("after")),
+        marked,
+        lambda p: F.struct(p["i"].alias("i"), p["x"].alias("x"), p["told"].alias("told"), F.array(*(F.get("w", p["i"] - k) for k in (3, 2, 1))).alias("before"), F.get("w", p["i"] + 1).alias("after")),
     )
-    rows = rows.select("doc_id", "doc_key", "path", F.explode(near).alias("p"))
-    # the value assigned inside the word first, else every run with a digit
+    found = rows.select("doc_id", "doc_key", "path", F.explode(near).alias("p"))
+    # the value assigned inside the word first, then one assigned across white space, else every run with a digit
     own = F.regexp_extract("p.x", _ASSIGNED, 1)
+    own = F.when(F.length(own) > 0, own).when(F.col("p.told"), F.regexp_extract("p.x", _FOLLOWS, 1)).otherwise("")
     runs = F.regexp_extract_all("p.x", F.lit(rf"({_KEY})"), F.lit(1))
     values = F.when(F.length(own) > 0, F.array(F.regexp_replace(own, r"[^A-Za-z0-9_+/=\-]+$", ""))).otherwise(runs)
-    rows = rows.select("doc_id", "doc_key", "path", F.col("p.i").cast("int").alias("word"), F.col("p.x").alias("inside"), F.col("p.before").alias("before"), F.col("p.after").alias("after"), F.posexplode(values).alias("number", "value"))
-    return rows.where(F.length("value") >= 6)
+    found = found.select("doc_id", "doc_key", "path", F.col("p.i").cast("int").alias("word"), F.col("p.x").alias("inside"), F.col("p.before").alias("before"), F.col("p.after").alias("after"), F.posexplode(values).alias("number", "value"))
+    found = found.where((F.length("value") >= 6) & ~F.col("value").startswith("-----BEGIN"))
+    # a private key is one value, at the place of its first word
+    blocks = rows.where(F.size("pems") > 0).select("*", F.posexplode("pems").alias("number", "value"))
+    ahead = F.array_join(F.transform(F.sequence(F.lit(0), F.col("number")), lambda j: F.concat(F.get("pieces", j), F.when(j < F.col("number"), F.get("pems", j)).otherwise(""))), "")
+    blocks = blocks.withColumn("word", F.size(F.split(ahead, _SPLIT)) - 1)
+    before = F.array(*(F.get("w", F.col("word") - k) for k in (3, 2, 1)))
+    after = F.get("w", F.col("word") + F.size(F.split("value", _SPLIT)))
+    return found.unionByName(blocks.select("doc_id", "doc_key", "path", "word", F.col("value").alias("inside"), before.alias("before"), after.alias("after"), "number", "value"))
 
 
 def dictionary(docs: DataFrame, text_col: str = "text", size: int = DICTIONARY) -> DataFrame:
@@ -104,11 +138,18 @@ def with_features(found: DataFrame, grams: DataFrame) -> DataFrame:
 
 
 def presumed(featured: DataFrame) -> DataFrame:
-    """Adds `label` by published formats: a known key; or a mix of letters and digits that is assigned to a name."""
+    """Adds `label`: a published format, a private key, a mix of letters and digits near a name, or what is assigned to a name.
+
+    What is assigned may be short, and of letters or digits only; words that stand in the place of a secret, calls, and bare
+    words of the corpus after white space are not taken.
+    """
     v = F.col("value")
     mixed = v.rlike("[0-9]") & v.rlike("[A-Za-z]") & (F.length(v) >= 12)
     named = (F.col("named_inside") > 0) | ((F.col("named_before") > 0) & (F.col("assigned") > 0))
-    return featured.withColumn("label", (v.rlike(KNOWN) | (mixed & named)).cast("double"))
+    head = F.call_function("substring_index", F.concat_ws(" ", F.concat_ws(" ", "before"), "inside"), v, F.lit(1))
+    told = head.rlike(rf"{_NAME}\s*{_SIGN}\s*[\"']?$") & ~v.rlike(PLAIN) & ~F.call_function("substring_index", F.col("inside"), v, F.lit(-1)).rlike(r"^[(\[]")
+    told = told & (v.rlike(r"[^\p{L}]") | head.rlike(rf"[\"']$|{_NAME}{_SIGN}$") | (F.col("coverage") < 0.5))
+    return featured.withColumn("label", (v.rlike(KNOWN) | v.startswith("-----BEGIN") | (mixed & named) | told).cast("double"))
 
 
 def train(labelled: DataFrame, trees: int = 30, depth: int = 6, most: int = MOST_LABELLED) -> RandomForestClassificationModel | None:
@@ -139,6 +180,8 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, path: str | None =
     featured = written(with_features(found, grams), "featured")
     model = train(presumed(featured) if labelled is None else with_features(labelled, grams))
     df = score(featured, model)
+    if labelled is None:
+        df = presumed(df).withColumn("probability", F.greatest("probability", "label"))
     return df.select("doc_id", "doc_key", "word", "number", "value", "probability", (F.col("probability") >= THRESHOLD).alias("is_secret"))
 
 
