@@ -16,20 +16,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from marketlake.llm.common import text_slices
-from marketlake.llm.pretokens import byte_alphabet, read_specials, read_spec
+from marketlake.llm.pretokens import Pieces, read_spec
 
 #: Stands for the end of a word inside this module; it is no letter of the byte alphabet.
 END = "\x00"
-#: Words whose ids a task remembers; beyond it the memory starts anew.
-MEMORY = 600_000
+#: A time after all merges.
+NEVER = 1 << 60
 
 
-class Encoder:
-    def __init__(self, spec: dict):
-        model = spec["model"]
+class Encoder(Pieces):
+    def __init__(self, path: str):
+        super().__init__(path, lambda word: np.array(self.word(word), "<u4").tobytes(), lambda pieces: list(map(self.piece, pieces)))
+        model = read_spec(path)["model"]
         vocab, suffix = model["vocab"], model["end_of_word_suffix"]
-        self.specials = read_specials(spec)
-        self.alphabet = {b: c for b, c in enumerate(byte_alphabet())}
         inner = {t: (t.removesuffix(suffix) + END if t.endswith(suffix) and t != suffix else t) for t in vocab}
         self.text = {i: inner[t] for t, i in vocab.items()}
         self.id = {t: i for i, t in self.text.items()}
@@ -51,8 +50,7 @@ class Encoder:
         self.shorter = {i: self._prefix(t) for t, i in self.id.items()}
         self.size = {i: len(t) for t, i in self.id.items()}
         self.fits: dict[int, bool] = {}
-        self.seen: dict[str, bytes] = {}
-        names = {**{i: t for t, i in vocab.items()}, **{i: t for t, i in self.specials.ids.items()}}
+        names = {**{i: t for t, i in vocab.items()}, **{i: t for t, i in self.words.specials.items()}}
         # decoding: the UTF-8 text of token i, with the space that follows it, is bytes[offset[i]:offset[i + 1]]
         spelled = [(names.get(i, "") + " ").encode() for i in range(max(names) + 1)]
         self.bytes = np.frombuffer(b"".join(spelled), np.uint8)
@@ -66,42 +64,38 @@ class Encoder:
         return -1
 
     def compatible(self, a: int, b: int) -> bool:
-        """Whether no merge of the two tokens' parts comes before both are whole."""
+        """Whether the merges, applied to the two tokens' characters together, give the two again."""
         key = a << 20 | b
         known = self.fits.get(key)
         if known is None:
-            known = self.fits[key] = self._compatible(a, b)
+            known = self.fits[key] = self._apart(a, b, NEVER, NEVER)
         return known
 
-    def _compatible(self, a: int, b: int) -> bool:
-        limit = 1 << 60
-        while True:
-            if self.pair.get((a, b), limit) < limit:
-                return False
-            # undo the later of the two merges; what the border then shows was there when that merge came
-            if a > b:
-                limit = a
-                a = self.split.get(a, (a, a))[1]
-                if a == limit:
-                    limit = b + 1
-                    b = self.split.get(b, (b, b))[0]
-                    if b + 1 == limit:
-                        return True
-            else:
-                limit = b + 1
-                b = self.split.get(b, (b, b))[0]
-                if b + 1 == limit:
-                    limit = a
-                    a = self.split.get(a, (a, a))[1]
-                    if a == limit:
-                        return True
+    def _edge(self, token: int, side: int, absorbed: int) -> list[tuple[int, int]]:
+        """What stands at one edge of a token while it is built, last first: each part, and the merge that takes it up."""
+        out = [(token, absorbed)]
+        while token in self.split:
+            token, absorbed = self.split[token][side], token
+            out.append((token, absorbed))
+        return out
+
+    def _apart(self, a: int, b: int, a_until: int, b_until: int) -> bool:
+        """Whether nothing ever merges across the border of a and b, which are taken up by other merges at the times given.
+
+        Merges happen in the order of their ids, equal ones from left to right. So two parts at the border merge if their
+        merge comes before the one that takes up the left part, and not after the one that takes up the right part.
+        """
+        right = self._edge(b, 0, b_until)
+        for x, x_until in self._edge(a, 1, a_until):
+            for y, y_until in right:
+                made = self.pair.get((x, y))
+                if made is not None and made < x_until and made <= y_until:
+                    return False
+        return True
 
     def word(self, word: str) -> list[int]:
-        """Ids of one word."""
-        special = self.specials.ids.get(word)
-        if special is not None:
-            return [special]
-        s = word + END if word.isascii() and word.isprintable() else "".join(map(self.alphabet.__getitem__, word.encode())) + END
+        """Ids of one word in the byte alphabet."""
+        s = word + END
         whole = self.id.get(s)
         n = len(s)
         if whole is not None and self._stable(whole):
@@ -144,31 +138,15 @@ class Encoder:
         key = -token - 1
         known = self.fits.get(key)
         if known is None:
-            if token not in self.split:
-                known = True
-            else:
-                a, b = self.split[token]
-                known = self._stable(a) and self._stable(b) and self._meets(a, b, token)
-            self.fits[key] = known
+            known = self.fits[key] = token not in self.split or all(map(self._stable, self.split[token])) and self._apart(*self.split[token], token, token - 1)
         return known
 
-    def _meets(self, a: int, b: int, token: int) -> bool:
-        merged = self.pair.pop((a, b))
-        try:
-            return self._compatible(a, b)
-        finally:
-            self.pair[a, b] = merged
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        lists = [self.specials.words(t) for t in texts]
-        fresh = set().union(*lists).difference(self.seen)
-        if len(self.seen) + len(fresh) > MEMORY:
-            self.seen.clear()
-            fresh = set().union(*lists)
-        for w in fresh:
-            self.seen[w] = np.array(self.word(w), "<u4").tobytes()
-        return [b"".join(map(self.seen.__getitem__, x)) for x in lists]
+    def piece(self, piece: str) -> bytes:
+        """Ids of a run without white space."""
+        ids: list[int] = []
+        for special, word in self.words.of(piece):
+            ids.extend([self.words.specials[word]] if special else self.word(word))
+        return np.array(ids, "<u4").tobytes()
 
     def decode(self, ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
         """UTF-8 texts of documents whose ids lie one after another; tokens are joined by a space."""
@@ -185,7 +163,7 @@ _ENCODERS: dict[str, Encoder] = {}
 
 def encoder(path: str) -> Encoder:
     if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(read_spec(path))
+        _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
 
 
@@ -213,7 +191,10 @@ def _both(e: Encoder, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Re
 
 
 def digests(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256: the digests of what `encode` gives, taken where it is made."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256: the digests of what `encode` gives, taken where it is made.
+
+    A null or empty text has no ids: both digests are those of nothing. A null id stays null; repeated rows give a row each.
+    """
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

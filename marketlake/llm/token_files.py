@@ -22,10 +22,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketlake.llm.common import text_slices
-from marketlake.llm.pretokens import Specials, byte_alphabet, read_specials, read_spec
+from marketlake.llm.pretokens import Pieces
 
-#: Words whose ids a task remembers; beyond it the memory starts anew.
-MEMORY = 400_000
 #: For each control byte the lengths of its four codes.
 LENGTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)], np.uint8)
 
@@ -59,36 +57,21 @@ def unpack(ranks: bytes, control: bytes, codes: bytes, n: int) -> np.ndarray:
     return np.frombuffer(ranks, "<u4")[code]
 
 
-class LibraryEncoder:
-    """Encodes with the tokenizers library; words seen before are not encoded again."""
+class LibraryEncoder(Pieces):
+    """Encodes with the tokenizers library: its model for words, all of it for pieces that are not plain."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        spec = read_spec(path)
-        self.specials: Specials = read_specials(spec)
-        self.model = Tokenizer.from_file(path).model
-        self.alphabet = dict(enumerate(byte_alphabet()))
-        self.seen: dict[str, bytes] = {}
-
-    def _word(self, word: str) -> bytes:
-        """A word goes to the library's model in the byte alphabet, as its pre-tokenizer would hand it over."""
-        special = self.specials.ids.get(word)
-        if special is not None:
-            return np.array([special], "<u4").tobytes()
-        if not (word.isascii() and word.isprintable()):
-            word = "".join(map(self.alphabet.__getitem__, word.encode()))
-        return np.array([t.id for t in self.model.tokenize(word)], "<u4").tobytes()
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        lists = [self.specials.words(t) for t in texts]
-        fresh = set().union(*lists).difference(self.seen)
-        if len(self.seen) + len(fresh) > MEMORY:
-            self.seen.clear()
-            fresh = set().union(*lists)
-        for w in fresh:
-            self.seen[w] = self._word(w)
-        return [b"".join(map(self.seen.__getitem__, x)) for x in lists]
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        model = tokenizer.model
+        super().__init__(
+            path,
+            lambda word: np.array([t.id for t in model.tokenize(word)], "<u4").tobytes(),
+            lambda pieces: [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)],
+        )
 
 
 _ENCODERS: dict[str, LibraryEncoder] = {}
