@@ -1,31 +1,39 @@
 """Main text of web pages by consensus: each page scores its containers, hosts vote on their paths, pages follow the vote.
 
 A path is the chain of tags from the body down, each with its first class or id, digits generalised. In the first pass a
-page votes for the deepest container that holds most of its readable text. Votes add up for each host and path in Spark; a
-host keeps its leading paths. In the second pass a page's text comes from the leading path that suits it best, or, where
-the page has none of them, from its own best container.
+page votes for the deepest container outside of which nothing is left but junk and lists of links. Votes add up for each
+host and path in Spark; a host keeps its leading paths. In the second pass a page's text comes from all containers on the
+leading path that suits it best, or, where the page has none of them, from its own best container.
+
+Work on a page is linear in its size, however deep its elements nest and whatever is left unclosed.
 """
 
 from __future__ import annotations
 
 import html as html_
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.llm.common import text_slices, written
 
-#: Share of a page's readable text that its container must hold.
-MOST = 0.7
+#: Share of a page's readable text that an element must hold to be taken for the article because it calls itself so.
+MOST = 0.35
+#: A path of more characters than this is told by its start and a hash.
+LONGEST = 400
+#: Hosts whose paths are broadcast: those with the most votes. Pages of all others are joined to theirs by host.
+LARGE_HOSTS = 20_000
 #: Paths that a host keeps, and the least share of its votes for one.
 LEADERS, LEAST_VOTES = 5, 0.02
 
 # Elements by their role in a page.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script|style|title|textarea|noscript|template|iframe|svg|math|object|select|button|canvas|audio|video|xmp"
+RAW = set("script style title textarea iframe xmp".split())
+SKIPPED = set("noscript template svg math object select button canvas audio video".split())
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q ruby rt rp s samp small span strike strong sub sup time tt u var wbr img br".split())
 DROPPED = set("nav header footer aside form fieldset menu dialog head".split())
 CONTAINERS = set("body main article section div td center blockquote table tbody tr ul ol dl figure details".split())
@@ -60,12 +68,99 @@ def junk_name(word: str) -> int:
     return DOUBT if DOUBTFUL.fullmatch(word) else NAMED
 
 
-_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|<(?P<end>/)?(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?/][^>]*>|<[a-zA-Z][^>]*>", re.S | re.I)
-_ATTR = re.compile(r"(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/]|$)", re.I)
+_TAG_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_SPECIAL = re.compile("[>\"']")
+_ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_NAMED = {"class", "id", "role", "style", "hidden", "aria-hidden"}
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _DIGITS = re.compile(r"\d+")
 
 
+class Scanner:
+    """Tags of a page, one after another; every part of the page is looked at a bounded number of times."""
+
+    def __init__(self, source: str):
+        self.source, self.size = source, len(source)
+        self.last = source.rfind(">")
+        self.dead: set[int] = set()  # quotes from which no tag ends
+        self.absent: set[str] = set()  # what was searched for and does not come any more
+
+    def next(self, at: int) -> tuple[int, int, str, str]:
+        """start, end, name (with a slash before it for an end tag; empty for comments and the like) and attributes of the next tag."""
+        s = self.source
+        while True:
+            lt = s.find("<", at)
+            if lt < 0 or lt > self.last and not s.startswith("<!--", lt):
+                return self.size, self.size, "", ""
+            if s.startswith("<!--", lt):
+                end = s.find("-->", lt + 4)
+                return lt, end + 3 if end >= 0 else self.size, "", ""
+            slash = s.startswith("/", lt + 1)
+            m = _TAG_NAME.match(s, lt + 1 + slash)
+            if m:
+                end = self._end(m.end())
+                if end < 0:  # its quotes do not close
+                    return lt, s.find(">", lt) + 1, "", ""
+                return lt, end, "/" * slash + m[0].lower(), s[m.end() : end - 1]
+            if slash or s.startswith(("!", "?"), lt + 1):
+                return lt, s.find(">", lt) + 1, "", ""
+            at = lt + 1
+
+    def _end(self, at: int) -> int:
+        """The place after the tag's `>`, that inside of quotes not counted; -1 if there is none."""
+        quotes: list[int] = []
+        while True:
+            m = _SPECIAL.search(self.source, at)
+            if m and m[0] == ">":
+                return m.end()
+            close = self.source.find(m[0], m.end()) if m and m.start() not in self.dead else -1
+            if m:
+                quotes.append(m.start())
+            if close < 0:
+                self.dead.update(quotes)
+                return -1
+            at = close + 1
+
+    def after(self, pattern: str, at: int) -> re.Match | None:
+        """The next match of a pattern."""
+        if pattern in self.absent:
+            return None
+        m = re.compile(pattern, re.I).search(self.source, at)
+        if not m:
+            self.absent.add(pattern)
+        return m
+
+
+class Stack:
+    """Open elements with their containers; the topmost of a kind is found without a walk."""
+
+    def __init__(self):
+        self.items: list[tuple[str, int]] = [("body", 0)]
+        self.places: dict[str, list[int]] = {}
+        self.blocks = [0]
+
+    def push(self, tag: str, node: int) -> None:
+        self.places.setdefault(tag, []).append(len(self.items))
+        if tag not in INLINE:
+            self.blocks.append(len(self.items))
+        self.items.append((tag, node))
+
+    def close(self, down_to: int) -> None:
+        while len(self.items) > down_to:
+            tag, _ = self.items.pop()
+            self.places[tag].pop()
+            if tag not in INLINE:
+                self.blocks.pop()
+
+    def top(self, tags: Iterable[str]) -> int:
+        """Place of the topmost of some elements, 0 if none is open."""
+        return max((p[-1] for t in tags if (p := self.places.get(t))), default=0)
+
+    @property
+    def node(self) -> int:
+        return self.items[-1][1]
+
+
 class Page:
     """Containers and blocks of a page. A block is a run of text between two borders of block elements."""
 
@@ -77,118 +172,98 @@ class Page:
         self._parse(source)
         self._keep_doubtful()
         self.junk: list[int] = []
-        for up, own in zip(self.parent, self.own, strict=True):
+        self.path: list[str] = []
+        for up, own, label in zip(self.parent, self.own, self.label, strict=True):
             self.junk.append(max(own, self.junk[up] if up >= 0 else 0))
+            path = f"{self.path[up]}>{label}" if up >= 0 else label
+            self.path.append(path if len(path) <= LONGEST else f"{path[: LONGEST // 2]}>#{xxhash.xxh3_64_hexdigest(path)}")
 
     def _parse(self, source: str) -> None:
-        stack: list[tuple[str, int]] = [("body", 0)]  # element, container
+        scan, stack = Scanner(source), Stack()
         held: list[str] = []
-        linked = links = 0
+        linked = 0
 
         def flush() -> None:
             nonlocal linked
             if held:
                 text = " ".join(html_.unescape("".join(held)).split())
                 if text:
-                    tag = next((t for t, _ in reversed(stack) if t not in INLINE), "body")
-                    self.blocks.append((stack[-1][1], text, min(1.0, linked / len(text)), tag))
+                    self.blocks.append((stack.node, text, min(1.0, linked / len(text)), stack.items[stack.blocks[-1]][0]))
                 held.clear()
             linked = 0
 
-        def close(down_to: int) -> None:
-            nonlocal links
-            for t, _ in stack[down_to:]:
-                links -= t == "a"
-            del stack[down_to:]
-
         at, size = 0, len(source)
         while at < size:
-            m = _TOKEN.search(source, at)
-            text = source[at : m.start() if m else size]
-            if text:
-                held.append(text)
-                if links:
-                    linked += len(text.strip())
-            if not m:
-                break
-            at = m.end()
-            if m["raw"]:
-                end = re.compile(rf"</{m['raw']}\s*>", re.I).search(source, at)
-                if m["raw"].lower() not in ("script", "style"):
-                    flush() if m["raw"].lower() not in ("svg", "math", "button", "noscript", "template") else None
-                at = end.end() if end else size
-                continue
-            tag = m["tag"]
+            start, end, tag, attrs = scan.next(at)
+            if start > at:
+                held.append(source[at:start])
+                if stack.places.get("a"):
+                    linked += len(source[at:start].strip())
+            at = end
             if not tag:
                 continue
-            tag = tag.lower()
-            if tag in ("html", "head", "body"):
-                if tag == "head" and not m["end"]:
-                    end = re.compile(r"</head\s*>|<body\b", re.I).search(source, at)
-                    at = (end.end() if end[0][1] == "/" else end.start()) if end else at
-                elif tag == "body" and not m["end"]:
+            if tag in RAW or tag in SKIPPED:
+                close = scan.after(rf"</{tag}\s*>", at)
+                if tag not in ("script", "style", "svg", "math", "button", "noscript", "template"):
                     flush()
-                    self.label[0] = "body" + self._name(m["attrs"])[0]
+                at = close.end() if close else size if tag in RAW else at
                 continue
-            if m["end"]:
-                if tag in INLINE:
-                    for i in range(len(stack) - 1, 0, -1):
-                        if stack[i][0] == tag:
-                            close(i) if all(t in INLINE for t, _ in stack[i:]) else None
-                            break
-                        if stack[i][0] not in INLINE:
-                            break
+            name = tag.removeprefix("/")
+            if name in ("html", "head", "body"):
+                if tag == "head":
+                    close = scan.after(r"</head\s*>|<body\b", at)
+                    at = (close.end() if close[0][1] == "/" else close.start()) if close else at
+                elif tag == "body":
+                    flush()
+                    self.label[0] = "body" + self._name(attrs)[0]
+                continue
+            if tag != name:
+                place = stack.top((name,))
+                if name in INLINE:
+                    if place > stack.blocks[-1]:
+                        stack.close(place)
                     continue
                 flush()
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] == tag:
-                        close(i)
-                        break
+                if place:
+                    stack.close(place)
                 continue
             if tag == "br":
                 held.append(" ")
                 continue
             if tag in INLINE:
                 if tag not in VOID:
-                    name, junk = self._name(m["attrs"])
-                    stack.append((tag, self._node(stack[-1][1], tag + name, junk) if junk and tag == "span" and not held else stack[-1][1]))
-                    links += tag == "a"
+                    name, junk = self._name(attrs)
+                    stack.push(tag, self._node(stack.node, tag + name, junk) if junk and tag == "span" and not held else stack.node)
                 continue
             flush()
             if tag in VOID:
                 continue
             # a block ends an open paragraph and what is inline in it
-            for i in range(len(stack) - 1, 0, -1):
-                t = stack[i][0]
-                if t == "p" or t in HEADINGS and tag in HEADINGS:
-                    close(i)
-                    break
-                if t not in INLINE:
-                    while len(stack) > 1 and stack[-1][0] in INLINE and stack[-1][0] != "a":
-                        close(len(stack) - 1)
-                    break
+            block = stack.blocks[-1]
+            if block and (stack.items[block][0] == "p" or stack.items[block][0] in HEADINGS and tag in HEADINGS):
+                stack.close(block)
+            elif block:
+                while stack.items[-1][0] in INLINE and stack.items[-1][0] != "a":
+                    stack.close(len(stack.items) - 1)
             if tag in CLOSES:
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] in CLOSES[tag]:
-                        close(i)
-                        break
-                    if stack[i][0] in SCOPES[tag]:
-                        break
-            node = stack[-1][1]
+                place = stack.top(CLOSES[tag])
+                if place > stack.top(SCOPES[tag]):
+                    stack.close(place)
+            node = stack.node
             if tag not in ("p", "pre") and tag not in HEADINGS:
-                name, junk = self._name(m["attrs"])
+                name, junk = self._name(attrs)
                 # the header of an article may hold its heading
-                inside = tag == "header" and any(t in ("article", "main") for t, _ in stack)
+                inside = tag == "header" and stack.top(("article", "main")) > 0
                 if tag in ("article", "main") and junk < OUT:
                     junk = min(junk, DOUBT) if tag == "article" else 0
                 if tag in DROPPED and not inside:
                     junk = max(junk, DOUBT if tag == "form" else OUT)
                 node = self._node(node, tag + name, junk, inside)
-            elif m["attrs"]:
-                name, junk = self._name(m["attrs"])
+            elif attrs:
+                name, junk = self._name(attrs)
                 if junk:
                     node = self._node(node, tag + name, junk)
-            stack.append((tag, node))
+            stack.push(tag, node)
         flush()
 
     def _node(self, parent: int, label: str, junk: int, heading_only: bool = False) -> int:
@@ -204,7 +279,8 @@ class Page:
             return "", 0
         got: dict[str, str] = {}
         for m in _ATTR.finditer(attrs):
-            got.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+            if m[1].lower() in _NAMED:
+                got.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
         first = (got.get("class", "").split() or got.get("id", "").split() or [""])[0]
         words = f"{got.get('class', '')} {got.get('id', '')} {got.get('role', '')}"
         junk = "hidden" in got or got.get("aria-hidden", "").lower() == "true" or bool(_HIDDEN.search(got.get("style", "")))
@@ -213,13 +289,6 @@ class Page:
         junk = OUT if junk else max((junk_name(w) for w in own), default=0)
         return ("." + _DIGITS.sub("#", first).lower() if first else ""), junk
 
-    def path(self, node: int) -> str:
-        out = []
-        while node >= 0:
-            out.append(self.label[node])
-            node = self.parent[node]
-        return ">".join(reversed(out))
-
     def _keep_doubtful(self) -> None:
         """Containers in doubt are kept if they hold at least as much text as all that is kept without them."""
         for _ in range(8 if DOUBT in self.own else 0):  # what is kept doubles each time
@@ -261,35 +330,39 @@ class Page:
                 gone.update(items)
         return [k for k in out if k not in gone]
 
-    def weights(self, blocks: list[int]) -> dict[int, float]:
-        """Readable text under each container, links counted out."""
-        total: dict[int, float] = {}
+    def weights(self, blocks: list[int]) -> list[float]:
+        """Readable text under each container; blocks that are links for the most part are left out."""
+        total = [0.0] * len(self.parent)
         for k in blocks:
             node, text, linked, _ = self.blocks[k]
-            w = len(text) * (1 - linked)
-            while node >= 0:
-                total[node] = total.get(node, 0.0) + w
-                node = self.parent[node]
+            total[node] += len(text) * (linked < 0.5)
+        for n in range(len(total) - 1, 0, -1):  # a container comes after the one it lies in
+            total[self.parent[n]] += total[n]
         return total
 
-    def best(self, total: dict[int, float]) -> int:
-        """The deepest container with most of the readable text; an element that calls itself article or main first."""
-        whole = total.get(0, 0.0)
+    def best(self, total: list[float]) -> int:
+        """The deepest container with all of the readable text, or the one element inside it that calls itself article or main."""
+        below: list[list[int]] = [[] for _ in total]
+        for n in range(1, len(total)):
+            if total[n] > 0:
+                below[self.parent[n]].append(n)
         node = 0
-        while True:
-            below = [n for n in total if self.parent[n] == node and self._holds(n)]
-            top = max(below, key=lambda n: total[n] * (1.5 if self._calls(n) else 1.0), default=None)
-            if top is None or total[top] < (MOST if not self._calls(top) else MOST / 2) * max(whole, 1e-9):
-                return node
-            node = top
-            if self.label[node].split(".")[0] == "article":
-                return node
+        while not self._is(node, "article"):
+            called = [n for n in below[node] if self._is(n, "article", "main")]
+            if len(called) == 1 and total[called[0]] >= MOST * total[0]:
+                node = called[0]
+                continue
+            whole = [n for n in below[node] if self._holds(n) and total[n] >= total[node]]
+            if not whole:
+                break
+            node = whole[0]
+        return node
 
     def _holds(self, n: int) -> bool:
         return self.label[n].split(".")[0].split("^")[0] in ("main", "article", "section", "div", "td", "table", "tbody", "tr", "center", "blockquote")
 
-    def _calls(self, n: int) -> bool:
-        return self.label[n].split(".")[0] in ("article", "main")
+    def _is(self, n: int, *tags: str) -> bool:
+        return self.label[n].split(".")[0] in tags
 
 
 def vote(source: str | None) -> tuple[str, float] | None:
@@ -298,10 +371,10 @@ def vote(source: str | None) -> tuple[str, float] | None:
         return None
     page = Page(source)
     total = page.weights(page.readable())
-    if not total.get(0):
+    if not total[0]:
         return None
     node = page.best(total)
-    return page.path(node), total[node] / total[0]
+    return page.path[node], total[node] / total[0]
 
 
 def extract(source: str | None, leaders: list[str], votes: list[float]) -> str:
@@ -313,30 +386,27 @@ def extract(source: str | None, leaders: list[str], votes: list[float]) -> str:
     if not blocks:
         return ""
     total = page.weights(blocks)
-    places: dict[str, list[int]] = {}
-    if leaders:
-        for n in total:
-            p = page.path(n)
-            if p in leaders:
-                places.setdefault(p, []).append(n)
-    ranked = [(v * sum(total[n] for n in places[p]), p) for p, v in zip(leaders, votes, strict=True) if p in places]
-    if ranked and max(ranked)[0] > 0:
-        chosen = set(places[max(ranked)[1]])
+    suits = dict.fromkeys(leaders, 0.0)
+    held: list[str | None] = []  # the path among the leaders' whose container is nearest above, or here
+    for n, path in enumerate(page.path):
+        up = held[page.parent[n]] if n else None
+        held.append(path if path in suits else up)
+        if path in suits and up != path:
+            suits[path] += total[n]
+    ranked = [(v * suits[p], p) for p, v in zip(leaders, votes, strict=True) if suits[p]]
+    if ranked:
+        chosen = max(ranked)[1]
+        inside = [p == chosen for p in page.path]
     else:
-        chosen = {page.best(total)}
-    inside: dict[int, bool] = {-1: False}
-
-    def under(node: int) -> bool:
-        chain = []
-        while node not in inside and node not in chosen:
-            chain.append(node)
-            node = page.parent[node]
-        found = node in chosen or inside[node]
-        for n in chain:
-            inside[n] = found
-        return found
-
-    return " ".join(page.blocks[k][1] for k in blocks if under(page.blocks[k][0]))
+        own = page.best(total)
+        inside = [n == own for n in range(len(page.path))]
+    for n in range(1, len(inside)):
+        inside[n] = inside[n] or inside[page.parent[n]]
+    taken = [k for k in blocks if inside[page.blocks[k][0]]]
+    # the title may stand right before the container
+    if taken and (place := blocks.index(taken[0])) and page.blocks[blocks[place - 1]][3] == "h1":
+        taken.insert(0, blocks[place - 1])
+    return " ".join(page.blocks[k][1] for k in taken)
 
 
 def host_of(url: str | None) -> str:
@@ -345,7 +415,7 @@ def host_of(url: str | None) -> str:
 
 
 def leading_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """host, paths, votes: the leading paths of each host, best first, with their shares of the host's votes."""
+    """host, paths, votes, all: the leading paths of each host, best first, with their shares of the host's votes, and these."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_slices(batches, "html"):
@@ -362,8 +432,8 @@ def leading_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html"
     first = sums.withColumn("place", F.row_number().over(Window.partitionBy("host").orderBy(F.desc("votes"), "path"))).where(F.col("place") <= LEADERS)
     all_ = sums.groupBy("host").agg(F.sum("votes").alias("all"))
     kept = first.join(all_, "host").where(F.col("votes") >= LEAST_VOTES * F.col("all"))
-    lists = kept.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("place", "path", (F.col("votes") / F.col("all")).alias("share")))).alias("l"))  # LEADERS rows at most
-    return lists.select("host", F.col("l.path").alias("paths"), F.col("l.share").alias("votes"))
+    lists = kept.groupBy("host").agg(F.first("all").alias("all"), F.sort_array(F.collect_list(F.struct("place", "path", (F.col("votes") / F.col("all")).alias("share")))).alias("l"))  # LEADERS rows at most
+    return lists.select("host", F.col("l.path").alias("paths"), F.col("l.share").alias("votes"), "all")
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -373,9 +443,15 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     Repeated rows vote and are extracted each; other columns are not read.
     """
     leaders = written(leading_paths(pages, url_col, html_col), "paths")
+    # at most LARGE_HOSTS rows of at most LEADERS paths of bounded length; every other host has fewer votes than these
+    large = written(leaders.orderBy(F.desc("all"), "host").limit(LARGE_HOSTS), "large-hosts")
+    small = leaders.join(F.broadcast(large.select("host")), "host", "left_anti")
     rows = pages.select(pages[id_col].alias("page_id"), pages[url_col].alias("url"), pages[html_col].alias("html"))
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^(?i)[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
-    joined = rows.withColumn("host", host).join(leaders, "host", "left").select("page_id", "url", "html", "paths", "votes")
+    rows = rows.withColumn("host", host)
+    at_large = rows.join(F.broadcast(large), "host")
+    others = rows.join(F.broadcast(large.select("host")), "host", "left_anti").join(small, "host", "left")
+    joined = at_large.unionByName(others).select("page_id", "url", "html", "paths", "votes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_slices(batches, "html"):

@@ -163,6 +163,100 @@ def test_html_names(body, want):
     assert host_paths.extract(source, [path], [1.0]) == want == host_paths.extract(source, [], [])
 
 
+def test_html_attributes():
+    source = '<body><div title="hidden gem" data-id="ad" data-class="menu"><p>Seen</p></div></body>'
+    assert host_paths.extract(source, [], []) == "Seen"
+
+
+def lorem(n, word="word"):
+    return " ".join([word] * n)
+
+
+@pytest.mark.parametrize(
+    "body, n",
+    [
+        (f'<main><div class="lead"><p>{lorem(15)}</p></div><div class="text"><p>{lorem(85)}</p></div></main>', 100),
+        (f'<div class="content"><h1>The title</h1><section><p>{lorem(15)}</p></section><section><p>{lorem(85)}</p></section></div>', 102),
+        (f'<div class="content"><h1>The title</h1><section><p>{lorem(25)}</p></section><section><p>{lorem(75)}</p></section></div>', 102),
+    ],
+)
+def test_html_siblings_stay(body, n):
+    source = f'<html><body><nav><ul><li><a href="x">menu</a></li></ul></nav>{body}<footer>foot</footer></body></html>'
+    path, _ = host_paths.vote(source)
+    assert len(host_paths.extract(source, [path], [1.0]).split()) == n == len(host_paths.extract(source, [], []).split())
+    assert len(host_paths.extract(source, ["body>div.content>section"], [1.0]).split()) == n  # a host whose other pages have no title
+
+
+def test_html_consensus_beats_the_page():
+    """A page whose unnamed comments outweigh its article follows its host."""
+    source = f'<body><div class="post"><p>{lorem(10, "own")}</p></div><div class="zz"><p>{lorem(90)}</p></div></body>'
+    assert set(host_paths.extract(source, ["body>div.post"], [0.9]).split()) == {"own"}
+
+
+@pytest.mark.parametrize("unit", ["<div>word ", "<a ", "<a>", '<a ">" ', "<a '\">", "<head>", "<li>x", "<ul><li>x", "<!--", "<b>x</i>", "<p><table><td>y", "<div class='ad x'>", "<", "<svg>", "&amp;"])
+def test_html_work_is_linear(unit):
+    import time
+
+    def took(size):
+        source = "<p>start</p>" + unit * (size // len(unit))
+        began = time.process_time()
+        v = host_paths.vote(source)
+        host_paths.extract(source, [v[0]] if v else [], [1.0] if v else [])
+        return time.process_time() - began
+
+    took(1 << 14)
+    assert took(1 << 19) < 40 * max(took(1 << 16), 0.02)
+
+
+def test_html_all_pages_against_a_plain_parser(spark):
+    """The given pages mark their article: a parser of another make, followed step by step, must find the same text."""
+    from html.parser import HTMLParser
+
+    class Article(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.depth, self.blocks = 0, [""]
+
+        def handle_starttag(self, tag, attrs):
+            self.depth += tag == "article"
+            self.blocks += [""] if tag in ("p", "h1", "article") else []
+            self.blocks[-1] += " " if tag == "br" else ""
+
+        def handle_endtag(self, tag):
+            self.depth -= tag == "article"
+            self.blocks += [""] if tag in ("p", "h1", "article") else []
+
+        def handle_data(self, data):
+            self.blocks[-1] += data if self.depth else ""
+
+    def brute(source):
+        parser = Article()
+        parser.feed(source or "")
+        parser.close()
+        return " ".join(t for b in parser.blocks if (t := " ".join(b.split())))
+
+    rows = table(spark, "pages").collect()
+    got = {r.page_id: r for r in host_paths.main_text(table(spark, "pages")).collect()}
+    assert len(got) == len(rows)
+    for r in rows:
+        assert (got[r.page_id].url, got[r.page_id].text, got[r.page_id].n_chars) == (r.url, brute(r.html), len(brute(r.html)))
+
+
+def test_html_nasty_rows(spark, monkeypatch):
+    """Repeated rows, long and deep pages, columns that clash with the operator's own; hosts within and beyond the broadcast."""
+    schema = "page_id long, url string, html string, host string, paths string, votes long, text string, `all` int"
+    rows = [(i, f"http://h{i % 3}.example/{i}", PAGE.format(n=i)) for i in range(9)] * 2
+    rows += [(50, "http://deep.example/", "<div>" * 20_000 + "deep"), (51, None, "<p>long " + "x " * 200_000), (52, "http://h1.example/", None)]
+    df = spark.createDataFrame([(*r, "h", "p", 1, "t", 2) for r in rows], schema)
+    want = None
+    for most in (20_000, 1):
+        monkeypatch.setattr(host_paths, "LARGE_HOSTS", most)
+        got = sorted((r.page_id, r.url or "", r.text) for r in host_paths.main_text(df).collect())
+        assert len(got) == len(rows) and want in (None, got)
+        want = got
+    assert {t for k, _, t in want if k == 50} == {"deep"} and {len(t) for k, _, t in want if k == 51} == {4 + 400_000}
+
+
 def test_html_short_sections():
     source = "<body><div class=page>" + "".join(f"<div class=part><p>{t}</p></div>" for t in ("word " * 99, "short", "few words")) + "</div></body>"
     assert host_paths.extract(source, ["body>div.page>div.part"], [1.0]).split() == ["word"] * 99 + ["short", "few", "words"]
