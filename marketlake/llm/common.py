@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that a Python task handles at a time.
 SLICE_BYTES = 4 << 20
+#: Bits of a sieve (a power of two): a table of at most SIEVE / 64 rows, however many keys go in.
+SIEVE = 1 << 24
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -32,7 +35,42 @@ def written(df: DataFrame, name: str = "step") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    _PLACES[id(back)] = (weakref.ref(back), path)
+    return back
+
+
+_PLACES: dict[int, tuple[weakref.ref, str]] = {}
+
+
+def release(*tables: DataFrame) -> None:
+    """Deletes tables that `written` made, once all that was made from them is written itself."""
+    for df in tables:
+        ref, path = _PLACES.pop(id(df), (None, ""))
+        if ref is not None and ref() is df:
+            jvm, sc = df.sparkSession._jvm, df.sparkSession.sparkContext
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def sieve(keys: DataFrame, column: str) -> DataFrame:
+    """sieve_word, sieve_bits: a bit for the hash of each key. Bounded in size, so it may be broadcast; `sift` tells keys by it."""
+    bit = F.pmod(F.xxhash64(column), F.lit(SIEVE))
+    words = keys.select(F.shiftright(bit, 6).alias("sieve_word"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(bit, F.lit(64)).cast("int")).alias("b"))
+    return words.groupBy("sieve_word").agg(F.bit_or("b").alias("sieve_bits"))
+
+
+def sift(rows: DataFrame, column: str, held: DataFrame, out: bool = False) -> DataFrame:
+    """Rows whose key may be in the sieve (out: all others, which surely are not among its keys). A narrow step.
+
+    All keys of the sieve pass. Of other keys as many pass as the sieve is full: few while there are far fewer keys than
+    bits, all in the end. Whoever joins what passes gets the same result either way, at the cost of one shuffle of it.
+    """
+    bit = F.pmod(F.xxhash64(column), F.lit(SIEVE))
+    df = rows.withColumns({"sieve_at": F.shiftright(bit, 6), "sieve_bit": F.pmod(bit, F.lit(64)).cast("int")})
+    df = df.join(F.broadcast(held), F.col("sieve_at") == F.col("sieve_word"), "left")
+    hit = F.coalesce(F.call_function("shiftrightunsigned", F.col("sieve_bits"), F.col("sieve_bit")).bitwiseAND(1) == 1, F.lit(False))
+    return df.where(~hit if out else hit).select(*rows.columns)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import text_slices, written
+from marketlake.llm.common import release, sieve, sift, text_slices, written
 from marketlake.llm.components import components
 
 #: Documents of a chunk, and n-grams of all its documents, at most (on average; chunks are filled by hash).
@@ -38,8 +38,6 @@ FREQUENT = 1 << 17
 COUNTERS, SHARE = 1 << 20, 1000
 #: A head is longer than it must be by one in SPARE of a set's n-grams; so many of its most shared n-grams are passed over.
 SPARE = 20
-#: Rows (of five numbers) that are broadcast at most, after counting them.
-BROADCAST_ROWS = 400_000
 #: Cells of the membership table that a walk uses at once.
 CELLS = 1 << 24
 #: Words whose hashes a task remembers.
@@ -290,7 +288,8 @@ def linked(docs: DataFrame, size: int = 5, threshold: str = "4/5", id_col: str =
     small = counts.where((F.col("docs") <= CHUNK) & (F.col("grams") <= CHUNK_GRAMS)).select(F.col("hub").alias("lead"))
     lead = met.groupBy("node").agg(F.min("hub").alias("lead"))
     idle = met.join(lead, "node").groupBy("hub").agg(F.min("lead").alias("lead"), F.max("lead").alias("last")).where("lead = last and lead < hub").join(small, "lead", "left_semi").select("hub")
-    met = written(met.join(idle, "hub", "left_anti"), "groups")
+    every_met, met = met, written(met.join(idle, "hub", "left_anti"), "groups")
+    release(every_met)
     counts = met.groupBy("hub").agg(F.count("*").alias("docs"), F.sum("n").alias("grams"))
     chunks = counts.select("hub", F.greatest(F.ceil(F.col("docs") / CHUNK), F.ceil(F.col("grams") / CHUNK_GRAMS)).cast("int").alias("chunks"))
     # the hub goes into each of its chunks
@@ -300,7 +299,7 @@ def linked(docs: DataFrame, size: int = 5, threshold: str = "4/5", id_col: str =
 
     def hopeful(dealt: DataFrame) -> DataFrame:
         """Of each group those that, by their heads, may link with another of it."""
-        headed = heads.join(_few(dealt), F.col("node") == F.col("of")).select("hub", "part", "other", "node", "label", "whole", "head")
+        headed = sift(heads, "of", sieve(dealt, "node")).join(dealt, F.col("node") == F.col("of")).select("hub", "part", "other", "node", "label", "whole", "head")
 
         def group(table: pa.Table) -> pa.Table:
             alive = np.zeros(table.num_rows, bool)
@@ -314,8 +313,12 @@ def linked(docs: DataFrame, size: int = 5, threshold: str = "4/5", id_col: str =
         return headed.groupBy("hub", "part", "other").applyInArrow(group, f"hub {kind}, part int, other int, node {kind}, label {kind}")
 
     def settle(dealt: DataFrame) -> DataFrame:
-        dealt = written(hopeful(written(dealt, "dealt")).distinct(), "hopeful")
-        texts = rows.join(_few(dealt), F.col("node") == F.col("doc_id")).select("hub", "part", "other", "node", "label", "text")
+        all_ = written(dealt, "dealt")
+        dealt = written(hopeful(all_).distinct(), "hopeful")
+        release(all_)
+        # texts that may be of use, each once however often its row repeats
+        useful = sift(rows, "doc_id", sieve(dealt, "node")).dropDuplicates(["doc_id", "text"])
+        texts = useful.join(dealt, F.col("node") == F.col("doc_id")).select("hub", "part", "other", "node", "label", "text")
 
         def group(table: pa.Table) -> pa.Table:
             order = Order(shared.value)
@@ -330,24 +333,22 @@ def linked(docs: DataFrame, size: int = 5, threshold: str = "4/5", id_col: str =
             node_type = table.schema.field("node").type
             return pa.table({"a": pa.array([known[i][0] for i, _ in pairs], node_type), "b": pa.array([known[j][0] for _, j in pairs], node_type)})
 
-        return texts.groupBy("hub", "part", "other").applyInArrow(group, f"a {kind}, b {kind}")
+        links = written(texts.groupBy("hub", "part", "other").applyInArrow(group, f"a {kind}, b {kind}"), "links")
+        release(dealt)
+        return links
 
-    links = written(settle(dealt), "links")
+    links = settle(dealt)
     joined = components(links)
     large = written(met.join(chunks.where("chunks > 1"), "hub").join(joined.withColumnRenamed("node", "n_"), F.col("node") == F.col("n_"), "left").select("hub", "node", "n", F.coalesce("component", "node").alias("label")), "large")
+    release(met)
     rest = _apart(large)
     if not rest.isEmpty():
-        joined = components(links.union(written(settle(rest), "links")))
+        joined = components(links.union(settle(rest)))
     named = nodes.select("mark", "node").join(joined.withColumnRenamed("node", "n_"), F.col("node") == F.col("n_"), "left").select("mark", F.coalesce("component", "node").alias("c"))
     df = described.select("doc_id", "n", "mark").join(named, "mark", "left")
     return df.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("c", "doc_id").alias("component_id"))
 
 
-def _few(rows: DataFrame) -> DataFrame:
-    """Rows of a written table for a join: broadcast where a count proves them few, else both sides are shuffled."""
-    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
-
-
 def _apart(large: DataFrame) -> DataFrame:
     """Groups for what hangs apart in hubs of several chunks: all but the hub's largest component, against all."""
     parts = large.groupBy("hub", "label").agg(F.count("*").alias("docs"))
@@ -372,13 +373,11 @@ def keep_one(docs: DataFrame, size: int = 5, threshold: str = "4/5") -> DataFram
     found = linked(docs, size, threshold).where("doc_id is not null")
     own = F.col("doc_id") == F.col("component_id")
     ids = found.groupBy(F.col("doc_id").alias("id")).agg(F.count(F.when(own, 1)).alias("times"), F.max(F.when(own, F.col("n_shingles"))).alias("n"))
-    # those that leave are fewer than those that stay, as a rule; texts are then not shuffled
     ids = written(ids.where("times = 0 or (times > 1 and n > 0)").select("id", (F.col("times") == 0).alias("leaves")), "leave")
     packed = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("key"))
-    leave, again = _few(ids.where("leaves").select("id")), ids.where("not leaves").select("id")
-    kept = packed.join(leave, F.col("key") == F.col("id"), "left_anti")
-    if not again.isEmpty():
-        again = _few(again)
-        repeated = kept.join(again, F.col("key") == F.col("id"), "left_semi").dropDuplicates(["key"])
-        kept = kept.join(again, F.col("key") == F.col("id"), "left_anti").unionByName(repeated)
-    return kept.select("row.*")
+    # texts that surely are not among these stay where they are; of the others, few as a rule, each is looked up
+    told = sieve(ids, "id")
+    looked = sift(packed, "key", told).join(ids, F.col("key") == F.col("id"), "left").where("leaves is null or not leaves")
+    looked = written(looked.select("row", "key", F.col("leaves").isNotNull().alias("again")), "looked-up")
+    kept = sift(packed, "key", told, out=True).select("row").unionByName(looked.where("not again").select("row"))
+    return kept.unionByName(looked.where("again").dropDuplicates(["key"]).select("row")).select("row.*")

@@ -46,12 +46,11 @@ def with_counts(docs: DataFrame, text: str = "text", prefix: str = "q_") -> Data
         F.length(F.regexp_replace(f"{p}t", r"[^#*$%&|<>]+", "")).cast("long").alias(f"{p}symbols"),
         F.size(f"{p}lines_").cast("long").alias(f"{p}lines"),
         (F.size(f"{p}lines_") - F.size(F.array_distinct(f"{p}lines_"))).cast("long").alias(f"{p}dup_lines"),
-        # the hash of a window above, its place below: sorting brings equal windows together, in order
-        e(f"case when size(array_distinct({p}h)) = size({p}h) then null else sort_array(transform({p}h, (h, i) -> shiftleft(h, length(bin({p}words))) | i)) end").alias(f"{p}s"),
+        # sorting by hash and place brings equal windows together, in order
+        e(f"case when size(array_distinct({p}h)) = size({p}h) then null else sort_array(transform({p}h, (h, i) -> named_struct('h', h, 'i', cast(i as bigint)))) end").alias(f"{p}s"),
     )
-    bits = f"length(bin({p}words))"
-    same = f"shiftrightunsigned(x, {bits}) <=> shiftrightunsigned(get({p}s, k - 1), {bits}) or shiftrightunsigned(x, {bits}) <=> shiftrightunsigned(get({p}s, k + 1), {bits})"
-    df = df.withColumn(f"{p}r", e(f"sort_array(transform(filter({p}s, (x, k) -> {same}), x -> x & (shiftleft(1L, {bits}) - 1)))"))
+    same = f"x.h <=> get({p}s, k - 1).h or x.h <=> get({p}s, k + 1).h"
+    df = df.withColumn(f"{p}r", e(f"sort_array(transform(filter({p}s, (x, k) -> {same}), x -> x.i))"))
     covered = f"coalesce(aggregate({p}r, named_struct('to', 0L, 'n', 0L), (a, x) -> named_struct('to', x + 3, 'n', a.n + x + 3 - greatest(x, a.to)), a -> a.n), 0L)"
     return df.withColumn(f"{p}repeat_words", e(covered)).drop(f"{p}s", f"{p}r")
 

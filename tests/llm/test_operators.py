@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from marketlake.llm import backtrack_bpe, cover_tree, host_paths, language, mixing, prefix_tree, quality, rank_merge, secrets, token_files
+from marketlake.llm import backtrack_bpe, common, cover_tree, host_paths, language, mixing, prefix_tree, quality, rank_merge, secrets, token_files
 from marketlake.llm.queries import tokenizer_file
 
 BPE, PIECES = tokenizer_file("word_bpe_49k.json"), tokenizer_file("piece_bpe_32k.model")
@@ -94,6 +94,22 @@ def test_large_hubs_lose_no_link(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in got.collect()} == want
 
 
+def test_sieve(spark):
+    keys, rows = spark.range(0, 3000, 3), spark.range(6000)
+    held = common.sieve(keys, "id")
+    inside = {r.id for r in common.sift(rows, "id", held).collect()}
+    outside = {r.id for r in common.sift(rows, "id", held, out=True).collect()}
+    assert inside | outside == set(range(6000)) and not inside & outside and inside >= set(range(0, 3000, 3)) and len(inside) < 1100
+
+
+def test_repeated_id_sends_each_text_once(spark):
+    """500 equal rows of one id and two near copies: a task gets three texts, not 502."""
+    base = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(base))] * 500 + [(2, " ".join([*base, "x"])), (3, " ".join([*base, "y"]))]
+    got = prefix_tree.linked(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 3, "9/10").collect()
+    assert len(got) == 502 and {r.component_id for r in got} == {1}
+
+
 def test_keep_one(docs, none):
     kept = prefix_tree.keep_one(docs)
     assert kept.schema == docs.schema
@@ -101,10 +117,10 @@ def test_keep_one(docs, none):
     assert prefix_tree.keep_one(none).count() == 0
 
 
-@pytest.mark.parametrize("most", [0, 400_000])
-def test_keep_one_either_join(spark, monkeypatch, most):
-    """Which rows stay does not depend on which side is broadcast; a row of an id that leaves, under any text, goes too."""
-    monkeypatch.setattr(prefix_tree, "BROADCAST_ROWS", most)
+@pytest.mark.parametrize("bits", [1 << 6, 1 << 24])
+def test_keep_one_any_sieve(spark, monkeypatch, bits):
+    """Which rows stay does not depend on how full the sieve is; a row of an id that leaves, under any text, goes too."""
+    monkeypatch.setattr(common, "SIEVE", bits)
     other = " ".join(reversed(WORDS * 3))
     rows = [(1, TEXT), (2, TEXT + " end"), (3, other), (3, other), (4, other), (5, None), (5, None), (None, TEXT), (None, None), (6, "one two"), (7, "one two")]
     kept = prefix_tree.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
@@ -112,7 +128,8 @@ def test_keep_one_either_join(spark, monkeypatch, most):
     assert got == collections.Counter([(1, TEXT), (3, other), (5, None), (5, None), (None, TEXT), (None, None), (6, "one two")])
 
 
-def test_embeddings(spark):
+@pytest.mark.parametrize("block", [32, 16_384])
+def test_embeddings(spark, block):
     e = table(spark, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"), (F.col("label") % 2).alias("label"))
     rng = np.random.default_rng(2)
     base = rng.normal(size=(6, 64))
@@ -123,13 +140,36 @@ def test_embeddings(spark):
     link = lambda a, b: a[2] == b[2] and len(a[1]) == len(b[1]) and a[1] @ b[1] / np.sqrt((a[1] @ a[1]) * (b[1] @ b[1])) >= 0.98
     n = {a[0]: sum(link(a, b) for b in good if b[0] != a[0]) for a in good}
     want = brute_components({a[0]: a for a in good}, link)
-    got = {r.vec_id: r for r in cover_tree.near_duplicates(df, block=32, pivots=4).collect()}
+    got = {r.vec_id: r for r in cover_tree.near_duplicates(df, block=block).collect()}
     assert len(got) == df.count() and max(n.values()) > 5
     for k, r in got.items():
         assert (r.n_links, r.component_id, r.kept) == (n.get(k, 0), want.get(k, k), k is not None and want.get(k, k) == k)
     assert cover_tree.near_duplicates(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("flat", [True, False])
+def test_cover_tree(flat):
+    """Two trees walked together find the pairs of a plain product; a level covers all and keeps its radius."""
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(3000 if flat else 40, 16))
+    x = cover_tree.unit(base[rng.integers(0, len(base), 3000)] + rng.normal(size=(3000, 16)) * 0.05)
+    a, b = cover_tree.Tree(x[:1700]), cover_tree.Tree(x[1700:])
+    for t in (a, b):
+        for k in range(len(t.levels) - 1):
+            assert sorted(np.concatenate(t.children[k])) == list(range(len(t.levels[k + 1])))
+    assert flat or len(a.levels) > 3
+    got = {(int(p), int(q)) for i, j in cover_tree.traverse(a, b, 0.98) for p, q in zip(i, j, strict=True)}
+    i, j = np.nonzero(x[:1700] @ x[1700:].T >= 0.98)
+    assert got == set(zip(i.tolist(), j.tolist(), strict=True)) and got
+
+
+def test_embeddings_clashing_columns_and_doubles(spark):
+    rows = [(i, [1.0, float(i % 2), 1e-9 * i], i % 2, "c", "n", 1, 2, "b", "r") for i in range(20)] * 2
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, class string, node string, copies int, dim int, block string, raw string")
+    got = cover_tree.near_duplicates(df, block=3).collect()
+    assert len(got) == 40 and {(r.n_links, r.component_id) for r in got} == {(19, 0), (19, 1)}
+
+
 PAGE = """<html><head><title>x</title></head><body><div id="cookie-notice">We use cookies</div><nav>Menu</nav><div class=wrap><div class="post-{n} with-sidebar"><h1>Tit&amp;le {n}</h1><p>First para with <b>bo</b>ld<p>Second<br>line&nbsp;x
  y</p><div class="ad">Buy</div><form>mail</form><script>if(a<b){{}}</script></div><div class=sidebar>side</div><div id=comments><p>A comment that is longer than all of the article, and then some more, and more, and more of it</p></div></div><footer>foot</footer></body></html>"""
 
@@ -375,6 +415,60 @@ def test_quality(spark, docs, none):
     assert kept.schema == docs.schema and quality.keep_good(none).count() == 0 and quality.report(none).count() == 0
 
 
+def test_quality_of_a_very_long_text(spark):
+    rng = np.random.default_rng(4)
+    w = [f"v{i}" for i in rng.integers(0, 300, 150_000)]
+    rows = [(1, " ".join(w), "en", "a"), (2, None, None, None)]
+    r = {x.doc_id: x for x in quality.report(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}[1]
+    seen = collections.Counter(zip(w, w[1:], w[2:], strict=False))
+    assert r.n_repeat_words == len({j for i in range(len(w) - 2) if seen[w[i], w[i + 1], w[i + 2]] > 1 for j in (i, i + 1, i + 2)}) > 0
+
+
+def brute_kept(rows):
+    """The verdict from the definition: nearest-rank quantiles of exact values, each moved to the middle of its bucket."""
+    import math
+
+    def counts(text):
+        w = words(text)
+        lines = [x for x in (text or "").split("\n") if words(x)]
+        seen = collections.Counter(zip(w, w[1:], w[2:], strict=False))
+        cover = len({j for i in range(len(w) - 2) if seen[tuple(w[i : i + 3])] > 1 for j in (i, i + 1, i + 2)})
+        chars = sum(map(len, w))
+        share = lambda a, b: a / b if b else 0.0
+        of = {"symbol_share": share(len(re.findall(r"[#*$%&|<>]", text or "")), chars), "dup_line_share": share(len(lines) - len(set(lines)), len(lines)), "repeat_share": share(cover, len(w)), "mean_word": share(chars, len(w))}
+        return of, len(w) < 50 or 100 * cover > 50 * len(w)
+
+    bucket = lambda v: 0 if v < 1e-6 else max(1, math.ceil(math.log(v / 1e-6) / math.log(1.02)))
+    middle = lambda b: 0.0 if b == 0 else 1e-6 * 1.02 ** (b - 0.5)
+    told = [(k, lang, source, *counts(text)) for k, text, lang, source in rows]
+    groups = collections.defaultdict(list)
+    for _, lang, source, of, failed in told:
+        for key in ((lang, source), (lang,), ()) if not failed else ():
+            groups[key].append({m: bucket(v) for m, v in of.items()})
+
+    def fits(lang, source, of):
+        if (lang, source) not in groups:
+            return False
+        group = next(g for key in ((lang, source), (lang,), ()) if len(g := groups[key]) >= quality.ENOUGH or key == ())
+        for m, (up, down) in quality.RULES.items():
+            b = sorted(x[m] for x in group)
+            q25, q50, q75 = (middle(b[math.ceil(q * len(b)) - 1]) for q in (0.25, 0.5, 0.75))
+            if of[m] > q50 + 6 * (q50 - q25) + up + 1e-12 or down is not None and of[m] < q50 - 6 * (q75 - q50) - down - 1e-12:
+                return False
+        return True
+
+    return {k: not failed and fits(lang, source, of) for k, lang, source, of, failed in told}
+
+
+@pytest.mark.parametrize("enough", [200, 10])
+def test_quality_verdict(spark, monkeypatch, enough):
+    monkeypatch.setattr(quality, "ENOUGH", enough)
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("doc_id is not null")
+    want = brute_kept([(r.doc_id, r.text, r.lang, r.source) for r in d.collect()])
+    got = {r.doc_id: r.kept for r in quality.report(d).collect()}
+    assert got == want and 0 < sum(got.values()) < len(got)
+
+
 def test_language(spark, docs, none):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     r = language.report(d).join(d.select("doc_id", "lang"), "doc_id").where("held_out").toPandas()
