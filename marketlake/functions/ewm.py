@@ -10,82 +10,74 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
 Mean = tuple[str, str, float, int]  #: output column, input column, alpha, inputs needed before the first value
 
 
-def _scan(x: np.ndarray, reset: np.ndarray, alpha: float, state: float) -> tuple[np.ndarray, float]:
-    """Values of the recursion from a state; and the factor with which the state goes into the last value."""
-    y = np.full(len(x), np.nan)
-    factor = 1.0
-    for i in range(len(x)):
-        if np.isnan(x[i]):
-            continue
-        if reset[i]:
-            state, factor = x[i], 0.0
-        else:
-            state, factor = (1 - alpha) * state + alpha * x[i], factor * (1 - alpha)
-        y[i] = state
-    return y, factor
+def scan(x: np.ndarray, reset: np.ndarray, alpha: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """factor and offset of each place: the value there is factor * state + offset, for the state before the first place.
+
+    x and reset have a row for each mean. Maps are composed in rounds of doubling distance, so work is n log n in arrays;
+    a missing input is the identity, a reset forgets the state.
+    """
+    missing = np.isnan(x)
+    a = alpha[:, None]
+    factor = np.where(missing, 1.0, np.where(reset, 0.0, 1 - a))
+    offset = np.where(missing, 0.0, np.where(reset, 1.0, a) * np.nan_to_num(x))
+    step = 1
+    while step < x.shape[1]:
+        offset[:, step:] += factor[:, step:] * offset[:, :-step]
+        factor[:, step:] *= factor[:, :-step]
+        step *= 2
+    return factor, offset
 
 
 def ewm(df: DataFrame, means: Sequence[Mean], keys: Sequence[str] = ("symbol",), time: str = "open_time", section: str = "section", block: str = "day") -> DataFrame:
     """Adds the means. `section` parts a series into runs that start afresh; rows without an input are passed over.
 
-    An output is null until its run has given enough inputs, and where the input is null.
+    An output is null until its run has given enough inputs, and where the input is null. Rows are dealt out once, by key
+    and block: both passes read that exchange.
     """
-    out = [m[0] for m in means]
     inputs = sorted({m[1] for m in means})
     rows = df.withColumn("_block", F.date_trunc(block, F.col(time)))
-
-    def first_inputs(g: pd.DataFrame, column: str) -> np.ndarray:
-        # the first input of a run in this block starts the recursion if the run itself starts here
-        return (g[f"_n_{column}"].to_numpy() == 1) & g[column].notna().to_numpy()
-
-    from pyspark.sql import Window
-
     run = Window.partitionBy(*keys, section).orderBy(time).rowsBetween(Window.unboundedPreceding, 0)
     for c in inputs:
         rows = rows.withColumn(f"_n_{c}", F.count(c).over(run))
-
-    def summary(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(time)
-        maps = []
-        for _, c, alpha, _ in means:
-            y, factor = _scan(g[c].to_numpy(float), first_inputs(g, c), alpha, 0.0)
-            last = y[~np.isnan(y)]
-            maps += [factor, last[-1] if len(last) else 0.0]
-        return pd.DataFrame([[*(g[k].iloc[0] for k in keys), g["_block"].iloc[0], *maps]])
-
-    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    head = ", ".join(f"{k} {kinds[k]}" for k in [*keys, "_block"])
-    maps = rows.groupBy(*keys, "_block").applyInPandas(summary, head + "".join(f", f{i} double, l{i} double" for i in range(len(means))))
-
-    def fold(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values("_block").reset_index(drop=True)
-        res = g[[*keys, "_block"]].copy()
-        for i in range(len(means)):
-            state, before = 0.0, []
-            for f, last in zip(g[f"f{i}"], g[f"l{i}"], strict=True):
-                before.append(state)
-                state = f * state + last
-            res[f"c{i}"] = before
-        return res
-
-    carried = maps.groupBy(*keys).applyInPandas(fold, head + "".join(f", c{i} double" for i in range(len(means))))
-    joined = rows.join(carried, [*keys, "_block"])
-    cols = [c for c in df.columns]
-
-    def fill(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(time)
-        for i, (name, c, alpha, least) in enumerate(means):
-            y, _ = _scan(g[c].to_numpy(float), first_inputs(g, c), alpha, float(g[f"c{i}"].iloc[0]))
-            g[name] = np.where(g[f"_n_{c}"].to_numpy() >= least, y, np.nan)
-        return g[[*cols, *out]]
-
-    schema = ", ".join([*(f"{c} {kinds[c]}" for c in cols), *(f"{c} double" for c in out)])
-    res = joined.groupBy(*keys, "_block").applyInPandas(fill, schema)
-    return res.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in out})
+    alpha = np.array([m[2] for m in means])
+    made = [f"_{kind}{i}" for kind in "fo" for i in range(len(means))]
+
+    def maps(t: pa.Table) -> pa.Table:
+        """The map of each place of a block, from the state before the block; the block's own is that of its last place."""
+        t = t.take(pc.sort_indices(t, [(time, "ascending")]))
+        number = lambda c: t.column(c).to_numpy().astype(float)
+        x = np.stack([number(m[1]) for m in means])
+        # the first input of a run starts the recursion
+        reset = (np.stack([number(f"_n_{m[1]}") for m in means]) == 1) & ~np.isnan(x)
+        for name, values in zip(made, np.concatenate(scan(x, reset, alpha)), strict=True):
+            t = t.append_column(name, pa.array(values))
+        return t.append_column("_last", pa.array(np.arange(t.num_rows) == t.num_rows - 1))
+
+    schema = StructType([*rows.schema, *(StructField(n, DoubleType()) for n in made), StructField("_last", BooleanType())])
+    mapped = rows.repartition(*keys, "_block").groupBy(*keys, "_block").applyInArrow(maps, schema)
+
+    def fold(t: pa.Table) -> pa.Table:
+        """The state before each block of a series."""
+        t = t.take(pc.sort_indices(t, [("_block", "ascending")]))
+        factor, offset = (np.stack([t.column(f"_{kind}{i}").to_numpy() for i in range(len(means))]) for kind in "fo")
+        before = np.zeros_like(factor)
+        for k in range(1, t.num_rows):
+            before[:, k] = factor[:, k - 1] * before[:, k - 1] + offset[:, k - 1]
+        return pa.Table.from_arrays([*(t.column(c) for c in [*keys, "_block"]), *map(pa.array, before)], [*keys, "_block", *(f"_c{i}" for i in range(len(means)))])
+
+    head = [f for f in rows.schema if f.name in (*keys, "_block")]
+    head.sort(key=lambda f: [*keys, "_block"].index(f.name))
+    ends = mapped.where("_last").select(*keys, "_block", *made)
+    carried = ends.groupBy(*keys).applyInArrow(fold, StructType([*head, *(StructField(f"_c{i}", DoubleType()) for i in range(len(means)))]))
+    joined = mapped.join(carried, [*keys, "_block"])
+    values = [F.when(F.col(c).isNotNull() & (F.col(f"_n_{c}") >= least), F.col(f"_f{i}") * F.col(f"_c{i}") + F.col(f"_o{i}")).alias(name) for i, (name, c, _, least) in enumerate(means)]
+    return joined.select(*df.columns, *values)

@@ -4,19 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 CANDLES = ("klines", "markPriceKlines", "indexPriceKlines", "premiumIndexKlines")
 
 
-def expected_sources(spark: SparkSession, symbols: Sequence[str], categories: Sequence[str], start: str, end: str) -> DataFrame:
-    """key, symbol, category, period, date: candles by whole months, else by days; funding by months; the rest by days."""
+def expected_sources(symbols: DataFrame, categories: Sequence[str], start: str, end: str) -> DataFrame:
+    """key, symbol, category, period, date of every row of `symbols` (column symbol).
+
+    Candles come by whole months, else by days; funding by months; the rest by days.
+    """
     if start >= end:
         raise ValueError("the window is empty")
-    days = spark.sql(f"select explode(sequence(date'{start}', date'{end}' - interval 1 day, interval 1 day)) d")
-    cats = spark.createDataFrame([(s, c) for s in symbols for c in categories], "symbol string, category string")
-    df = cats.crossJoin(days).withColumn("m", F.trunc("d", "month"))  # two lists of the configuration
+    days = F.expr(f"sequence(date'{start}', date'{end}' - interval 1 day, interval 1 day)")
+    df = symbols.select("symbol").distinct().withColumn("category", F.explode(F.array(*map(F.lit, categories)))).withColumn("d", F.explode(days))
+    df = df.withColumn("m", F.trunc("d", "month"))
     whole = (F.col("m") >= F.lit(start).cast("date")) & (F.last_day("d") < F.lit(end).cast("date"))
     monthly = (F.col("category") == "fundingRate") | (F.col("category").isin(*CANDLES) & whole)
     df = df.select("symbol", "category", F.when(monthly, "monthly").otherwise("daily").alias("period"), F.when(monthly, F.date_format("d", "yyyy-MM")).otherwise(F.date_format("d", "yyyy-MM-dd")).alias("date")).distinct()
@@ -70,8 +73,12 @@ def repair_days(base: DataFrame, daily: DataFrame, days: DataFrame) -> DataFrame
     return base.unionByName(more)
 
 
-def merge_manifests(old: DataFrame, new: DataFrame, keep: Sequence[str] = ("relative_path", "source_sha256", "bytes")) -> DataFrame:
-    """The newer record of each key; fields that it lacks come from the older one."""
+#: Fields that tell of the first acquisition: a later record that lacks them does not make them later.
+ACQUISITION = ("retrieved_at_utc", "last_modified", "etag", "checksum_last_modified")
+
+
+def merge_manifests(old: DataFrame, new: DataFrame, keep: Sequence[str] = ACQUISITION) -> DataFrame:
+    """The newer record of each key; of the fields in `keep` those that it lacks come from the older one."""
     names = [c for c in old.columns if c != "key"]
     o, n = old.alias("o"), new.alias("n")
     pick = lambda c: F.coalesce(f"n.{c}", f"o.{c}") if c in keep else F.when(F.col("n.key").isNotNull(), F.col(f"n.{c}")).otherwise(F.col(f"o.{c}"))
@@ -92,6 +99,12 @@ def check_scopes(expected: DataFrame, found: DataFrame) -> DataFrame:
     return j.select("symbol", "month", error.alias("error")).where("error is not null")
 
 
+def keys_in_scopes(records: DataFrame) -> DataFrame:
+    """key, scopes of every key that comes in more than one scope (symbol, month), or twice in one: an error of the campaign."""
+    g = records.groupBy("key").agg(F.count("*").alias("times"), F.count_distinct("symbol", "month").alias("scopes"))
+    return g.where("times > 1")
+
+
 def catalog_diff(published: DataFrame, actual: DataFrame) -> DataFrame:
     """asset, member, problem: members on one side only, or outside data/."""
     p = published.select("asset", F.explode("members").alias("member")).withColumn("p", F.lit(1))
@@ -109,13 +122,18 @@ def bad_partitions(audit: DataFrame) -> DataFrame:
     return audit.where(F.coalesce(bad, F.lit(True)))
 
 
-def verdict(audit: DataFrame, boundary: DataFrame, coverage: DataFrame) -> DataFrame:
-    """One row: bad partitions, boundary errors, incomplete categories, and whether the core is complete."""
+#: Categories that the verdict rests on.
+CORE = ("klines", "trades")
+
+
+def verdict(audit: DataFrame, boundary: DataFrame, coverage: DataFrame, errors: DataFrame | None = None, core: Sequence[str] = CORE) -> DataFrame:
+    """One row: bad partitions, boundary errors, incomplete core categories, errors of the row checks, and whether the core is complete."""
     one = bad_partitions(audit).agg(F.count("*").alias("bad_partitions"))
     two = boundary.agg(F.count("*").alias("boundary_errors"))
-    short = F.count_if((F.col("verified_files") < F.col("expected_files")) | (F.coalesce("missing_rows", F.lit(0)) > 0))
-    df = one.crossJoin(two).crossJoin(coverage.agg(short.alias("incomplete_categories")))  # three single rows
-    return df.withColumn("core_complete", (F.col("bad_partitions") + F.col("boundary_errors") + F.col("incomplete_categories")) == 0)
+    three = coverage.where(F.col("category").isin(*core)).agg(F.count_if((F.col("verified_files") != F.col("expected_files")) | (F.coalesce("missing_rows", F.lit(0)) > 0)).alias("incomplete_categories"))
+    four = errors.agg(F.count("*").alias("errors")) if errors is not None else one.select(F.lit(0).cast("long").alias("errors"))
+    df = one.crossJoin(two).crossJoin(three).crossJoin(four)  # four single rows
+    return df.withColumn("core_complete", (F.col("bad_partitions") + F.col("boundary_errors") + F.col("incomplete_categories") + F.col("errors")) == 0)
 
 
 def status_counts(records: DataFrame) -> DataFrame:

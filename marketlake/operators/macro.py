@@ -9,10 +9,19 @@ from marketlake.operators.coverage import latest
 
 
 def read_series(spark: SparkSession, path: str) -> DataFrame:
-    """series (the file's name), observation_date, value; a dot is a null, the first column the date whatever its name."""
-    raw = spark.read.schema("d string, v string").option("header", True).option("enforceSchema", True).option("nullValue", ".").csv(path)
-    name = F.regexp_extract(F.col("_metadata.file_name"), r"([^/]+?)\.csv", 1)
-    return raw.select(name.alias("series"), F.expr("try_cast(d as date)").alias("observation_date"), F.expr("try_cast(v as double)").alias("value"))
+    """series (the file's name), observation_date, value of CSV files; see parse_series."""
+    files = spark.read.text(path, wholetext=True)
+    return parse_series(files.select(F.regexp_extract(F.col("_metadata.file_name"), r"([^/]+?)\.csv", 1).alias("series"), F.col("value").alias("content")))
+
+
+def parse_series(files: DataFrame) -> DataFrame:
+    """series, observation_date, value from rows (series, content): a line an observation after the header; a dot is a null.
+
+    The first column is the date whatever its name.
+    """
+    lines = files.select("series", F.explode(F.expr(r"slice(split(content, '\\r?\\n'), 2, 2147483647)")).alias("line")).where("line <> ''")
+    cells = F.split("line", ",")
+    return lines.select("series", F.get(cells, F.lit(0)).try_cast("date").alias("observation_date"), F.get(cells, F.lit(1)).try_cast("double").alias("value"))
 
 
 def html_rows(df: DataFrame, col: str = "value") -> DataFrame:

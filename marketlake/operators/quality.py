@@ -91,5 +91,10 @@ def funding_qa(df: DataFrame, start_ms: int, end_ms: int, time: str = "funding_t
 
 def quarantine(rows: DataFrame, qa: DataFrame, by: str = "file") -> DataFrame:
     """Rows of files without any finding."""
-    bad = qa.where("invalid_rows > 0 or duplicate_times > 0 or out_of_order")
-    return rows.join(bad.select(by), by, "left_anti")
+    return rows.join(reasons(qa, by).select(by), by, "left_anti")
+
+
+def reasons(qa: DataFrame, by: str = "file") -> DataFrame:
+    """file, reason: the files that are set aside whole, and for what."""
+    found = [F.when(F.col(c) > 0, F.concat(F.lit(f"{c}="), F.col(c))) for c in ("invalid_rows", "duplicate_times")] + [F.when(F.col("out_of_order"), "out_of_order")]
+    return qa.select(by, F.concat_ws(", ", *found).alias("reason")).where("reason <> ''")

@@ -128,3 +128,9 @@ def boundary_errors(results: DataFrame) -> DataFrame:
 def incremental(manifest: DataFrame, done: DataFrame) -> DataFrame:
     """Manifest rows still to audit: without an earlier good result of the same bytes."""
     return manifest.join(done.where("status = 'audited_all_rows'"), ["key", "sha256"], "left_anti")
+
+
+def united(manifest: DataFrame, done: DataFrame, fresh: DataFrame) -> DataFrame:
+    """A result for each manifest row: the earlier good one of the same bytes, else that of `fresh` (key, sha256 and the same columns)."""
+    same = done.where("status = 'audited_all_rows'").join(manifest.select("key", "sha256"), ["key", "sha256"], "left_semi")
+    return same.unionByName(fresh.join(manifest.select("key"), "key", "left_semi").join(same.select("key"), "key", "left_anti"))

@@ -11,10 +11,14 @@ CANDLE = ("open_time", "open", "high", "low", "close", "volume", "close_time", "
 
 
 def read_archive(spark: SparkSession, path: str, columns: Sequence[str], first: int | None = None) -> DataFrame:
-    """file, row_idx and the columns (text) of zipped CSV files, one CSV in each; `first` rows of each file at most.
+    """The rows of zipped CSV files; files are read whole by Spark, so any store will do. See parse_archives."""
+    return parse_archives(spark.read.format("binaryFile").load(path).select("path", "content"), columns, first)
 
-    Files are read whole by Spark, so any store will do; a file is one task's work and a batch of rows its memory.
-    A first line whose first cell is not all digits is a header.
+
+def parse_archives(files: DataFrame, columns: Sequence[str], first: int | None = None) -> DataFrame:
+    """file, row_idx and the columns (text) of archives (path, content) with one CSV in each; `first` rows of each at most.
+
+    A file is one task's work and a batch of rows its memory. A first line whose first cell is not all digits is a header.
     """
 
     def rows(it: Iterator) -> Iterator:
@@ -47,42 +51,69 @@ def read_archive(spark: SparkSession, path: str, columns: Sequence[str], first:
                     if held:
                         yield pd.DataFrame(held, columns=["file", "row_idx", *columns])
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInPandas(rows, "file string, row_idx long, " + ", ".join(f"`{c}` string" for c in columns))
+    return files.select("path", "content").mapInPandas(rows, "file string, row_idx long, " + ", ".join(f"`{c}` string" for c in columns))
 
 
 def read_candles(spark: SparkSession, path: str) -> DataFrame:
-    """Unzipped candle CSVs with or without a header; the order of rows inside a file is kept in row_idx."""
-    raw = spark.read.schema(", ".join(f"`{c}` string" for c in CANDLE)).csv(path).select("*", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row_idx"))
-    kinds = {c: "long" if c in ("open_time", "close_time", "count") else "double" for c in CANDLE if c != "ignore"}
-    return raw.where(F.col("open_time") != "open_time").withColumns({c: F.col(c).cast(k) for c, k in kinds.items()})
+    """Unzipped candle CSVs with or without a header; the order of rows inside a file is kept in row_idx. A line of other than 12 cells is an error."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row_idx"))
+    cells = F.split("value", ",", -1)
+    right = F.when(F.size(cells) == len(CANDLE), cells).otherwise(F.raise_error(F.concat(F.lit(f"not {len(CANDLE)} columns: "), "file", F.lit(": "), "value")).cast("array<string>"))
+    kinds = {c: "string" if c == "ignore" else "long" if c in ("open_time", "close_time", "count") else "double" for c in CANDLE}
+    rows = lines.withColumn("cells", right).where(F.get("cells", F.lit(0)) != "open_time")
+    return rows.select(*(F.get("cells", F.lit(i)).cast(kinds[c]).alias(c) for i, c in enumerate(CANDLE)), "file", "row_idx")
 
 
 def file_inventory(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    return inventory(spark.read.format("binaryFile").load(path).select("path", "content"))
+
+
+def inventory(files: DataFrame) -> DataFrame:
+    """path, bytes, sha256 of files (path, content)."""
+    return files.select("path", F.octet_length("content").cast("long").alias("bytes"), F.sha2("content", 256).alias("sha256"))
 
 
 def verify_checksums(spark: SparkSession, path: str, manifest: DataFrame) -> DataFrame:
-    """path, sha256, expected, ok for each file of the manifest (name, sha256); a file that is not there is not ok."""
-    have = file_inventory(spark, path).select("path", "sha256", F.element_at(F.split("path", "/"), -1).alias("name"))
+    return check_inventory(file_inventory(spark, path), manifest)
+
+
+def check_inventory(have: DataFrame, manifest: DataFrame) -> DataFrame:
+    """name, path, sha256, expected, ok for each file of the manifest (name, sha256); a file that is not there is not ok."""
+    have = have.select("path", "sha256", F.element_at(F.split("path", "/"), -1).alias("name"))
     j = manifest.select("name", F.col("sha256").alias("expected")).join(have, "name", "left")
     return j.select("name", "path", "sha256", "expected", F.coalesce(F.col("sha256") == F.col("expected"), F.lit(False)).alias("ok"))
 
 
-def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+def read_manifest(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """The manifest's records from a JSON list, or (lines) from JSON lines as write_manifest leaves them."""
     schema = "key string, url string, symbol string, category string, period string, date string, interval string, status string, relative_path string, source_sha256 string, repair_for string, bytes long"
-    return spark.read.option("multiLine", True).schema(schema).json(path)
+    return spark.read.option("multiLine", not lines).schema(schema).json(path)
+
+
+def read_funding_pages(spark: SparkSession, path: str, symbol: str) -> DataFrame:
+    """Pages of a symbol's funding history, one JSON list a file. See parse_funding_pages."""
+    return parse_funding_pages(spark.read.text(path, wholetext=True).select(F.lit(symbol).alias("symbol"), F.col("value").alias("page")))
 
 
-def read_funding_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Pages of funding history, one JSON list a file."""
-    raw = spark.read.option("multiLine", True).schema("symbol string, fundingTime long, fundingRate string").json(path)
-    return raw.select("symbol", F.col("fundingTime").alias("funding_time"), F.timestamp_millis("fundingTime").alias("event_time_utc"), F.col("fundingRate").cast("double").alias("last_funding_rate"))
+def parse_funding_pages(pages: DataFrame) -> DataFrame:
+    """symbol, funding_time, event_time_utc, last_funding_rate from rows (symbol, page), a page being a JSON list.
+
+    A page that is no list, or a row of another symbol, is an error.
+    """
+    rows = F.from_json("page", "array<struct<symbol: string, fundingTime: bigint, fundingRate: string>>")
+    right = F.trim("page").startswith("[") & rows.isNotNull() & F.forall(rows, lambda r: F.coalesce(r["symbol"] == F.col("symbol"), F.lit(False)))
+    checked = F.when(right, rows).otherwise(F.raise_error(F.concat(F.lit("unexpected funding history of "), "symbol")).cast("array<struct<symbol: string, fundingTime: bigint, fundingRate: string>>"))
+    r = pages.select(F.explode(checked).alias("r"))
+    return r.select("r.symbol", F.col("r.fundingTime").alias("funding_time"), F.timestamp_millis("r.fundingTime").alias("event_time_utc"), F.col("r.fundingRate").cast("double").alias("last_funding_rate"))
 
 
 def read_envelopes(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
-    """Order-book envelopes (JSON lines). U and u differ by case only, so the ids are taken by path from the text."""
-    lines = (spark.readStream if streaming else spark.read).format("text").load(path)
+    """Order-book envelopes (JSON lines). See parse_envelopes."""
+    return parse_envelopes((spark.readStream if streaming else spark.read).format("text").load(path))
+
+
+def parse_envelopes(lines: DataFrame) -> DataFrame:
+    """symbol, type, session, seq, first, u, pu, bids, asks of JSON lines (value). U and u differ by case only, so the ids are taken by path from the text."""
     j = lambda p: F.get_json_object("value", f"$.{p}")
     side = lambda p: F.array_join(F.transform(F.from_json(F.coalesce(*(j(f"payload.{x}") for x in p)), "array<array<string>>"), lambda l: F.concat_ws(":", l)), ";")
     u = F.coalesce(j("payload.u"), j("payload.lastUpdateId")).cast("long")
@@ -90,8 +121,14 @@ def read_envelopes(spark: SparkSession, path: str, streaming: bool = False) -> D
     return lines.select(*(c.alias(n) for n, c in cols.items()))
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet", mode: str = "overwrite") -> None:
-    """Replaces the table, or, with partitions, the partitions that the rows touch."""
+def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = (), fmt: str = "parquet", mode: str = "overwrite") -> None:
+    """Replaces the table, or, with partitions, the partitions that the rows touch.
+
+    With `sort_by` the files follow one another in that order and are sorted inside: rows are dealt out by ranges, never gathered.
+    """
+    if sort_by:
+        order = [*partition_by, *sort_by]
+        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
     w = df.write.mode(mode).format(fmt)
     if fmt == "csv":
         w = w.option("header", True).option("compression", "gzip")
@@ -100,5 +137,11 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt:
     w.save(path)
 
 
-def write_report(df: DataFrame, path: str) -> None:
-    df.coalesce(1).write.mode("overwrite").json(path)
+def write_report(df: DataFrame, path: str, order_by: Sequence[str] = ()) -> None:
+    """A report of few rows (a row a source, partition or symbol) as one JSON file, in order."""
+    (df.orderBy(*order_by) if order_by else df).coalesce(1).write.mode("overwrite").json(path)
+
+
+def write_manifest(records: DataFrame, path: str) -> None:
+    """The manifest's records as JSON lines in the order of their keys, in as many files as they need."""
+    write_table(records, path, sort_by=["key"], fmt="json")

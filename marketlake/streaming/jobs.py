@@ -37,70 +37,72 @@ def audit_stream(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery
 
 
 class Replay(StatefulProcessor):
-    """A symbol's book: levels, last update id, and what waits for a snapshot.
+    """The book of a symbol's session: levels with the best of both sides, last update id, and what waits for the snapshot.
 
-    Rows of a batch are taken in the order of (session, snapshots last among equals of arrival, arrival). An update with
-    u < last is stale; the first after a snapshot must bridge it, each further one must follow the one before; else the
-    session ends with a gap until a snapshot of a later session. A crossed book is a gap too, its update having been applied.
+    An update with u < last is stale; the first after a snapshot must bridge it, each further one must follow the one
+    before; else the session ends with a gap until another snapshot of it. A crossed book is a gap too, its update having
+    been applied.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.head = handle.getValueState("head", "session int, last long, started boolean, live boolean")
+        self.head = handle.getValueState("head", "last long, started boolean, live boolean, bid string, ask string")
         self.levels = handle.getMapState("levels", "side string, price string", "qty string")
-        self.waiting = handle.getListState("waiting", "session int, seq long, first long, u long, pu long, bids string, asks string")
+        self.waiting = handle.getListState("waiting", "seq long, first long, u long, pu long, bids string, asks string")
+        self.held = handle.getValueState("held", "n int")
 
-    def _put(self, side: str, text: str) -> None:
+    def _put(self, side: str, text: str, best: Decimal | None) -> Decimal | None:
+        """Sets levels and gives the side's best price; the levels are walked only when the best one goes."""
+        better = max if side == "bid" else min
         for level in filter(None, (text or "").split(";")):
             price, qty = level.split(":")
-            if Decimal(qty) == 0:
-                if self.levels.containsKey((side, price)):
-                    self.levels.removeKey((side, price))
-            else:
+            p = Decimal(price)
+            if Decimal(qty) != 0:
                 self.levels.updateValue((side, price), (qty,))
-
-    def _apply(self, r: tuple) -> str:
-        session, last, started, live = self.head.get()
-        _, _, first, u, pu, bids, asks = r
+                best = p if best is None else better(best, p)
+            elif self.levels.containsKey((side, price)):
+                self.levels.removeKey((side, price))
+                if p == best:
+                    best = better((Decimal(x) for s, x in self.levels.keys() if s == side), default=None)
+        return best
+
+    def _apply(self, first: int, u: int, pu: int, bids: str, asks: str) -> str:
+        last, started, live, bid, ask = self.head.get()
         if not live:
             return "ignored"
         if u < last:
             return "stale"
         if not (first <= last <= u) if not started else pu != last:
-            self.head.update((session, last, started, False))
+            self.head.update((last, started, False, bid, ask))
             return "gap"
-        self._put("bid", bids)
-        self._put("ask", asks)
-        prices: dict[str, list[Decimal]] = {"bid": [], "ask": []}
-        for side, price in self.levels.keys():
-            prices[side].append(Decimal(price))
-        crossed = bool(prices["bid"]) and bool(prices["ask"]) and max(prices["bid"]) >= min(prices["ask"])
-        self.head.update((session, u, True, not crossed))
+        best_bid = self._put("bid", bids, Decimal(bid) if bid else None)
+        best_ask = self._put("ask", asks, Decimal(ask) if ask else None)
+        crossed = best_bid is not None and best_ask is not None and best_bid >= best_ask
+        self.head.update((u, True, not crossed, None if best_bid is None else str(best_bid), None if best_ask is None else str(best_ask)))
         return "gap" if crossed else "applied"
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:  # noqa: N802
         out: list[tuple] = []
-        table = pd.concat(list(rows)).sort_values(["session", "seq"])
+        table = pd.concat(list(rows)).sort_values("seq")  # of one session and batch
         for r in table.itertuples(index=False):
-            item = (int(r.session), int(r.seq), int(r.first), int(r.u), int(r.pu), r.bids, r.asks)
-            session = self.head.get()[0] if self.head.exists() else None
+            item = (int(r.first), int(r.u), int(r.pu), r.bids, r.asks)
             if r.type == "snapshot":
                 self.levels.clear()
-                self._put("bid", r.bids)
-                self._put("ask", r.asks)
-                self.head.update((int(r.session), int(r.u), False, True))
-                out.append((key[0], *item[:2], "snapshot"))
-                held = list(self.waiting.get()) if self.waiting.exists() else []
-                self.waiting.clear()
-                for w in held:
-                    if w[0] == int(r.session):
-                        out.append((key[0], w[0], w[1], self._apply(tuple(w))))
-            elif session is None or int(r.session) > session:
-                if (len(list(self.waiting.get())) if self.waiting.exists() else 0) >= MOST_WAITING:
-                    out.append((key[0], *item[:2], "failed"))
+                best = [self._put(side, text, None) for side, text in (("bid", r.bids), ("ask", r.asks))]
+                self.head.update((int(r.u), False, True, *(None if b is None else str(b) for b in best)))
+                out.append((*key, int(r.seq), "snapshot"))
+                if self.held.exists():
+                    out.extend((*key, seq, self._apply(*update)) for seq, *update in list(self.waiting.get()))
+                    self.waiting.clear()
+                    self.held.clear()
+            elif not self.head.exists():
+                n = self.held.get()[0] if self.held.exists() else 0
+                if n >= MOST_WAITING:
+                    out.append((*key, int(r.seq), "failed"))
                 else:
-                    self.waiting.appendValue(item)
+                    self.waiting.appendValue((int(r.seq), *item))
+                    self.held.update((n + 1,))
             else:
-                out.append((key[0], *item[:2], self._apply(item)))
+                out.append((*key, int(r.seq), self._apply(*item)))
         yield pd.DataFrame(out, columns=["symbol", "session", "seq", "outcome"])
 
     def close(self) -> None:
@@ -113,7 +115,7 @@ REPLAYED = "symbol string, session int, seq long, outcome string"
 def replay_stream(envelopes: DataFrame) -> DataFrame:
     """symbol, session, seq, outcome of every update (applied, stale, gap, ignored, failed) and snapshot.
 
-    Input: symbol, session, seq (order of arrival), type, first, u, pu, bids, asks (price:qty;...). Needs the RocksDB
-    state store.
+    Input: symbol, session, seq (order of arrival), type, first, u, pu, bids, asks (price:qty;...). A book starts from its
+    session's snapshot, so sessions are replayed side by side. Needs the RocksDB state store.
     """
-    return envelopes.groupBy("symbol").transformWithStateInPandas(Replay(), outputStructType=StructType.fromDDL(REPLAYED), outputMode="append", timeMode="None")
+    return envelopes.groupBy("symbol", "session").transformWithStateInPandas(Replay(), outputStructType=StructType.fromDDL(REPLAYED), outputMode="append", timeMode="None")

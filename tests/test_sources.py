@@ -6,18 +6,19 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from marketlake.operators import book, coverage, panel
+from marketlake.operators import book, coverage, macro, panel
 from marketlake.sources import readers
 from marketlake.streaming import jobs
 
 
 def test_plan_of_a_window(spark):
-    p = coverage.expected_sources(spark, ["A"], ["klines"], "2026-05-09", "2026-10-09").collect()
+    one = spark.createDataFrame([("A",)], "symbol string")
+    p = coverage.expected_sources(one, ["klines"], "2026-05-09", "2026-10-09").collect()
     dates = {(r.period, r.date) for r in p}
     assert len(p) == 35 and ("monthly", "2026-06") in dates and ("monthly", "2026-05") not in dates
     assert min(d for k, d in dates if k == "daily") == "2026-05-09" and max(d for k, d in dates if k == "daily") == "2026-10-08"
     with pytest.raises(ValueError):
-        coverage.expected_sources(spark, ["A"], ["klines"], "2026-05-09", "2026-05-09")
+        coverage.expected_sources(one, ["klines"], "2026-05-09", "2026-05-09")
     assert coverage.month_scope("2026-05-09", "2026-10-09", "2026-06") == ("2026-06-01", "2026-07-01") and coverage.month_scope("2025-05-09", "2026-10-09", "2025-12")[1] == "2026-01-01"
 
 
@@ -61,3 +62,40 @@ def test_book_replay(spark, tmp_path):
     assert {r.seq: r.outcome for r in got.collect()} == {1: "stale", 2: "applied", 3: "snapshot", 4: "applied", 5: "gap", 6: "ignored", 7: "snapshot", 8: "gap"}
     r = book.report(got.withColumn("symbol", F.col("symbol"))).first()
     assert (r.events, r.synchronized_events, r.sessions, r.gaps) == (8, 2, 2, 2)
+
+
+def test_readers_refuse_other_forms(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(",".join("1" * 12) + "\n" + ",".join("1" * 11) + "\n")
+    with pytest.raises(Exception, match="not 12 columns"):
+        readers.read_candles(spark, str(tmp_path / "a.csv")).collect()
+    (tmp_path / "b.csv").write_text(",".join(readers.CANDLE) + "\n" + ",".join("1" * 12) + "\n")
+    assert [r.open for r in readers.read_candles(spark, str(tmp_path / "b.csv")).collect()] == [1.0]
+    page = '[{"symbol":"A","fundingTime":1,"fundingRate":"0.1"},{"symbol":"%s","fundingTime":2,"fundingRate":"0.2"}]'
+    (tmp_path / "p.json").write_text(page % "A")
+    assert [r.funding_time for r in readers.read_funding_pages(spark, str(tmp_path / "p.json"), "A").orderBy("funding_time").collect()] == [1, 2]
+    (tmp_path / "q.json").write_text(page % "B")
+    for name in ("q.json",):
+        with pytest.raises(Exception, match="unexpected funding history"):
+            readers.read_funding_pages(spark, str(tmp_path / name), "A").collect()
+    (tmp_path / "x" / "y").mkdir(parents=True)
+    (tmp_path / "x" / "GDP.csv").write_text("observation_date,GDP\n2024-01-01,1.5\n2024-02-01,.\n")
+    assert [(r.series, r.value) for r in macro.read_series(spark, str(tmp_path / "x" / "*.csv")).orderBy("observation_date").collect()] == [("GDP", 1.5), ("GDP", None)]
+
+
+def test_tables_and_manifests_are_in_order(spark, tmp_path):
+    df = spark.range(200).select(F.concat(F.lit("k"), F.lpad((F.col("id") * 37 % 200).cast("string"), 3, "0")).alias("key"), F.lit("verified").alias("status")).repartition(7)
+    readers.write_manifest(df, str(tmp_path / "m"))
+    lines = [json.loads(x)["key"] for p in sorted((tmp_path / "m").glob("part-*")) for x in p.read_text().splitlines()]
+    assert lines == sorted(lines) and len(lines) == 200
+    assert readers.read_manifest(spark, str(tmp_path / "m"), lines=True).count() == 200
+    readers.write_table(df, str(tmp_path / "t"), sort_by=["key"])
+    keys = [r.key for p in sorted((tmp_path / "t").glob("part-*")) for r in spark.read.parquet(str(p)).collect()]
+    assert keys == sorted(keys)
+
+
+def test_manifest_keeps_the_first_acquisition(spark):
+    schema = "key string, status string, etag string, bytes long"
+    old = spark.createDataFrame([("a", "verified", "e1", 5), ("b", "verified", "e2", 6)], schema)
+    new = spark.createDataFrame([("a", "failed", None, None), ("b", "verified", "e3", 7), ("c", "verified", None, 8)], schema)
+    got = {r.key: (r.status, r.etag, r.bytes) for r in coverage.merge_manifests(old, new).collect()}
+    assert got == {"a": ("failed", "e1", None), "b": ("verified", "e3", 7), "c": ("verified", None, 8)}
