@@ -5,9 +5,12 @@ both hold, over the geometric mean of their own numbers. n-grams are told apart
 texts and large alphabets do not become alike. The n-grams of the landmarks are a sorted list with a bit for each landmark;
 a text's n-grams are looked up there, and the counts of common ones times the solved weights are its scores.
 
-The fit takes at most `per_lang` texts of each language (those with the smallest hash of id) and only of `max_langs`
-languages, the most frequent. Their counts with the landmarks are taken in tasks; the driver holds those (a number for each
-text and landmark) and the n-grams of the landmarks, 8 bytes each. Every text is scored whole, in one narrow pass.
+The fit takes at most `per_lang` rows of each language (those with the smallest hashes) and only of `max_langs` languages,
+the most frequent. Tasks add their rows up to the normal equations (a number for each pair of landmarks, and for each
+landmark and language), Spark adds the tasks' sums, and the driver solves those: what it holds depends on the numbers of
+landmarks and languages, not on texts, but for the n-grams of the landmarks themselves, 8 bytes each and a bit a landmark.
+Landmarks are the first rows of every language, those of at most LONGEST characters before longer ones. Every text is
+scored whole, in one narrow pass.
 """
 
 from __future__ import annotations
@@ -15,7 +18,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,6 +26,8 @@ from marketlake.llm.common import text_slices, written
 
 ORDERS = (1, 2, 3, 4)
 UNKNOWN = "und"
+#: Longer texts are landmarks only where a language has no others; they are learnt from and scored like all.
+LONGEST = 100_000
 
 
 def presence(text: str) -> np.ndarray:
@@ -88,56 +92,64 @@ class Model:
         return names, sure
 
 
-def solve(cross: np.ndarray, inner: np.ndarray, langs: np.ndarray, marks: Landmarks, ridge: float = 1e-3) -> Model:
-    """Kernel ridge on Nyström features. cross: the kernel of each text with the landmarks; inner: that of the landmarks themselves."""
-    names = sorted(set(langs.tolist()))
+def solve(gram: np.ndarray, sides: np.ndarray, inner: np.ndarray, names: list[str], rows: int, marks: Landmarks, ridge: float = 1e-3) -> Model:
+    """Kernel ridge on Nyström features, one language against the rest.
+
+    gram: the sum over all rows of weight * k k', k being a row's kernel with the landmarks; sides: for each language the
+    sum of weight * k * (1 for its rows, -1 for others); inner: the kernel of the landmarks themselves.
+    """
     if not names:
         return Model([], marks, np.zeros((0, 0)))
-    y = np.where(langs[:, None] == np.array(names)[None, :], 1.0, -1.0)
-    # every language weighs the same, however many texts it has
-    size = np.array([(langs == name).sum() for name in langs])[:, None]
-    balance = len(langs) / (len(names) * size)
-    alpha = np.linalg.lstsq(cross.T @ (balance * cross) + ridge * len(langs) * inner + 1e-9 * np.eye(len(inner)), cross.T @ (balance * y), rcond=None)[0]
-    return Model(names, marks, alpha)
+    return Model(names, marks, np.linalg.lstsq(gram + ridge * rows * inner + 1e-9 * np.eye(len(inner)), sides.T, rcond=None)[0])
 
 
 def fit(docs: DataFrame, learn: Column, per_lang: int = 500, max_langs: int = 200, n_landmarks: int = 256, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Learns from rows where `learn` holds, the language is known and the text has a letter; landmarks are spread over the languages."""
-    rows = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-    few = rows.groupBy(lang_col).agg(F.count("*").alias("n")).orderBy(F.desc("n"), lang_col).limit(max_langs)
-    w = Window.partitionBy(lang_col).orderBy("key", id_col)
-    # ids alone are ranked, and each partition keeps its first per_lang of a language before the shuffle
-    ranked = rows.select(id_col, lang_col, F.xxhash64(F.col(id_col)).alias("key")).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= per_lang)
-    chosen = ranked.join(F.broadcast(few.select(lang_col)), lang_col, "left_semi").select(id_col, "rank")
-    picked = rows.join(F.broadcast(chosen), id_col).select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), "rank")  # at most per_lang * max_langs ids
-
-    picked = written(picked.withColumn("key", F.xxhash64("text")), "picked")
-    place = ["rank", "lang", "id", "key"]
-    kind = picked.schema["id"].dataType.simpleString()
-    most = last = 0
-    for r in picked.groupBy("rank").count().orderBy("rank").collect():  # per_lang rows, or as often as an id repeats
-        most, last = most + r["count"], r["rank"]
-        if most >= n_landmarks:
-            break
+    """Learns from rows where `learn` holds, the language is known and the text has a letter; landmarks are spread over the languages.
+
+    Equal rows (id, language and text) count as one. Every language weighs the same, however many rows it has.
+    """
+    own = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), learn.alias("learn"))
+    rows = own.where("learn and lang is not null").where(F.col("text").rlike(r"\p{L}")).withColumns({"key": F.xxhash64("id", "text"), "long": F.length("text") > LONGEST})
+    few = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs)
+    # keys alone are ranked: equal rows are folded and each partition keeps its first per_lang of a language before the shuffle
+    w = Window.partitionBy("lang").orderBy("long", "key")
+    ranked = rows.select("lang", "long", "key").distinct().withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= per_lang)
+    chosen = ranked.join(F.broadcast(few.select("lang")), "lang", "left_semi").select("lang", "key", "rank")  # at most per_lang * max_langs
+    picked = rows.join(F.broadcast(chosen), ["lang", "key"]).dropDuplicates(["lang", "rank"]).select("lang", "rank", "text")
+    picked = written(picked, "picked")
+    sizes = {r["lang"]: r["n"] for r in picked.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row a language
+    names, n = sorted(sizes), sum(sizes.values())
+    if not names:
+        return solve(np.zeros((0, 0)), np.zeros((0, 0)), np.zeros((0, 0)), [], 0, Landmarks([]))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_slices(batches, "text"):
-            out = [presence(t).tobytes() for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in place), pa.array(out, pa.binary())], [*place, "grams"])
+            yield pa.RecordBatch.from_arrays([b.column("rank"), b.column("lang"), pa.array([presence(t).tobytes() for t in b.column("text").to_pylist()], pa.binary())], ["rank", "lang", "grams"])
 
-    first: pd.DataFrame = picked.where(F.col("rank") <= last).mapInArrow(sets, f"rank int, lang string, id {kind}, key long, grams binary").toPandas().sort_values(place)
-    marks = Landmarks([np.frombuffer(x, np.uint64) for x in first["grams"][:n_landmarks]])
-    inner = np.array([marks.kernel(np.frombuffer(x, np.uint64)) for x in first["grams"][:n_landmarks]])
+    first = picked.orderBy("rank", "lang").limit(n_landmarks).mapInArrow(sets, "rank int, lang string, grams binary").toPandas().sort_values(["rank", "lang"])
+    grams = [np.frombuffer(x, np.uint64) for x in first["grams"]]
+    marks = Landmarks(grams)
+    inner = np.array([marks.kernel(x) for x in grams])
     shared = docs.sparkSession.sparkContext.broadcast(marks)
+    weight = {lang: n / (len(names) * size) for lang, size in sizes.items()}
+    width = len(grams)
 
-    def kernels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Row i of the Gram matrix, or (place width + j) the sum of the rows of language j."""
+        gram, of = np.zeros((width, width)), np.zeros((len(names), width))
         for b in text_slices(batches, "text"):
-            out = [shared.value.kernel(presence(t)).tobytes() for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in place), pa.array(out, pa.binary())], [*place, "kernel"])
+            langs = b.column("lang").to_pylist()
+            k = np.array([shared.value.kernel(presence(t)) for t in b.column("text").to_pylist()])
+            scale = np.array([weight[x] for x in langs])[:, None]
+            gram += k.T @ (scale * k)
+            np.add.at(of, [names.index(x) for x in langs], scale * k)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(width + len(names)), pa.int32()), pa.array([*gram.tolist(), *of.tolist()], pa.list_(pa.float64()))], ["place", "values"])
 
-    got: pd.DataFrame = picked.mapInArrow(kernels, f"rank int, lang string, id {kind}, key long, kernel binary").toPandas().sort_values(place)
-    cross = np.array([np.frombuffer(x) for x in got["kernel"]]).reshape(len(got), len(inner))
-    return solve(cross, inner, got["lang"].to_numpy(object), marks)
+    parts = picked.select("lang", "text").mapInArrow(sums, "place int, values array<double>").select("place", F.posexplode("values").alias("at", "x"))
+    total = parts.groupBy("place", "at").agg(F.sum("x").alias("x")).groupBy("place").agg(F.sort_array(F.collect_list(F.struct("at", "x"))).alias("v"))  # a number a landmark
+    got = np.array([r["x"] for r in total.orderBy("place").select(F.col("v.x").alias("x")).collect()])  # landmarks and languages
+    gram, of = got[:width], got[width:]
+    return solve(gram, 2 * of - of.sum(axis=0), inner, names, n, marks)
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -159,5 +171,6 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def report(docs: DataFrame) -> DataFrame:
+    """doc_id, held_out, lang_pred, score of every row; learnt from the rows that are not held out. Nulls, empty texts and tables as in `predict`."""
     model = fit(docs, ~held_out())
     return predict(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")

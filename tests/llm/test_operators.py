@@ -478,6 +478,42 @@ def test_language(spark, docs, none):
     assert language.report(none).count() == 0
 
 
+def test_language_kernel_and_fit_by_brute_force(spark):
+    """Kernels from sets of n-grams as strings, and the ridge solved from all rows at once."""
+    d = table(spark, "documents").where("lang is not null and text is not null").limit(120).select("doc_id", "text", "lang")  # a small fixture
+    rows = [(r.text, r.lang) for r in d.collect() if re.search(r"[^\W\d_]", r.text)]
+
+    def spectrum(text):
+        s = re.sub(" +", " ", "".join(" " if ord(c) < 65 or 90 < ord(c) < 97 else c for c in text.lower()))
+        return {s[i : i + n] for n in (1, 2, 3, 4) for i in range(len(s) - n + 1)}
+
+    model = language.fit(d, F.lit(True), n_landmarks=16)
+    sets, langs = [spectrum(t) for t, _ in rows], sorted({lang for _, lang in rows})
+    assert model.langs == langs and len(model.marks.sizes) == 16
+    own = language.Landmarks([language.presence(t) for t, _ in rows[:10]])
+    for t, s in zip((t for t, _ in rows), sets, strict=True):
+        assert np.allclose(own.kernel(language.presence(t)), [len(s & x) / np.sqrt(len(s) * len(x)) for x in sets[:10]])
+    k = np.array([model.marks.kernel(language.presence(t)) for t, _ in rows])
+    y = np.array([[1.0 if lang == x else -1.0 for x in langs] for _, lang in rows])
+    size = collections.Counter(lang for _, lang in rows)
+    w = np.array([len(rows) / (len(langs) * size[lang]) for _, lang in rows])[:, None]
+    # the solution satisfies the normal equations of the weighted ridge
+    bits = np.unpackbits(model.marks.bits, axis=1, count=16).astype(bool)
+    inner = np.array([model.marks.kernel(model.marks.ids[bits[:, j]]) for j in range(16)])
+    assert all(frozenset(model.marks.ids[bits[:, j]]) in {frozenset(language.presence(t)) for t, _ in rows} for j in range(16))
+    assert np.allclose((k.T @ (w * k) + 1e-3 * len(rows) * inner + 1e-9 * np.eye(16)) @ model.weights, k.T @ (w * y), atol=1e-6)
+
+
+def test_language_of_a_repeated_id(spark, monkeypatch):
+    rows = [(7, f"satz nummer {i} {'x' * (i % 7)}", "de") for i in range(300)] + [(7, "the same row", "en")] * 100 + [(8, "another row of words", "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    seen = {}
+    monkeypatch.setattr(language, "written", lambda d, name: seen.setdefault(name, common.written(d, name)))
+    model = language.fit(df, F.lit(True), per_lang=50)
+    assert {r.lang: r["count"] for r in seen["picked"].groupBy("lang").count().collect()} == {"de": 50, "en": 2}
+    assert model.predict(["satz nummer 9", "the same row", None, "123"])[0] == ["de", "en", "und", "und"]
+
+
 def test_language_of_very_long_texts(spark):
     """Whole long texts over one large alphabet: two made-up languages that share all characters and differ in their words."""
     rng = np.random.default_rng(5)
