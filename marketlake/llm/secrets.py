@@ -3,13 +3,12 @@ r"""Secret scans: candidates by patterns, false positives removed by a random fo
 A candidate is a run of at least 12 key characters with a digit in it, a JSON web token, a block with a private key, or what
 is assigned to a name such as `password`, with or without white space around the sign.
 The forest looks at its length, its transitions between classes of characters, how far words of the corpus cover its
-letters, the path it comes from and the words beside it. It is trained from labelled findings (`train`); where there are
-none, `presumed` labels a bounded number of the corpus's own candidates by formats that providers publish: those labels
-come from the exact shape of a value, the forest's features do not hold that shape. What they say to be a secret is not given
-up to a forest that saw few or none of its kind; the forest decides on all other candidates, and on all if labels are given.
+letters, the path it comes from and the words beside it. It is trained from labelled findings: those that a caller gives,
+and a small set of our own (`taught`), made by rule from the ways in which secrets, and what looks like them, are written.
+No label comes from the corpus or from the features. Values in a format that a provider publishes and private keys are
+secrets whatever the forest says; it decides on all others, so that hashes, numbers, ids, placeholders and calls drop out.
 
-Candidates whose probability is at least `THRESHOLD` are secrets. Candidates without any letter (card and phone numbers,
-dates) and words of natural language come out low.
+Candidates whose probability is at least `THRESHOLD` are secrets.
 """
 
 from __future__ import annotations
@@ -17,16 +16,16 @@ from __future__ import annotations
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import written
+from marketlake.llm.common import sieve, sift, written
 
 THRESHOLD = 0.5
-#: Labelled findings that a forest is trained on at most, those with the smallest hash of their value first.
+#: Labelled findings of a caller that a forest is trained on at most, half of them of each label: those whose value has the smallest hash.
 MOST_LABELLED = 20_000
-#: Words of the dictionary: the most frequent of four letters or more.
-DICTIONARY = 20_000
+#: A word of four letters or more is in the dictionary if it is this share of all such words, and comes twice.
+SHARE = 1e-6
 GRAM = 4
 
 # Names that secrets are assigned to, and shapes that providers publish.
@@ -53,13 +52,14 @@ _ANY = rf"{_KEY}|-----BEGIN {_OF_KEY}|{_NAME}\s*{_SIGN}"
 PLAIN = rf"(?i)^(?:none|null|nil|true|false|undefined|string|integer|boolean|bytes|required|optional|missing|invalid|expired|disabled|enabled|unknown|hidden|redacted|example|(?:your|my|the|some)[_\-].*|x+|(?:{NAMES})s?|[a-z]+://[^@]*|[a-z_]+(?:\.[a-z_]+)+)$|[(){{}}\[\]<>$%]"
 #: Transitions between classes of characters, as shares of the length.
 CLASSES = {"lower": "a-z", "upper": "A-Z", "digit": "0-9"}
-FEATURES = ["length", "coverage", "path_depth", "path_test", "named_inside", "named_before", "assigned", "quoted", "word_before", "word_after", *(f"share_{c}" for c in CLASSES), *(f"{a}_{b}" for a in CLASSES for b in CLASSES)]
+FEATURES = ["length", "coverage", "path_depth", "path_test", "told", "stand_in", "bare_word", "named_inside", "named_before", "assigned", "quoted", "word_before", "word_after", *(f"share_{c}" for c in CLASSES), *(f"{a}_{b}" for a in CLASSES for b in CLASSES)]
 
 
 def candidates(docs: DataFrame, path: str | None = "source", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row for each candidate: doc_id, doc_key (a hash of the text), word (its place), number (inside the word), value, before, after, inside, path.
 
-    A null text has none. The whole text is split at white space; a word may hold several candidates.
+    A null text has none; a row with a null id has its candidates under a null id. The whole text is split at white space; a
+    word may hold several candidates, and repeated rows give theirs again. Other columns are not read.
     """
     text = F.col(text_col)
     pems = F.when(text.contains("-----BEGIN "), F.regexp_extract_all(text, F.lit(_PEM), F.lit(0))).otherwise(F.array().cast("array<string>"))
@@ -97,11 +97,17 @@ def candidates(docs: DataFrame, path: str | None = "source", id_col: str = "doc_
     return found.unionByName(blocks.select("doc_id", "doc_key", "path", "word", F.col("value").alias("inside"), before.alias("before"), after.alias("after"), "number", "value"))
 
 
-def dictionary(docs: DataFrame, text_col: str = "text", size: int = DICTIONARY) -> DataFrame:
-    """gram: the runs of four letters in the most frequent words of all texts; at most `size` words go in."""
+def common_words(docs: DataFrame, text_col: str = "text", share: float = SHARE) -> DataFrame:
+    """w, n: the words of four letters or more that are common in all texts; at most 1 / share of them, whatever the corpus."""
     words = docs.select(F.explode(F.split(F.lower(text_col), r"[^\p{L}]+")).alias("w")).where(F.length("w") >= GRAM)
-    top = words.groupBy("w").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w").limit(size)
-    return top.select(F.explode(_grams(F.col("w"))).alias("gram")).distinct()
+    counts = written(words.groupBy("w").agg(F.count("*").alias("n")), "words")
+    least = counts.agg(F.greatest(F.lit(2.0), F.sum("n") * share).alias("least"))  # one row
+    return counts.join(F.broadcast(least), F.col("n") >= F.col("least")).select("w", "n")
+
+
+def dictionary(words: DataFrame) -> DataFrame:
+    """gram: the runs of four letters in the words."""
+    return words.select(F.explode(_grams(F.col("w"))).alias("gram")).distinct()
 
 
 def _grams(word: Column) -> Column:
@@ -120,7 +126,12 @@ def with_features(found: DataFrame, grams: DataFrame) -> DataFrame:
     before = F.lower(F.concat_ws(" ", "before"))
     flag = lambda c: F.coalesce(c, F.lit(False)).cast("double")
     p = F.coalesce(F.lower("path"), F.lit(""))
+    head = F.call_function("substring_index", F.concat_ws(" ", F.concat_ws(" ", "before"), "inside"), v, F.lit(1))
+    tail = F.call_function("substring_index", F.col("inside"), v, F.lit(-1))
     cols = {
+        "told": flag(head.rlike(rf"{_NAME}\s*{_SIGN}\s*[\"']?$")),
+        "stand_in": flag(v.rlike(PLAIN) | tail.rlike(r"^[(\[]")),
+        "bare_word": flag(~v.rlike(r"[^\p{L}]") & ~head.rlike(rf"[\"']$|{_NAME}{_SIGN}$")),
         "length": size.cast("double"),
         "coverage": F.coalesce("coverage", F.lit(0.0)),
         "path_depth": F.regexp_count(p, F.lit("/")).cast("double"),
@@ -137,59 +148,99 @@ def with_features(found: DataFrame, grams: DataFrame) -> DataFrame:
     return df.withColumns({k: F.coalesce(c.cast("double"), F.lit(0.0)) for k, c in cols.items()})
 
 
-def presumed(featured: DataFrame) -> DataFrame:
-    """Adds `label`: a published format, a private key, a mix of letters and digits near a name, or what is assigned to a name.
+# How secrets are written ({n} a name, {v} a value), and what looks like one.
+WRITTEN = ["{n}={v}", '{n} = "{v}"', "{n}: {v}", '"{n}": "{v}",', "{n} := {v}", "{n} ='{v}'", "export {n}={v}", "--{n}={v} run"]
+CALLED = ["password", "passwd", "pwd", "secret", "token", "api_key", "API_KEY", "access_key", "auth_token", "client_secret", "db_password", "TOKEN"]
+HARMLESS = [
+    "commit {hex40}", "revision {hex40} of", "sha1 {hex40}", "md5: {hex32}", "checksum {hex40}", 'etag "{hex32}"', "card {digits16}", "{digits16}", "number {digits14} was", "the id {uuid} of", "build {version} and",
+    "isbn {digits13}", "on {date} it", "file {path} is", "see {url} for", "version {version}", "{name}_{digits8}_{name}", "{name}-{name}-{digits8}", 'token = "{stand_in}"', "password: {stand_in}", "password: {word}", "secret = {word}", "the token: {word} and",
+    "password={call}", "auth = {call}", "api_key = {stand_in}", "token={stand_in}", "passwd = {word}", "password: {word}", "tokens: {digits16}", "image {base64}", "data {hex32} end",
+]
+PLACEHOLDERS = ["your_password_1", "your-token-here", "example", "changed", "my_secret_2", "xxxxxxxx", "REDACTED", "undefined", "required", "unknown"]
+COMMON = "wherever another present without picture history morning country general service machine station weather holiday kitchen library evening journey quarter teacher".split()
 
-    What is assigned may be short, and of letters or digits only; words that stand in the place of a secret, calls, and bare
-    words of the corpus after white space are not taken.
-    """
-    v = F.col("value")
-    mixed = v.rlike("[0-9]") & v.rlike("[A-Za-z]") & (F.length(v) >= 12)
-    named = (F.col("named_inside") > 0) | ((F.col("named_before") > 0) & (F.col("assigned") > 0))
-    head = F.call_function("substring_index", F.concat_ws(" ", F.concat_ws(" ", "before"), "inside"), v, F.lit(1))
-    told = head.rlike(rf"{_NAME}\s*{_SIGN}\s*[\"']?$") & ~v.rlike(PLAIN) & ~F.call_function("substring_index", F.col("inside"), v, F.lit(-1)).rlike(r"^[(\[]")
-    told = told & (v.rlike(r"[^\p{L}]") | head.rlike(rf"[\"']$|{_NAME}{_SIGN}$") | (F.col("coverage") < 0.5))
-    return featured.withColumn("label", (v.rlike(KNOWN) | v.startswith("-----BEGIN") | (mixed & named) | told).cast("double"))
 
+def taught(words: DataFrame) -> DataFrame:
+    """Labelled findings with the columns of `candidates` and `label`: values made by rule, in the contexts above.
 
-def train(labelled: DataFrame, trees: int = 30, depth: int = 6, most: int = MOST_LABELLED) -> RandomForestClassificationModel | None:
-    """A forest from rows with the features and `label`; None if the labels are all alike or there are no rows."""
-    sample = written(labelled.select("label", *FEATURES, F.xxhash64("value").alias("h")).orderBy("h", *FEATURES).limit(most), "labelled")
-    if sample.agg(F.count_distinct("label")).first()[0] < 2:
-        return None
-    rows = VectorAssembler(inputCols=FEATURES, outputCol="x").transform(sample.coalesce(1)).select("x", "label")
+    The words in them are the 64 most common of the corpus (w, n) and our own, half each, so that dictionary coverage is taught as well.
+    """
+    spark, n = words.sparkSession, F.col("id")
+    own_words = F.array(*map(F.lit, COMMON))
+    top = words.where(F.length("w").between(5, 12)).orderBy(F.desc("n"), "w").limit(64).agg(F.sort_array(F.collect_list("w")).alias("top"))  # one row
+    lexicon = top.select(F.when(F.size("top") > 0, F.col("top")).otherwise(own_words).alias("corpus"))
+    from_ = lambda k: F.when(F.pmod(k, F.lit(2)) == 0, F.element_at(own_words, (F.pmod(F.floor(k / 2), F.lit(len(COMMON))) + 1).cast("int"))).otherwise(F.element_at("corpus", (F.pmod(F.floor(k / 2), F.size("corpus")) + 1).cast("int")))
+    pick = lambda items, k: F.element_at(F.array(*map(F.lit, items)), (F.pmod(k, F.lit(len(items))) + 1).cast("int"))
+    sha = F.sha1(n.cast("string"))
+    dec = lambda k: F.substring(F.translate(F.sha2(n.cast("string"), 256), "abcdef", "123456"), 1, k)
+    code = F.regexp_replace(F.base64(F.unhex(F.sha2(n.cast("string"), 256))), "[+/=]", "")
+    word, other = from_(F.pmod(F.xxhash64(n), F.lit(1000))), from_(F.pmod(F.xxhash64(n, n), F.lit(1000)))
+    kinds = {
+        "hex40": sha, "hex32": F.md5(n.cast("string")), "digits16": dec(16), "digits14": dec(14), "digits13": dec(13), "digits8": dec(8), "base64": code, "word": word, "name": other, "call": F.concat(F.lit("getenv("), word, F.lit(")")), "stand_in": pick(PLACEHOLDERS, n),
+        "uuid": F.regexp_replace(F.md5(n.cast("string")), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"), "version": F.concat_ws(".", dec(1), (n % 40).cast("string"), dec(8)), "date": F.concat(F.date_add(F.lit("2020-01-01"), n.cast("int")).cast("string"), F.lit("T10:20:30")),
+        "path": F.concat(F.lit("/"), word, F.lit("/"), other, F.lit("/part-"), dec(5)), "url": F.concat(F.lit("https://"), word, F.lit(".example.com/"), other, F.lit("/"), dec(6)),
+    }
+    values = [sha, F.upper(sha), F.md5(n.cast("string")), F.substring(code, 1, 20), code, F.substring(code, 3, 10), F.concat(word, dec(2)), F.concat(word, other), dec(8), F.concat(F.initcap(word), F.lit("!"), dec(3)), F.concat(F.substring(word, 1, 6), dec(1)), F.concat(F.substring(word, 1, 3), dec(4)), F.translate(F.substring(code, 5, 9), "0123456789", "abcdefghij")]
+    times = len(CALLED) * len(WRITTEN) * len(values)
+    value = F.element_at(F.array(*values), (F.pmod(n, F.lit(len(values))) + 1).cast("int"))
+    form = pick(WRITTEN, F.floor(n / len(values)))
+    yes = spark.range(times).join(F.broadcast(lexicon)).select(n, F.lit(1.0).alias("label"), word.alias("ahead"), other.alias("behind"), value.alias("own"), form.alias("form"), pick(CALLED, F.floor(n / (len(values) * len(WRITTEN)))).alias("n"))
+    # letters alone, bare after white space, may be a word of the sentence: nothing is taught of these
+    yes = yes.where(F.col("own").rlike("[^a-z]") | ~F.col("form").rlike(r"\s\{v\}")).select("id", "label", "ahead", "behind", "own", F.replace(F.replace("form", F.lit("{n}"), F.col("n")), F.lit("{v}"), F.col("own")).alias("said"))
+    said = pick(HARMLESS, n)
+    for k, v in kinds.items():
+        said = F.replace(said, F.lit(f"{{{k}}}"), v)
+    no = spark.range(times, 2 * times).join(F.broadcast(lexicon)).select(n, F.lit(0.0).alias("label"), word.alias("ahead"), other.alias("behind"), F.lit(None).cast("string").alias("own"), said.alias("said"))
+    texts = yes.unionByName(no).select(n.alias("doc_id"), "label", "own", F.lit(None).cast("string").alias("source"), F.concat_ws(" ", "ahead", pick(["", "uses", "the", "of", "here,"], n * 3), "said", "behind").alias("text"))
+    found = candidates(texts)
+    return found.join(texts.select("doc_id", "label", "own"), "doc_id").where("label = 0 or value = own").drop("own")
+
+
+def train(labelled: DataFrame, more: DataFrame | None = None, trees: int = 30, depth: int = 8, most: int = MOST_LABELLED) -> RandomForestClassificationModel:
+    """A forest from rows with the features and `label`. Of `more` (a caller's findings) at most `most` different values are taken, half of each label."""
+    own = labelled.select("label", *FEATURES)
+    if more is not None:
+        one = more.dropDuplicates(["label", "value"]).withColumn("h", F.xxhash64("value"))
+        first = one.withColumn("rank", F.row_number().over(Window.partitionBy("label").orderBy("h", "value"))).where(F.col("rank") <= most // 2)
+        own = own.unionByName(first.select(F.col("label").cast("double").alias("label"), *FEATURES))
+    sample = written(own, "labelled")
+    rows = VectorAssembler(inputCols=FEATURES, outputCol="x").transform(sample.orderBy("label", *FEATURES).coalesce(1)).select("x", "label")  # bounded
     return RandomForestClassifier(featuresCol="x", labelCol="label", numTrees=trees, maxDepth=depth, seed=1).fit(rows)
 
 
-def score(featured: DataFrame, model: RandomForestClassificationModel | None) -> DataFrame:
-    """Adds `probability`; without a model the presumed label stands for it."""
-    if model is None:
-        return presumed(featured).withColumnRenamed("label", "probability")
+def score(featured: DataFrame, model: RandomForestClassificationModel) -> DataFrame:
+    """Adds `probability`: the forest's, and 1 for published formats and private keys."""
     df = VectorAssembler(inputCols=FEATURES, outputCol="x").transform(featured)
-    return model.setProbabilityCol("p").transform(df).withColumn("probability", vector_to_array("p")[1]).drop("x", "p", "rawPrediction", "prediction")
+    v = F.col("value")
+    sure = v.rlike(KNOWN) | v.startswith("-----BEGIN")
+    df = model.setProbabilityCol("p").transform(df).withColumn("probability", F.when(sure, 1.0).otherwise(vector_to_array("p")[1]))
+    return df.drop("x", "p", "rawPrediction", "prediction")
 
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None, path: str | None = "source") -> DataFrame:
     """Every candidate of every row: doc_id, doc_key, word, number, value, probability, is_secret.
 
-    labelled: findings with a label of 0 or 1 and the columns of `candidates`; None takes the presumed labels of the
-    candidates found here. Repeated rows give their findings again; an empty table gives none.
+    labelled: findings with a label of 0 or 1 and the columns of `candidates`, learnt from beside our own. Repeated rows
+    give their findings again; a null or empty text and an empty table give none.
     """
     found = written(candidates(docs, path), "candidates")
-    grams = written(dictionary(docs), "grams")
+    words = written(common_words(docs), "common")
+    grams = written(dictionary(words), "grams")
     featured = written(with_features(found, grams), "featured")
-    model = train(presumed(featured) if labelled is None else with_features(labelled, grams))
-    df = score(featured, model)
-    if labelled is None:
-        df = presumed(df).withColumn("probability", F.greatest("probability", "label"))
-    return df.select("doc_id", "doc_key", "word", "number", "value", "probability", (F.col("probability") >= THRESHOLD).alias("is_secret"))
+    model = train(with_features(taught(words), grams), None if labelled is None else with_features(labelled, grams))
+    return score(featured, model).select("doc_id", "doc_key", "word", "number", "value", "probability", (F.col("probability") >= THRESHOLD).alias("is_secret"))
 
 
 def redact(docs: DataFrame, mark: str = "[secret]", path: str | None = "source") -> DataFrame:
-    """All rows, with each secret in their text replaced by the mark (and n_chars, if there is one, made to fit)."""
+    """All rows, with each secret in their text replaced by the mark (and n_chars, if there is one, made to fit).
+
+    A row with a null id or text, and one without a secret, stays as it is. Texts without secrets are not shuffled.
+    """
     found = scan(docs, path=path).where("is_secret").groupBy("doc_key").agg(F.collect_set("value").alias("values"))  # of one text
+    found = written(found, "secrets")
+    held = sieve(found, "doc_key")
     packed = docs.select(F.struct("*").alias("row"), F.xxhash64("text").alias("key"))
-    df = packed.join(found, F.col("key") == F.col("doc_key"), "left")
+    df = sift(packed, "key", held).join(found, F.col("key") == F.col("doc_key"), "left")
     # longer values first, so that one that holds another goes whole
     values = F.expr("array_sort(values, (a, b) -> case when length(a) <> length(b) then length(b) - length(a) when a < b then -1 when a > b then 1 else 0 end)")
     text = F.col("row.text")
@@ -198,10 +249,9 @@ def redact(docs: DataFrame, mark: str = "[secret]", path: str | None = "source")
     if "n_chars" in docs.columns:
         size = F.length("row.text").cast(docs.schema["n_chars"].dataType)
         df = df.withColumn("row", F.col("row").withField("n_chars", F.when(F.col("values").isNull(), F.col("row.n_chars")).otherwise(size)))
-    return df.select("row.*")
+    return df.select("row").unionByName(sift(packed, "key", held, out=True).select("row")).select("row.*")
 
 
 def report(docs: DataFrame) -> DataFrame:
+    """doc_id, word, number, value, probability, is_secret of every candidate of every row; see `scan`."""
     return scan(docs).drop("doc_key")
-
-
