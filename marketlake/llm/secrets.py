@@ -166,15 +166,13 @@ def taught(words: DataFrame) -> DataFrame:
     The words in them are the 64 most common of the corpus (w, n) and our own, half each, so that dictionary coverage is taught as well.
     """
     spark, n = words.sparkSession, F.col("id")
-    own_words = F.array(*map(F.lit, COMMON))
-    top = words.where(F.length("w").between(5, 12)).orderBy(F.desc("n"), "w").limit(64).agg(F.sort_array(F.collect_list("w")).alias("top"))  # one row
-    lexicon = top.select(F.when(F.size("top") > 0, F.col("top")).otherwise(own_words).alias("corpus"))
-    from_ = lambda k: F.when(F.pmod(k, F.lit(2)) == 0, F.element_at(own_words, (F.pmod(F.floor(k / 2), F.lit(len(COMMON))) + 1).cast("int"))).otherwise(F.element_at("corpus", (F.pmod(F.floor(k / 2), F.size("corpus")) + 1).cast("int")))
+    top = [r["w"] for r in words.where(F.length("w").between(5, 12)).orderBy(F.desc("n"), "w").limit(64).collect()]  # 64 words
+    lexicon = [*COMMON * 3, *(top or COMMON)]
     pick = lambda items, k: F.element_at(F.array(*map(F.lit, items)), (F.pmod(k, F.lit(len(items))) + 1).cast("int"))
     sha = F.sha1(n.cast("string"))
     dec = lambda k: F.substring(F.translate(F.sha2(n.cast("string"), 256), "abcdef", "123456"), 1, k)
     code = F.regexp_replace(F.base64(F.unhex(F.sha2(n.cast("string"), 256))), "[+/=]", "")
-    word, other = from_(F.pmod(F.xxhash64(n), F.lit(1000))), from_(F.pmod(F.xxhash64(n, n), F.lit(1000)))
+    word, other = pick(lexicon, F.xxhash64(n)), pick(lexicon, F.xxhash64(n, n))
     kinds = {
         "hex40": sha, "hex32": F.md5(n.cast("string")), "digits16": dec(16), "digits14": dec(14), "digits13": dec(13), "digits8": dec(8), "base64": code, "word": word, "name": other, "call": F.concat(F.lit("getenv("), word, F.lit(")")), "stand_in": pick(PLACEHOLDERS, n),
         "uuid": F.regexp_replace(F.md5(n.cast("string")), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"), "version": F.concat_ws(".", dec(1), (n % 40).cast("string"), dec(8)), "date": F.concat(F.date_add(F.lit("2020-01-01"), n.cast("int")).cast("string"), F.lit("T10:20:30")),
@@ -184,15 +182,16 @@ def taught(words: DataFrame) -> DataFrame:
     times = len(CALLED) * len(WRITTEN) * len(values)
     value = F.element_at(F.array(*values), (F.pmod(n, F.lit(len(values))) + 1).cast("int"))
     form = pick(WRITTEN, F.floor(n / len(values)))
-    yes = spark.range(times).join(F.broadcast(lexicon)).select(n, F.lit(1.0).alias("label"), word.alias("ahead"), other.alias("behind"), value.alias("own"), form.alias("form"), pick(CALLED, F.floor(n / (len(values) * len(WRITTEN)))).alias("n"))
+    yes = spark.range(times).select(n, F.lit(1.0).alias("label"), word.alias("ahead"), other.alias("behind"), value.alias("own"), form.alias("form"), pick(CALLED, F.floor(n / (len(values) * len(WRITTEN)))).alias("n"))
     # letters alone, bare after white space, may be a word of the sentence: nothing is taught of these
     yes = yes.where(F.col("own").rlike("[^a-z]") | ~F.col("form").rlike(r"\s\{v\}")).select("id", "label", "ahead", "behind", "own", F.replace(F.replace("form", F.lit("{n}"), F.col("n")), F.lit("{v}"), F.col("own")).alias("said"))
     said = pick(HARMLESS, n)
     for k, v in kinds.items():
         said = F.replace(said, F.lit(f"{{{k}}}"), v)
-    no = spark.range(times, 2 * times).join(F.broadcast(lexicon)).select(n, F.lit(0.0).alias("label"), word.alias("ahead"), other.alias("behind"), F.lit(None).cast("string").alias("own"), said.alias("said"))
+    no = spark.range(times, 2 * times).select(n, F.lit(0.0).alias("label"), word.alias("ahead"), other.alias("behind"), F.lit(None).cast("string").alias("own"), said.alias("said"))
     texts = yes.unionByName(no).select(n.alias("doc_id"), "label", "own", F.lit(None).cast("string").alias("source"), F.concat_ws(" ", "ahead", pick(["", "uses", "the", "of", "here,"], n * 3), "said", "behind").alias("text"))
-    found = candidates(texts)
+    texts = written(texts.coalesce(1), "taught")  # a few thousand short rows
+    found = written(candidates(texts), "findings")
     return found.join(texts.select("doc_id", "label", "own"), "doc_id").where("label = 0 or value = own").drop("own")
 
 
