@@ -63,11 +63,15 @@ def candidates(docs: DataFrame, path: str | None = "source", id_col: str = "doc_
     """
     text = F.col(text_col)
     pems = F.when(text.contains("-----BEGIN "), F.regexp_extract_all(text, F.lit(_PEM), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    rows = docs.where(text.rlike(_ANY)).select(
-        F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("doc_key"), (F.col(path) if path else F.lit(None)).cast("string").alias("path"), F.split(text, _SPLIT).alias("w"),
-        text.rlike(_SPACED).alias("spaced"), pems.alias("pems"), F.when(F.size(pems) > 0, F.split(text, _PEM)).alias("pieces"),
-    )
-    rows = rows.withColumn("within", F.flatten(F.transform("pems", lambda b: F.split(b, _SPLIT))))
+
+    def of(docs: DataFrame) -> DataFrame:
+        rows = docs.select(
+            F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("doc_key"), (F.col(path) if path else F.lit(None)).cast("string").alias("path"), F.split(text, _SPLIT).alias("w"),
+            text.rlike(_SPACED).alias("spaced"), pems.alias("pems"), F.when(F.size(pems) > 0, F.split(text, _PEM)).alias("pieces"),
+        )
+        return rows.withColumn("within", F.flatten(F.transform("pems", lambda b: F.split(b, _SPLIT))))
+
+    rows = of(docs.where(text.rlike(_ANY)))
 
     def told(x: Column, i: Column) -> Column:
         """Whether a word follows a telling name and a sign."""
@@ -89,7 +93,7 @@ def candidates(docs: DataFrame, path: str | None = "source", id_col: str = "doc_
     found = found.select("doc_id", "doc_key", "path", F.col("p.i").cast("int").alias("word"), F.col("p.x").alias("inside"), F.col("p.before").alias("before"), F.col("p.after").alias("after"), F.posexplode(values).alias("number", "value"))
     found = found.where((F.length("value") >= 6) & ~F.col("value").startswith("-----BEGIN"))
     # a private key is one value, at the place of its first word
-    blocks = rows.where(F.size("pems") > 0).select("*", F.posexplode("pems").alias("number", "value"))
+    blocks = of(docs.where(text.contains("-----BEGIN "))).where(F.size("pems") > 0).select("*", F.posexplode("pems").alias("number", "value"))
     ahead = F.array_join(F.transform(F.sequence(F.lit(0), F.col("number")), lambda j: F.concat(F.get("pieces", j), F.when(j < F.col("number"), F.get("pems", j)).otherwise(""))), "")
     blocks = blocks.withColumn("word", F.size(F.split(ahead, _SPLIT)) - 1)
     before = F.array(*(F.get("w", F.col("word") - k) for k in (3, 2, 1)))
