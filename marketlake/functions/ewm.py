@@ -12,9 +12,9 @@ from collections.abc import Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 Mean = tuple[str, str, float, int]  #: output column, input column, alpha, inputs needed before the first value
 
@@ -37,47 +37,77 @@ def scan(x: np.ndarray, reset: np.ndarray, alpha: np.ndarray) -> tuple[np.ndarra
     return factor, offset
 
 
+def _local(t: pa.Table, means: Sequence[Mean], section: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a block in order: factor and offset, inputs so far in the section, the first section's first input, its rows.
+
+    All but the last two have a row for each mean. Counts and maps take the block's first section for one that goes on; a
+    section that begins within the block starts with a reset.
+    """
+    x = np.stack([t.column(m[1]).to_numpy().astype(float) for m in means])
+    part = t.column(section).to_numpy()
+    given = ~np.isnan(x)
+    n = np.cumsum(given, axis=1)
+    start = np.flatnonzero(np.r_[False, part[1:] != part[:-1]])
+    begun = np.zeros_like(n)
+    begun[:, start] = n[:, start - 1]
+    n = n - np.maximum.accumulate(begun, axis=1)
+    head = part == part[0]
+    factor, offset = scan(x, given & (n == 1) & ~head, np.array([m[2] for m in means]))
+    ours = given & head
+    first = np.where(ours.any(axis=1), x[np.arange(len(x)), ours.argmax(axis=1)], 0.0)
+    return factor, offset, n, first, head
+
+
 def ewm(df: DataFrame, means: Sequence[Mean], keys: Sequence[str] = ("symbol",), time: str = "open_time", section: str = "section", block: str = "day") -> DataFrame:
     """Adds the means. `section` parts a series into runs that start afresh; rows without an input are passed over.
 
     An output is null until its run has given enough inputs, and where the input is null. Rows are dealt out once, by key
-    and block: both passes read that exchange.
+    and block, and both passes read that exchange. A run that has no input before a block starts from the block's first
+    one: a state that equals the input stays as it is, so no case of its own is needed.
     """
-    inputs = sorted({m[1] for m in means})
-    rows = df.withColumn("_block", F.date_trunc(block, F.col(time)))
-    run = Window.partitionBy(*keys, section).orderBy(time).rowsBetween(Window.unboundedPreceding, 0)
-    for c in inputs:
-        rows = rows.withColumn(f"_n_{c}", F.count(c).over(run))
-    alpha = np.array([m[2] for m in means])
-    made = [f"_{kind}{i}" for kind in "fo" for i in range(len(means))]
-
-    def maps(t: pa.Table) -> pa.Table:
-        """The map of each place of a block, from the state before the block; the block's own is that of its last place."""
-        t = t.take(pc.sort_indices(t, [(time, "ascending")]))
-        number = lambda c: t.column(c).to_numpy().astype(float)
-        x = np.stack([number(m[1]) for m in means])
-        # the first input of a run starts the recursion
-        reset = (np.stack([number(f"_n_{m[1]}") for m in means]) == 1) & ~np.isnan(x)
-        for name, values in zip(made, np.concatenate(scan(x, reset, alpha)), strict=True):
-            t = t.append_column(name, pa.array(values))
-        return t.append_column("_last", pa.array(np.arange(t.num_rows) == t.num_rows - 1))
-
-    schema = StructType([*rows.schema, *(StructField(n, DoubleType()) for n in made), StructField("_last", BooleanType())])
-    mapped = rows.repartition(*keys, "_block").groupBy(*keys, "_block").applyInArrow(maps, schema)
+    rows = df.withColumn("_block", F.date_trunc(block, F.col(time))).repartition(*keys, "_block")
+    group = [*keys, "_block"]
+    numbered = lambda kind: [f"_{kind}{i}" for i in range(len(means))]
+    head = sorted((f for f in rows.schema if f.name in group), key=lambda f: group.index(f.name))
+    doubles = lambda kinds: [StructField(c, DoubleType()) for kind in kinds for c in numbered(kind)]
+    order = lambda t, by: t.take(pc.sort_indices(t, [(by, "ascending")]))
+
+    def last(t: pa.Table) -> pa.Table:
+        """A row for the block: its map, the first input, how many inputs its last section has, and its outer sections."""
+        t = order(t, time)
+        factor, offset, n, first, _ = _local(t, means, section)
+        values = [*factor[:, -1], *offset[:, -1], *first, *n[:, -1].astype(float)]
+        ends = t.column(section)
+        return pa.Table.from_arrays([*(t.column(c).slice(0, 1) for c in group), ends.slice(0, 1), ends.slice(t.num_rows - 1), *(pa.array([float(v)]) for v in values)], [*group, "_from", "_to", *(c for kind in "foxn" for c in numbered(kind))])
+
+    outer = [StructField(c, rows.schema[section].dataType) for c in ("_from", "_to")]
+    blocks = rows.groupBy(*group).applyInArrow(last, StructType([*head, *outer, *doubles("foxn")]))
 
     def fold(t: pa.Table) -> pa.Table:
-        """The state before each block of a series."""
-        t = t.take(pc.sort_indices(t, [("_block", "ascending")]))
-        factor, offset = (np.stack([t.column(f"_{kind}{i}").to_numpy() for i in range(len(means))]) for kind in "fo")
-        before = np.zeros_like(factor)
-        for k in range(1, t.num_rows):
-            before[:, k] = factor[:, k - 1] * before[:, k - 1] + offset[:, k - 1]
-        return pa.Table.from_arrays([*(t.column(c) for c in [*keys, "_block"]), *map(pa.array, before)], [*keys, "_block", *(f"_c{i}" for i in range(len(means)))])
-
-    head = [f for f in rows.schema if f.name in (*keys, "_block")]
-    head.sort(key=lambda f: [*keys, "_block"].index(f.name))
-    ends = mapped.where("_last").select(*keys, "_block", *made)
-    carried = ends.groupBy(*keys).applyInArrow(fold, StructType([*head, *(StructField(f"_c{i}", DoubleType()) for i in range(len(means)))]))
-    joined = mapped.join(carried, [*keys, "_block"])
-    values = [F.when(F.col(c).isNotNull() & (F.col(f"_n_{c}") >= least), F.col(f"_f{i}") * F.col(f"_c{i}") + F.col(f"_o{i}")).alias(name) for i, (name, c, _, least) in enumerate(means)]
-    return joined.select(*df.columns, *values)
+        """The state and the section's number of inputs before each block of a series."""
+        t = order(t, "_block")
+        factor, offset, first, n = (np.stack([t.column(c).to_numpy() for c in numbered(kind)]) for kind in "foxn")
+        start, end = t.column("_from").to_pylist(), t.column("_to").to_pylist()
+        state, seen = np.zeros_like(factor), np.zeros_like(factor)
+        y = count = np.zeros(len(means))
+        for k in range(t.num_rows):
+            count = count if k and end[k - 1] == start[k] else np.zeros(len(means))
+            state[:, k], seen[:, k] = np.where(count > 0, y, first[:, k]), count
+            y = factor[:, k] * state[:, k] + offset[:, k]
+            count = n[:, k] + (count if start[k] == end[k] else 0)
+        return pa.Table.from_arrays([*(t.column(c) for c in group), *map(pa.array, state), *map(pa.array, seen)], [*group, *numbered("s"), *numbered("c")])
+
+    carried = blocks.groupBy(*keys).applyInArrow(fold, StructType([*head, *doubles("sc")]))
+    names = df.columns
+
+    def fill(t: pa.Table, before: pa.Table) -> pa.Table:
+        t = order(t, time)
+        factor, offset, n, _, ours = _local(t, means, section)
+        for i, (name, c, _, least) in enumerate(means):
+            y = factor[i] * before.column(f"_s{i}")[0].as_py() + offset[i]
+            few = n[i] + ours * before.column(f"_c{i}")[0].as_py() < least
+            t = t.append_column(name, pa.array(y, mask=few | np.isnan(t.column(c).to_numpy().astype(float))))
+        return t.select([*names, *(m[0] for m in means)])
+
+    out = StructType([*df.schema, *(StructField(m[0], DoubleType()) for m in means)])
+    return rows.groupBy(*group).cogroup(carried.groupBy(*group)).applyInArrow(fill, out)

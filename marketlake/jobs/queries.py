@@ -90,6 +90,11 @@ def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bars.to_grid(bars.from_trades(t, "1 hour"), t, ad.START, ad.END, "1 hour")
 
 
+def sections(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
+    """Hourly bars with these columns, cut into sections, in parts of a week."""
+    return features.with_section(hourly(spark, sf_dir).select("symbol", "open_time", *names), "week")
+
+
 @query(GRID + f" SELECT symbol, open_time, {OHLCV} FROM grid")
 def hourly_grid(spark, sf_dir):
     return hourly(spark, sf_dir)
@@ -109,13 +114,13 @@ def bars_available_at(spark, sf_dir):
 
 @query(SEC + f" SELECT symbol, open_time, data_valid, section, row_in_section, {r('return_1', 'log_return')} FROM ret")
 def section_returns(spark, sf_dir):
-    df = features.returns(features.with_section(hourly(spark, sf_dir)))
+    df = features.whole(features.returns(sections(spark, sf_dir, "close")))
     return rounded(df.select("symbol", "open_time", "data_valid", "section", "row_in_section", "return_1", "log_return"), "return_1", "log_return")
 
 
 @query(SEC + f" SELECT symbol, open_time, {r('true_range')} FROM ret")
 def true_range(spark, sf_dir):
-    return rounded(features.true_range(features.with_section(hourly(spark, sf_dir))).select("symbol", "open_time", "true_range"), "true_range")
+    return rounded(features.whole(features.true_range(sections(spark, sf_dir, "high", "low", "close"))).select("symbol", "open_time", "true_range"), "true_range")
 
 
 @query(ROLL + f" SELECT symbol, open_time, {r('vwap_utc_day')} FROM roll")
@@ -125,13 +130,13 @@ def vwap_day(spark, sf_dir):
 
 @query(ROLL + f" SELECT symbol, open_time, {r('volatility_30', 'volatility_60')} FROM roll")
 def rolling_vol(spark, sf_dir):
-    df = features.volatility(features.returns(features.with_section(hourly(spark, sf_dir))))
+    df = features.whole(features.volatility(features.returns(sections(spark, sf_dir, "close"))))
     return rounded(df.select("symbol", "open_time", "volatility_30", "volatility_60"), "volatility_30", "volatility_60")
 
 
 @query(ROLL + f" SELECT symbol, open_time, {r('zscore_20')} FROM roll")
 def zscore_20(spark, sf_dir):
-    return rounded(features.zscore(features.with_section(hourly(spark, sf_dir))).select("symbol", "open_time", "zscore_20"), "zscore_20")
+    return rounded(features.whole(features.zscore(sections(spark, sf_dir, "close"))).select("symbol", "open_time", "zscore_20"), "zscore_20")
 
 
 MEANS = ("ema_20", "ema_50", "ema_200", "atr_14", "rsi_14", "trend_20_50_bps")
@@ -140,13 +145,13 @@ ROLLED = ("return_1", "volatility_30", "volatility_60", "zscore_20", "vwap_utc_d
 
 @query(EMA + f" SELECT symbol, open_time, {r(*MEANS)} FROM means")
 def exponential_means(spark, sf_dir):
-    df = features.averages(features.true_range(features.returns(features.with_section(hourly(spark, sf_dir)))))
+    df = features.averages(features.whole(features.true_range(features.returns(sections(spark, sf_dir, "high", "low", "close")))), "week")
     return rounded(df.select("symbol", "open_time", *MEANS), *MEANS)
 
 
 @query(EMA + f" SELECT symbol, open_time, {OHLCV}, data_valid, {r(*ROLLED, *MEANS)}, open_time + INTERVAL 1 HOUR AS bar_available_at FROM means")
 def features_full(spark, sf_dir):
-    df = features.features(hourly(spark, sf_dir), "1 hour")
+    df = features.features(hourly(spark, sf_dir), "1 hour", "week")
     own = ["symbol", "open_time", "open", "high", "low", "close", *bars.SUMS, "data_valid"]
     return rounded(df.select(*own, *ROLLED, *MEANS, "bar_available_at"), *ROLLED, *MEANS)
 

@@ -1,4 +1,9 @@
-"""Causal indicators that start afresh after every gap of the grid."""
+"""Causal indicators that start afresh after every gap of the grid.
+
+A series is cut into parts, a day say, and windows run within a part. The rows just before a part are copied to it, as many
+as the longest window looks back; what reaches farther (the gaps so far, the bars of a section that goes on) is carried over
+in a row a part. So a symbol is as many tasks as it has parts, however long it is.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +12,9 @@ from pyspark.sql import functions as F
 
 from marketlake.functions.ewm import ewm
 
+#: Rows before a part that are copied to it: returns over 60 bars look at one bar more.
+LEAD = 60
+
 
 def _in_order(*keys: str) -> WindowSpec:
     return Window.partitionBy(*keys).orderBy("open_time")
@@ -17,15 +25,37 @@ def _so_far(*keys: str) -> WindowSpec:
 
 
 def _run() -> WindowSpec:
-    return _in_order("symbol", "section")
-
-
-def with_section(grid: DataFrame) -> DataFrame:
-    """Adds data_valid, section (gaps so far) and row_in_section (valid bars of the section so far; null at a gap)."""
-    df = grid.withColumn("data_valid", F.col("close").isNotNull())
-    df = df.withColumn("section", F.sum((~F.col("data_valid")).cast("long")).over(_so_far("symbol")))
-    n = F.count("close").over(_so_far("symbol", "section"))
-    return df.withColumn("row_in_section", F.when(F.col("data_valid"), n))
+    return _in_order("symbol", "part")
+
+
+def with_section(grid: DataFrame, block: str = "day", rows: int = LEAD) -> DataFrame:
+    """Adds data_valid, section (gaps so far) and row_in_section (valid bars of the section so far; null at a gap).
+
+    The result is in parts of one `block`: columns part and lead, the latter true for copies of rows before the part. The
+    functions below take such rows; `whole` drops the copies in the end. `rows` is the longest look back in bars.
+    """
+    df = grid.withColumns({"part": F.date_trunc(block, "open_time"), "data_valid": F.col("close").isNotNull()})
+    df = df.withColumn("section", F.count_if(~F.col("data_valid")).over(_so_far("symbol", "part")))
+    df = df.withColumns({"row_in_section": F.count("close").over(_so_far("symbol", "part", "section")), "_row": F.row_number().over(_run())})
+    # the last row is taken with all its columns, so that this side and the join below read one exchange
+    last = df.groupBy("symbol", "part").agg(F.max_by(F.struct(*df.columns), "open_time").alias("last"))
+    last = last.select("symbol", "part", F.col("last.section").alias("gaps"), F.col("last.row_in_section").alias("bars"), F.col("last._row").alias("n"))
+    w = Window.partitionBy("symbol").orderBy("part")  # a row a part
+    last = last.withColumns({"run": F.count_if(F.col("gaps") > 0).over(w), "first": F.sum("n").over(w) - F.col("n")})
+    last = last.withColumns({"after": F.sum("bars").over(Window.partitionBy("symbol", "run").orderBy("part")), "next": F.collect_list(F.struct("part", "first")).over(w.rowsBetween(1, rows))})
+    near = F.filter("next", lambda x: x["first"] - F.col("first") - F.col("n") < rows)
+    carried = last.select("symbol", "part", (F.sum("gaps").over(w) - F.col("gaps")).alias("_gaps"), F.coalesce(F.lag("after").over(w), F.lit(0)).alias("_bars"), F.col("first").alias("_first"), near.alias("_next"))
+    df = df.join(carried, ["symbol", "part"])
+    n = F.col("row_in_section") + F.when(F.col("section") == 0, F.col("_bars")).otherwise(0)
+    df = df.withColumn("row_in_section", F.when(F.col("data_valid"), n)).withColumn("section", F.col("section") + F.col("_gaps"))
+    later = F.filter("_next", lambda x: x["first"] - F.col("_first") - F.col("_row") < rows)
+    df = df.withColumn("_at", F.explode(F.concat(F.array("part"), F.transform(later, lambda x: x["part"]))))
+    return df.withColumn("lead", F.col("_at") != F.col("part")).withColumn("part", F.col("_at")).drop("_gaps", "_bars", "_first", "_next", "_row", "_at")
+
+
+def whole(df: DataFrame) -> DataFrame:
+    """The rows themselves, without the copies that windows looked back at."""
+    return df.where(~F.col("lead")).drop("lead", "part")
 
 
 def _before() -> Column:
@@ -33,7 +63,7 @@ def _before() -> Column:
 
 
 def returns(df: DataFrame) -> DataFrame:
-    """Adds the return, log return and difference to the bar before in the section."""
+    """Adds the return, log return and difference to the bar before; null at a gap and after one."""
     b = _before()
     return df.withColumns({"return_1": F.try_divide("close", b) - 1, "log_return": F.when((F.col("close") > 0) & (b > 0), F.log("close") - F.log(b)), "delta": F.col("close") - b})
 
@@ -68,7 +98,7 @@ def vwap_day(df: DataFrame) -> DataFrame:
 
 
 def averages(df: DataFrame, block: str = "day") -> DataFrame:
-    """Adds EMA 20/50/200, ATR 14, RSI 14 and the trend in basis points. Needs returns() and true_range()."""
+    """Adds EMA 20/50/200, ATR 14, RSI 14 and the trend in basis points. Needs returns() and true_range(), and whole rows."""
     df = df.withColumns({"gain": F.greatest("delta", F.lit(0.0)), "loss": F.greatest(-F.col("delta"), F.lit(0.0))})
     df = df.withColumns({c: F.when(F.col("delta").isNotNull(), F.col(c)) for c in ("gain", "loss")})
     means = [(f"ema_{n}", "close", 2 / (n + 1), n) for n in (20, 50, 200)]
@@ -80,5 +110,5 @@ def averages(df: DataFrame, block: str = "day") -> DataFrame:
 
 def features(grid: DataFrame, length: str = "1 minute", block: str = "day") -> DataFrame:
     """All indicators of a dense grid, with the instant from which each bar may be used."""
-    df = vwap_day(zscore(volatility(true_range(returns(with_section(grid))))))
-    return averages(df, block).withColumn("bar_available_at", F.col("open_time") + F.expr(f"interval {length}"))
+    df = with_section(vwap_day(grid), block)
+    return averages(whole(zscore(volatility(true_range(returns(df))))), block).withColumn("bar_available_at", F.col("open_time") + F.expr(f"interval {length}"))
