@@ -17,6 +17,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 4 << 20
 #: Bits of a sieve (a power of two): a table of at most SIEVE / 64 rows, however many keys go in.
 SIEVE = 1 << 24
+#: Spark's setting by which a query's shuffle files are deleted when it ends.
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,10 +33,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame, name: str = "step") -> DataFrame:
-    """Cuts the lineage: writes df as a table in the shared folder and reads it back, so a lost executor costs no rerun."""
+    """Cuts the lineage: writes df as a table in the shared folder and reads it back, so a lost executor costs no rerun.
+
+    The write's shuffle files go as soon as the table stands: executors hold those of one step at a time.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(SHUFFLES_GO, None)
+    spark.conf.set(SHUFFLES_GO, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(SHUFFLES_GO) if before is None else spark.conf.set(SHUFFLES_GO, before)
     back = spark.read.schema(df.schema).parquet(path)
     _PLACES[id(back)] = (weakref.ref(back), path)
     return back
