@@ -273,6 +273,8 @@ def linked(docs: DataFrame, size: int = 5, threshold: str = "4/5", id_col: str =
     described = written(rows.mapInArrow(describe, f"doc_id {kind}, n long, mark binary, head array<long>"), "sets")
     # equal sets have equal heads: one row a set, copies are folded before the shuffle
     nodes = written(described.where("mark is not null").groupBy("mark").agg(F.min("doc_id").alias("node"), F.max("n").alias("whole"), F.first("head").alias("head")), "nodes")
+    headed, described = described, written(described.select("doc_id", "n", "mark"), "marks")  # the heads are with the nodes now
+    release(headed)
     heads = nodes.where("size(head) > 0").select(F.col("node").alias("of"), "whole", "head")
     own = heads.select(F.col("of").alias("node"), F.explode("head").alias("gram"))
     # a document is in a group for each shared n-gram of its head, but for the `spare` that most heads hold: linked sets
