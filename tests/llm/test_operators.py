@@ -3,8 +3,10 @@
 import collections
 import hashlib
 import re
+import time
 import zlib
 from fractions import Fraction
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -545,3 +547,20 @@ def test_language_of_very_long_texts(spark):
     model = language.fit(spark.createDataFrame(short, "doc_id long, text string, lang string"), F.lit(True))
     r = language.predict(spark.createDataFrame(long_, "doc_id long, text string, lang string"), model).collect()
     assert {x.doc_id: x.lang_pred for x in r} == {i: lang for i, _, lang in long_}
+
+
+def test_written_steps_leave_no_shuffle_files(spark):
+    """A table that cuts the lineage needs no shuffle files; the session's own setting stays as it was, after a failure too."""
+    local = Path(spark.sparkContext.getConf().get("spark.local.dir"))
+    shuffled = lambda: {f.name for f in local.rglob("shuffle_*.data")}
+    df = spark.range(10_000).select((F.col("id") % 4999).alias("k"))
+    before, held = spark.conf.get(common.SHUFFLES_GO, None), shuffled()
+    back = common.written(df.groupBy("k").count().join(df.groupBy("k").agg(F.max("k").alias("m")), "k"))
+    until = time.time() + 20
+    while shuffled() - held and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - held
+    assert (back.count(), back.where("k <> m").count()) == (4999, 0)
+    with pytest.raises(Exception, match="none of this"):
+        common.written(df.select(F.raise_error(F.lit("none of this")).cast("long").alias("x")))
+    assert spark.conf.get(common.SHUFFLES_GO, None) == before
