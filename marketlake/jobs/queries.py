@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketlake.operators import bars, book, costs, coverage, features, macro, panel, quality, trades
@@ -229,8 +229,6 @@ HEAD = TAPE + ", n AS (SELECT *, row_number() OVER (PARTITION BY symbol, date OR
 
 @query(HEAD + " SELECT symbol, date, count(*) AS \"rows\", bool_and(price > 0 AND qty > 0) AS passed FROM n WHERE pos < 1000 GROUP BY 1, 2")
 def trade_precheck(spark, sf_dir):
-    from pyspark.sql import Window
-
     w = Window.partitionBy("symbol", "date").orderBy("id")
     return trades.precheck(ad.tape(spark, sf_dir).withColumn("row_idx", F.row_number().over(w) - 1))
 
@@ -438,22 +436,19 @@ def release_events(spark, sf_dir):
     d = ad.read(spark, sf_dir, "events").select("event_type", F.to_date("ts").alias("d")).distinct()
     cell = "<tr><th> {} </th><td><b>{}</b></td>\n<td>08:30  AM</td></tr><tr><td>no date</td></tr>"
     text = F.format_string(cell.replace("{}", "%s"), F.date_format("d", "yyyy-MM"), F.date_format("d", "MMM d, yyyy"))
-    out = None
-    for kind in ("click", "error", "purchase", "signup", "view"):
-        rows = macro.html_rows(d.where(F.col("event_type") == kind).select(text.alias("value")))
-        part = macro.release_events(rows, "2024-01-04", "2024-01-28", kind)
-        out = part if out is None else out.unionByName(part)
-    return out.select("event_type", "reference_period", F.col("scheduled_release_at_utc").cast("timestamp_ntz").alias("scheduled_release_at_utc"))
+    rows = macro.html_rows(d.select("event_type", text.alias("value")), keep=["event_type"])
+    return macro.release_events(rows, "2024-01-04", "2024-01-28", F.col("event_type")).select("event_type", "reference_period", F.col("scheduled_release_at_utc").cast("timestamp_ntz").alias("scheduled_release_at_utc"))
 
 
-@query("""WITH s AS (SELECT 'u' || user_id AS series, user_id AS u, count(*) AS n FROM events GROUP BY 2), o AS (SELECT series, CASE WHEN u % 3 = 0 THEN 'failed' ELSE 'acquired' END AS status, u % 5 <> 0 AS bytes_match, n AS "rows" FROM s WHERE u % 2 = 0), n AS (SELECT series, CASE WHEN u % 4 = 0 THEN 'failed' ELSE 'acquired' END AS status, n + 1 AS "rows" FROM s WHERE u % 7 <> 0),
- j AS (SELECT coalesce(n.series, o.series) AS series, n.series IS NULL OR coalesce(n.status <> 'acquired' AND o.status = 'acquired' AND o.bytes_match, false) AS keep, o.status AS os, o."rows" AS orows, n.status AS ns, n."rows" AS nrows FROM o FULL JOIN n ON o.series = n.series)
- SELECT series, CASE WHEN keep THEN os ELSE ns END AS status, CASE WHEN keep THEN orows ELSE nrows END AS "rows" FROM j""")
+@query("""WITH s AS (SELECT 'u' || user_id AS series, user_id AS u, count(*) AS n FROM events GROUP BY 2), o AS (SELECT series, CASE WHEN u % 3 = 0 THEN 'failed' ELSE 'acquired' END AS status, u % 5 <> 0 AS bytes_match, n AS "rows", 'raw/' || series AS relative_path FROM s WHERE u % 2 = 0),
+ n AS (SELECT series, CASE WHEN u % 4 = 0 THEN 'failed' ELSE 'acquired' END AS status, n + 1 AS "rows", CASE WHEN u % 4 = 0 THEN 'timeout' END AS error, CASE WHEN u % 4 <> 0 THEN 'new/' || series END AS relative_path FROM s WHERE u % 7 <> 0),
+ j AS (SELECT n.*, coalesce(n.status <> 'acquired' AND o.status = 'acquired' AND o.bytes_match, false) AS back, o.status AS os, o."rows" AS orows, o.relative_path AS opath FROM n LEFT JOIN o ON o.series = n.series)
+ SELECT series, CASE WHEN back THEN os ELSE status END AS status, CASE WHEN back THEN orows ELSE "rows" END AS "rows", CASE WHEN back THEN opath ELSE relative_path END AS relative_path, back AS resumed_from_initial_release, CASE WHEN back THEN error END AS new_fetch_error FROM j""")
 def macro_merge(spark, sf_dir):
     s = ad.read(spark, sf_dir, "events").groupBy(F.col("user_id").alias("u")).agg(F.count("*").alias("rows")).withColumn("series", F.concat(F.lit("u"), "u"))
-    st = lambda n: F.when(F.col("u") % n == 0, "failed").otherwise("acquired").alias("status")
-    old = s.where("u % 2 = 0").select("series", st(3), (F.col("u") % 5 != 0).alias("bytes_match"), "rows")
-    new = s.where("u % 7 <> 0").select("series", st(4), (F.col("rows") + 1).alias("rows"))
+    failed = F.col("u") % 4 == 0
+    old = s.where("u % 2 = 0").select("series", F.when(F.col("u") % 3 == 0, "failed").otherwise("acquired").alias("status"), (F.col("u") % 5 != 0).alias("bytes_match"), "rows", F.concat(F.lit("raw/"), "series").alias("relative_path"))
+    new = s.where("u % 7 <> 0").select("series", F.when(failed, "failed").otherwise("acquired").alias("status"), (F.col("rows") + 1).alias("rows"), F.when(failed, "timeout").alias("error"), F.when(~failed, F.concat(F.lit("new/"), "series")).alias("relative_path"))
     return macro.merge_sources(old, new)
 
 
@@ -461,8 +456,6 @@ DIFFS = TAPE + """, l AS (SELECT symbol, CAST(date_diff('day', TIMESTAMP '2024-0
 
 
 def _diffs(spark, sf_dir):
-    from pyspark.sql import Window
-
     t = ad.tape(spark, sf_dir)
     p = F.lag("id").over(Window.partitionBy("symbol", "date").orderBy("id"))
     df = t.select("symbol", F.datediff("date", F.lit("2024-01-01").cast("date")).alias("session"), F.col("id").alias("seq"), F.col("id").alias("u"), p.alias("p"), "price", "qty")
@@ -488,10 +481,9 @@ def l2_replay_stream(spark, sf_dir):
     e = d.select("symbol", "session", "seq", F.when(F.col("p").isNull(), "snapshot").otherwise("diff").alias("type"), F.coalesce("p", "u").alias("first"), "u", F.coalesce("pu", "u").alias("pu"), level.alias("bids"), F.lit("").alias("asks"))
     path = shared(spark, "envelopes")
     e.write.parquet(path)
-    out = jobs.replay_stream(spark.readStream.schema(e.schema).parquet(path))
     done = shared(spark, "replayed")
-    out.writeStream.format("parquet").option("path", done).option("checkpointLocation", shared(spark, "state")).trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(out.schema).parquet(done)
+    jobs.replay_files(spark.readStream.schema(e.schema).parquet(path), done, shared(spark, "state")).awaitTermination()
+    return spark.read.schema(jobs.REPLAYED).parquet(done)
 
 
 @query(GRID + """ SELECT symbol, time_bucket(INTERVAL 4 HOUR, open_time) AS open_time, arg_min(open, open_time) AS open, max(high) AS high, min(low) AS low, arg_max(close, open_time) AS close, sum(volume) AS volume, CAST(sum("count") AS BIGINT) AS "count" FROM grid GROUP BY 1, 2
@@ -507,8 +499,12 @@ def resample_stream(spark, sf_dir):
 
 @query(FAULTS + " SELECT * FROM audit")
 def audit_stream(spark, sf_dir):
+    """Rows land by time, so days are split over files and batches; a second run finds nothing new."""
     t = ad.tape(spark, sf_dir, faults=True)
-    path, out = shared(spark, "landed"), shared(spark, "audits")
-    t.write.parquet(path)
-    jobs.audit_stream(spark.readStream.schema(t.schema).parquet(path), out, shared(spark, "state")).awaitTermination()
-    return spark.read.parquet(out)
+    place = F.row_number().over(Window.partitionBy("symbol", "date").orderBy("row_idx")) - 1
+    path, out, state = shared(spark, "landed"), shared(spark, "audits"), shared(spark, "state")
+    t.withColumn("row_idx", place.cast("long")).repartitionByRange(8, "ts").sortWithinPartitions("symbol", "date", "row_idx").write.parquet(path)
+    for _ in range(2):
+        landed = spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 3).parquet(path)
+        jobs.audit_stream(landed, out, state).awaitTermination()
+    return jobs.audited(spark, out)

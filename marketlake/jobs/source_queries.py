@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from marketlake.jobs.queries import BARS, DIFFS, GRID, MANIFEST, REQ, TAPE, _diffs, hourly, manifest, query, requested, rounded, shared
-from marketlake.operators import bars, book, coverage, macro, quality
+from marketlake.jobs.queries import BARS, CANDLES, DIFFS, FAULTS, GRID, MANIFEST, REQ, TAPE, _diffs, hourly, manifest, query, requested, rounded, shared
+from marketlake.operators import bars, book, coverage, macro, quality, trades
 from marketlake.sources import adapters as ad
 from marketlake.sources import readers
 from marketlake.streaming import jobs
@@ -14,27 +14,99 @@ from marketlake.streaming import jobs
 TRADE = ["id", "price", "qty", "quote_qty", "time", "is_buyer_maker"]
 
 
+def _write_files(rows, path, name, begin, end):
+    """Writes a file for each (symbol, date) of rows (symbol, date, id, ...), in order of id, while the rows stream by; nothing is gathered.
+
+    name(symbol, date): the file below path. begin(stream, symbol, date): what takes the rows' chunks; end: closes it.
+    """
+
+    def run(it):
+        import pandas as pd
+
+        from marketlake.sources.archive import file_system
+
+        fs, at = file_system(path)
+        now = out = None
+        made = 0
+        for g in it:
+            for key, rows in g.groupby(["symbol", "date"], sort=False):
+                if key != now:
+                    if out is not None:
+                        end(out)
+                    now, made = key, made + 1
+                    file = f"{at}/{name(*key)}"
+                    fs.create_dir(file.rpartition("/")[0], recursive=True)
+                    out = begin(fs.open_output_stream(file), *key)
+                out["add"](rows)
+        if out is not None:
+            end(out)
+        yield pd.DataFrame({"files": [made]})
+
+    dealt = rows.repartition("symbol", "date").sortWithinPartitions("symbol", "date", "id")
+    dealt.mapInPandas(run, "files long").agg(F.sum("files")).first()
+
+
+def _zip_begin(stream, symbol, date):
+    import zipfile
+
+    z = zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED)
+    member = z.open("trades.csv", "w")
+    state = {"header": bool(date.day % 2)}
+
+    def add(rows):
+        text = rows[TRADE].assign(is_buyer_maker=rows["is_buyer_maker"].map({True: "true", False: "false"})).to_csv(index=False, header=state["header"])
+        state["header"] = False
+        member.write(text.encode())
+
+    return {"add": add, "close": (member, z, stream)}
+
+
+def _ids_begin(stream, symbol, date):
+    state = {"first": True}
+
+    def add(rows):
+        stream.write((("" if state["first"] else ",") + ",".join(map(str, rows["id"]))).encode())
+        state["first"] = False
+
+    return {"add": add, "close": (stream,)}
+
+
+def _end(out):
+    for x in out["close"]:
+        x.close()
+
+
 @query(TAPE + """ SELECT symbol || '/' || CAST(date AS VARCHAR) || '.zip' AS file, row_number() OVER (PARTITION BY symbol, date ORDER BY id) - 1 AS row_idx, id, price, qty, quote_qty, time, CASE WHEN is_buyer_maker THEN 'true' ELSE 'false' END AS is_buyer_maker FROM tape""")
 def archive_rows(spark, sf_dir):
-    """Every partition as an archive of one CSV, half of them with a header, and back."""
-    t = ad.tape(spark, sf_dir)
+    """Every partition as an archive of one CSV, half of them with a header, and back through the data source."""
+    path = shared(spark, "archives")
+    _write_files(ad.tape(spark, sf_dir).select("symbol", "date", *TRADE), path, lambda symbol, date: f"{symbol}/{date}.zip", _zip_begin, _end)
+    rows = readers.read_archive(spark, path, TRADE)
+    kinds = {"id": "long", "price": "double", "qty": "double", "quote_qty": "double", "time": "long", "is_buyer_maker": "string"}
+    return rows.select(F.regexp_extract("file", "([^/]+/[^/]+)$", 1).alias("file"), "row_idx", *(F.col(c).cast(k).alias(c) for c, k in kinds.items()))
 
-    def pack(g):
-        import io
-        import zipfile
 
-        import pandas as pd
+def _id_files(spark, sf_dir, path, some=None):
+    """Files of ids, a file a partition, and what they are: path, bytes, sha256, name."""
+    t = ad.tape(spark, sf_dir).select("symbol", "date", "id")
+    _write_files(t if some is None else t.where(some), path, lambda symbol, date: f"{symbol}-{date}", _ids_begin, _end)
+    return readers.file_inventory(spark, path).withColumn("name", F.element_at(F.split("path", "/"), -1))
+
+
+@query(TAPE + """, f AS (SELECT symbol || '-' || CAST(date AS VARCHAR) AS name, day(date) AS d, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS content FROM tape GROUP BY symbol, date)
+ SELECT name, d % 7 <> 0 AND d % 11 <> 0 AS ok, CASE WHEN d % 11 <> 0 THEN sha256(content) END AS sha256 FROM f""")
+def checksums(spark, sf_dir):
+    """Partitions as files: some of other bytes than the manifest says, some not there. The manifest is of an earlier reading."""
+    whole = _id_files(spark, sf_dir, shared(spark, "acquired"))
+    day = F.regexp_extract("name", "-([0-9]+)$", 1).cast("int")
+    manifest = whole.select("name", F.when(day % 7 == 0, "other").otherwise(F.col("sha256")).alias("sha256"))
+    have = _id_files(spark, sf_dir, shared(spark, "raw"), F.dayofmonth("date") % 11 != 0)
+    return readers.check_inventory(have, manifest).select("name", "ok", "sha256")
 
-        g = g.sort_values("id")
-        made = io.BytesIO()
-        with zipfile.ZipFile(made, "w", zipfile.ZIP_DEFLATED) as z:
-            text = g[TRADE].assign(is_buyer_maker=g["is_buyer_maker"].map({True: "true", False: "false"})).to_csv(index=False, header=bool(g["date"].iloc[0].day % 2))
-            z.writestr("trades.csv", text)
-        return pd.DataFrame({"path": [f"{g['symbol'].iloc[0]}/{g['date'].iloc[0]}.zip"], "content": [made.getvalue()]})
 
-    archives = t.select("symbol", "date", *TRADE).groupBy("symbol", "date").applyInPandas(pack, "path string, content binary")
-    rows = readers.parse_archives(archives, TRADE)
-    return rows.withColumns({"id": F.col("id").cast("long"), "time": F.col("time").cast("long"), **{c: F.col(c).cast("double") for c in ("price", "qty", "quote_qty")}})
+@query(TAPE + " SELECT symbol || '-' || CAST(date AS VARCHAR) AS path, length(string_agg(CAST(id AS VARCHAR), ',' ORDER BY id)) AS bytes FROM tape GROUP BY symbol, date")
+def file_sizes(spark, sf_dir):
+    return _id_files(spark, sf_dir, shared(spark, "sized")).select(F.col("name").alias("path"), "bytes")
 
 
 CANDLE_ROWS = GRID + """ SELECT symbol, epoch_ms(open_time) AS open_time, open, high, low, close, volume, epoch_ms(open_time) + 3599999 AS close_time, round(quote_volume, 4) AS quote_volume, "count", taker_buy_volume, round(taker_buy_quote_volume, 4) AS taker_buy_quote_volume FROM grid WHERE close IS NOT NULL"""
@@ -146,11 +218,15 @@ def metrics_invalid_rows(spark, sf_dir):
     return m.where(quality.metrics_invalid(F.col("asked"))).select(F.col("asked").alias("symbol"), "id")
 
 
+def _depth(spark, sf_dir):
+    n = F.col("id")
+    figures = {"depth": F.when(n % 53 == 0, -F.col("qty") - 1).otherwise(F.col("qty")), "notional": F.when(n % 59 == 0, -1.0).otherwise(F.col("price"))}
+    return ad.tape(spark, sf_dir).select("symbol", "date", "id", F.col("ts").cast("string").alias("timestamp"), F.lit(1.0).alias("percentage"), *(c.alias(k) for k, c in figures.items()))
+
+
 @query(TAPE + " SELECT symbol, id FROM tape WHERE id % 53 = 0 OR id % 59 = 0")
 def depth_invalid_rows(spark, sf_dir):
-    n = F.col("id")
-    t = ad.tape(spark, sf_dir).select("symbol", "id", F.col("ts").cast("string").alias("timestamp"), F.lit(1.0).alias("percentage"), F.when(n % 53 == 0, -F.col("qty") - 1).otherwise(F.col("qty")).alias("depth"), F.when(n % 59 == 0, -1.0).otherwise(F.col("price")).alias("notional"))
-    return quality.require_columns(t, ["timestamp", "percentage", "depth", "notional"]).where(quality.depth_invalid()).select("symbol", "id")
+    return quality.require_columns(_depth(spark, sf_dir), ["timestamp", "percentage", "depth", "notional"]).where(quality.depth_invalid()).select("symbol", "id")
 
 
 @query(TAPE + """ SELECT 'metrics' AS category, id, date_trunc('second', ts) AS event_time FROM tape UNION ALL SELECT 'depth', id, date_trunc('second', ts) FROM tape UNION ALL SELECT 'funding', id, make_timestamp(time * 1000) FROM tape""")
@@ -237,9 +313,8 @@ def _replayed(spark, sf_dir):
     )
     path, done = shared(spark, "envelopes"), shared(spark, "replayed")
     e.write.parquet(path)
-    out = jobs.replay_stream(spark.readStream.schema(e.schema).parquet(path))
-    out.writeStream.format("parquet").option("path", done).option("checkpointLocation", shared(spark, "state")).trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(out.schema).parquet(done)
+    jobs.replay_files(spark.readStream.schema(e.schema).parquet(path), done, shared(spark, "state")).awaitTermination()
+    return spark.read.schema(jobs.REPLAYED).parquet(done)
 
 
 @query(REPLAY + " SELECT * FROM replayed")
@@ -247,6 +322,49 @@ def l2_replay_waiting(spark, sf_dir):
     return _replayed(spark, sf_dir)
 
 
-@query(REPLAY + " SELECT symbol, count(*) AS events, count(*) FILTER (WHERE outcome = 'applied') AS synchronized_events, count(DISTINCT session) AS sessions, count(*) FILTER (WHERE outcome = 'gap') AS gaps, CASE WHEN count(*) FILTER (WHERE outcome = 'applied') > 0 THEN 'captured' ELSE 'failed' END AS status FROM replayed GROUP BY 1")
+@query(REPLAY + """ SELECT symbol, count(*) FILTER (WHERE outcome <> 'snapshot') AS events, count(*) FILTER (WHERE outcome = 'applied') AS synchronized_events, count(DISTINCT session) AS sessions, count(*) FILTER (WHERE outcome = 'gap') AS gaps,
+ CASE WHEN bool_or(outcome = 'failed') THEN 'blocked_or_failed' WHEN bool_or(outcome = 'applied') THEN 'captured' ELSE 'no_synchronized_data' END AS status FROM replayed GROUP BY 1""")
 def l2_report(spark, sf_dir):
     return book.report(_replayed(spark, sf_dir))
+
+
+FILES = CANDLES + """, trade_rows AS (SELECT 'trades/' || symbol || '/' || CAST(date AS VARCHAR) AS file, row_number() OVER w - 1 AS pos, CASE WHEN id % 101 = 0 THEN 0.0::DOUBLE ELSE price END AS price, qty, CASE WHEN id % 107 = 0 THEN id - 1 ELSE id END - lag(CASE WHEN id % 107 = 0 THEN id - 1 ELSE id END) OVER w AS step FROM tape WINDOW w AS (PARTITION BY symbol, date ORDER BY id)),
+found AS (SELECT 'klines/' || file AS file, unnest([struct_pack(rule := 'invalid_rows', n := invalid_rows), struct_pack(rule := 'duplicate_times', n := duplicate_times), struct_pack(rule := 'out_of_order', n := CAST(out_of_order AS INTEGER))]) AS f FROM qa
+ UNION ALL SELECT 'trades/' || symbol || '/' || CAST(date AS VARCHAR), struct_pack(rule := 'checksum_changed', n := 1) FROM (SELECT DISTINCT symbol, date FROM tape) WHERE day(date) % 7 = 0
+ UNION ALL SELECT file, unnest([struct_pack(rule := 'invalid_sampled_trade', n := count(*) FILTER (WHERE price <= 0 OR qty <= 0)), struct_pack(rule := 'invalid_sampled_ids', n := count(*) FILTER (WHERE step <= 0))]) FROM trade_rows WHERE pos < 1000 GROUP BY file
+ UNION ALL SELECT 'metrics/' || symbol || '/' || CAST(date AS VARCHAR), unnest([struct_pack(rule := 'other_symbol', n := count(*) FILTER (WHERE id % 97 = 0)), struct_pack(rule := 'negative_open_interest', n := count(*) FILTER (WHERE id % 89 = 0)), struct_pack(rule := 'open_interest_not_finite', n := count(*) FILTER (WHERE id % 83 = 0 OR id % 79 = 0))]) FROM tape GROUP BY symbol, date
+ UNION ALL SELECT 'bookDepth/' || symbol || '/' || CAST(date AS VARCHAR), struct_pack(rule := 'negative_depth', n := count(*) FILTER (WHERE id % 53 = 0 OR id % 59 = 0)) FROM tape GROUP BY symbol, date
+ UNION ALL SELECT 'fundingRate/' || symbol || '/' || CAST(date AS VARCHAR), struct_pack(rule := 'missing_column:last_funding_rate', n := 1) FROM (SELECT DISTINCT symbol, date FROM tape) WHERE day(date) % 9 = 0)
+ SELECT file, string_agg(f.rule || '=' || CAST(f.n AS VARCHAR), ', ' ORDER BY f.rule) AS reasons FROM found WHERE f.n > 0 GROUP BY file"""
+
+
+@query(FILES)
+def file_reasons(spark, sf_dir):
+    """Files of five categories, some with bytes or columns that are not as they should be: every broken rule of each."""
+    t = ad.tape(spark, sf_dir)
+    file = lambda kind, symbol="symbol": F.concat_ws("/", F.lit(kind), symbol, F.col("date").cast("string"))
+    files = t.select("symbol", "date").distinct()
+    day = F.dayofmonth("date")
+    w = Window.partitionBy("symbol", "date").orderBy("row_idx")
+    qa = quality.candle_qa(ad.candles(spark, sf_dir, hourly(spark, sf_dir)), interval_ms=3_600_000).withColumn("file", F.concat(F.lit("klines/"), "file"))
+    checked = files.select(file("trades").alias("name"), file("trades").alias("path"), (day % 7 != 0).alias("ok"))
+    faulty = ad.tape(spark, sf_dir, faults=True).withColumns({"row_idx": F.row_number().over(w) - 1, "file": file("trades")})
+    metrics = _metrics(spark, sf_dir).withColumn("file", F.concat_ws("/", F.lit("metrics"), "asked", F.substring("create_time", 1, 10)))
+    header = F.when(day % 9 == 0, F.array(F.lit("calc_time"), F.lit("funding_interval_hours"))).otherwise(F.array(*map(F.lit, quality.REQUIRED["fundingRate"])))
+    found = quality.file_reasons(
+        quality.candle_findings(qa),
+        quality.checksum_findings(checked),
+        quality.schema_findings(files.select(file("fundingRate").alias("file"), F.lit("fundingRate").alias("category"), header.alias("columns"))),
+        quality.row_findings(faulty, "trades"),
+        quality.row_findings(metrics, "metrics", expected_symbol=F.col("asked")),
+        quality.row_findings(_depth(spark, sf_dir).withColumn("file", file("bookDepth")), "bookDepth"),
+    )
+    return found.select("file", quality.reason_text(F.col("broken")).alias("reasons"))
+
+
+@query(FAULTS + """, r AS (SELECT symbol, count(*) AS expected_files, count(*) FILTER (WHERE (day(date) + length(symbol)) % 4 <> 0) AS verified_files FROM (SELECT DISTINCT symbol, date FROM tape) GROUP BY 1)
+ SELECT symbol, 'trades' AS category, expected_files, verified_files, CAST(sum("rows") AS BIGINT) AS observed_rows, count(*) AS fully_audited_files FROM audit JOIN r USING (symbol) GROUP BY symbol, expected_files, verified_files""")
+def trade_coverage(spark, sf_dir):
+    """Coverage of trades from their audits."""
+    m = manifest(spark, sf_dir)
+    return coverage.trade_summary(m, m, trades.audit(ad.tape(spark, sf_dir, faults=True)))

@@ -29,6 +29,10 @@ def best(levels: DataFrame) -> DataFrame:
 
 
 def report(replayed: DataFrame) -> DataFrame:
-    """Events, applied events, sessions and gaps of each symbol from the rows of a replay."""
-    g = replayed.groupBy("symbol").agg(F.count("*").alias("events"), F.count_if(F.col("outcome") == "applied").alias("synchronized_events"), F.count_distinct("session").alias("sessions"), F.count_if(F.col("outcome") == "gap").alias("gaps"))
-    return g.withColumn("status", F.when(F.col("synchronized_events") > 0, "captured").otherwise("failed"))
+    """Updates, applied updates, sessions, gaps and status of each symbol from the rows of a replay; a snapshot is no update.
+
+    A session that failed (too many updates before its snapshot) blocks its symbol's capture.
+    """
+    n = lambda outcome: F.count_if(F.col("outcome") == outcome)
+    g = replayed.groupBy("symbol").agg(F.count_if(F.col("outcome") != "snapshot").alias("events"), n("applied").alias("synchronized_events"), F.count_distinct("session").alias("sessions"), n("gap").alias("gaps"), n("failed").alias("_failed"))
+    return g.withColumn("status", F.when(F.col("_failed") > 0, "blocked_or_failed").when(F.col("synchronized_events") > 0, "captured").otherwise("no_synchronized_data")).drop("_failed")

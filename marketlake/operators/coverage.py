@@ -55,6 +55,14 @@ def summary(requested: DataFrame, records: DataFrame, counts: DataFrame) -> Data
     return df.withColumn("missing_rows", F.col("expected_rows") - F.col("observed_rows")).withColumn("coverage_fraction", F.round(F.try_divide("observed_rows", "expected_rows"), 6))
 
 
+def trade_summary(requested: DataFrame, records: DataFrame, audits: DataFrame) -> DataFrame:
+    """A row for each symbol that is asked for: expected and verified files, rows summed from the audits, and files audited in full."""
+    want = requested.groupBy("symbol").agg(F.count("*").alias("expected_files"))
+    have = records.where("status = 'verified'").groupBy("symbol").agg(F.count("*").alias("verified_files"))
+    seen = audits.groupBy("symbol").agg(F.sum("rows").alias("observed_rows"), F.count_if(F.col("status") == "audited_all_rows").alias("fully_audited_files"))
+    return want.join(have, "symbol", "left").join(seen, "symbol", "left").fillna(0).withColumn("category", F.lit("trades"))
+
+
 def grid_diff(events: DataFrame, expected: DataFrame, time: str = "event_time") -> tuple[DataFrame, DataFrame]:
     """Times that are missing, and times off the grid, each once."""
     a, b = expected.select("symbol", time), events.select("symbol", time)

@@ -90,11 +90,91 @@ def funding_qa(df: DataFrame, start_ms: int, end_ms: int, time: str = "funding_t
 
 
 def quarantine(rows: DataFrame, qa: DataFrame, by: str = "file") -> DataFrame:
-    """Rows of files without any finding."""
-    return rows.join(reasons(qa, by).select(by), by, "left_anti")
+    """Rows of files without any finding; `qa` are the rows of candle_qa, or those of file_reasons."""
+    bad = qa.select(F.col("file").alias(by)) if "broken" in qa.columns else reasons(qa, by).select(by)
+    return rows.join(bad, by, "left_anti")
 
 
 def reasons(qa: DataFrame, by: str = "file") -> DataFrame:
     """file, reason: the files that are set aside whole, and for what."""
     found = [F.when(F.col(c) > 0, F.concat(F.lit(f"{c}="), F.col(c))) for c in ("invalid_rows", "duplicate_times")] + [F.when(F.col("out_of_order"), "out_of_order")]
     return qa.select(by, F.concat_ws(", ", *found).alias("reason")).where("reason <> ''")
+
+
+#: The columns that a category's files must have.
+REQUIRED = {
+    "trades": ("id", "price", "qty", "quote_qty", "time", "is_buyer_maker"),
+    "metrics": ("create_time", "symbol", "sum_open_interest", "sum_open_interest_value"),
+    "bookDepth": ("timestamp", "percentage", "depth", "notional"),
+    "fundingRate": ("calc_time", "funding_interval_hours", "last_funding_rate"),
+}
+
+
+def _findings(rows: DataFrame, counts: dict[str, Column], by: str) -> DataFrame:
+    """file, broken: for each file the rules that it breaks and how often; one aggregation without a shuffle of rows."""
+    names = list(counts)
+    g = rows.groupBy(by).agg(*(counts[n].alias(f"_{i}") for i, n in enumerate(names)))
+    made = F.map_from_entries(F.filter(F.array(*(F.struct(F.lit(n).alias("key"), F.col(f"_{i}").cast("long").alias("value")) for i, n in enumerate(names))), lambda e: e["value"] > 0))
+    return g.select(F.col(by).alias("file"), made.alias("broken"))
+
+
+def row_findings(rows: DataFrame, category: str, expected_symbol: Column | None = None, first: int = 1000, by: str = "file") -> DataFrame:
+    """What the rows of a category's files break. Trades: their first rows (by row_idx), as a pre-check; others: all rows."""
+    n = F.count_if
+    if category == "metrics":
+        counts = {
+            "other_symbol": n(~F.coalesce(F.col("symbol") == expected_symbol, F.lit(False))),
+            "negative_open_interest": n(_no(F.col("sum_open_interest") < 0)),
+            "open_interest_not_finite": n(~finite("sum_open_interest") | ~finite("sum_open_interest_value")),
+        }
+    elif category == "bookDepth":
+        counts = {"negative_depth": n(depth_invalid())}
+    elif category == "fundingRate":
+        counts = {"funding_rate_not_finite": n(~finite("last_funding_rate")), "funding_time_missing": n(F.col("calc_time").isNull())}
+    elif category == "trades":
+        rows = rows.where(F.col("row_idx") < first)
+        step = F.col("id") - F.lag("id").over(Window.partitionBy(by).orderBy("row_idx"))
+        rows = rows.withColumn("_step", step)
+        fine = (F.col("price") > 0) & (F.col("qty") > 0) & F.col("time").isNotNull()
+        flag = F.lower(F.col("is_buyer_maker").cast("string")).isin("true", "false")
+        counts = {"invalid_sampled_trade": n(~F.coalesce(fine, F.lit(False))), "invalid_sampled_ids": n(_no(F.col("_step") <= 0)), "invalid_sampled_maker_side": n(~F.coalesce(flag, F.lit(False)))}
+    else:
+        raise ValueError(f"no rules for {category}")
+    return _findings(rows, counts, by)
+
+
+def candle_findings(qa: DataFrame, by: str = "file") -> DataFrame:
+    """The findings of candle_qa; gaps of the grid are none."""
+    entries = [F.struct(F.lit(c).alias("key"), F.col(c).cast("int").cast("long").alias("value")) for c in ("invalid_rows", "duplicate_times", "out_of_order")]
+    return qa.select(F.col(by).alias("file"), F.map_from_entries(F.filter(F.array(*entries), lambda e: e["value"] > 0)).alias("broken"))
+
+
+def schema_findings(headers: DataFrame) -> DataFrame:
+    """From file, category, columns (names of its header): the required columns that are not there."""
+    required = F.create_map(*(x for k, v in REQUIRED.items() for x in (F.lit(k), F.array(*map(F.lit, v)))))
+    missing = F.array_except(F.coalesce(F.try_element_at(required, F.col("category")), F.array().cast("array<string>")), F.col("columns"))
+    return headers.select("file", F.map_from_entries(F.transform(missing, lambda c: F.struct(F.concat(F.lit("missing_column:"), c).alias("key"), F.lit(1).cast("long").alias("value")))).alias("broken"))
+
+
+def checksum_findings(checked: DataFrame, by: str = "name") -> DataFrame:
+    """From the rows of readers.check_inventory: files whose bytes are not those of the manifest, and files that are not there."""
+    rule = F.when(F.col("path").isNull(), "file_missing").otherwise("checksum_changed")
+    return checked.where(~F.col("ok")).select(F.col(by).alias("file"), F.create_map(rule, F.lit(1).cast("long")).alias("broken"))
+
+
+def file_reasons(*findings: DataFrame) -> DataFrame:
+    """file, broken: every file that breaks any rule of any category, with all of its rules and counts as one map.
+
+    Findings have a row a file; a rule found by two of them adds up. Files without any are not there: `quarantine` takes the
+    rest. A stricter reader would stop at a file's first error; here all are told.
+    """
+    df = findings[0]
+    for more in findings[1:]:
+        df = df.unionByName(more)
+    one = df.select("file", F.explode("broken").alias("rule", "n")).groupBy("file", "rule").agg(F.sum("n").alias("n"))
+    return one.groupBy("file").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("rule", "n")))).alias("broken"))  # a file's rules
+
+
+def reason_text(broken: Column) -> Column:
+    """rule=count, ... in the rules' order."""
+    return F.array_join(F.transform(F.array_sort(F.map_entries(broken)), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ", ")

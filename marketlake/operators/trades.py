@@ -72,36 +72,63 @@ def audit(df: DataFrame) -> DataFrame:
     return _results(df.groupBy("symbol", "date").agg(F.count("*").alias("rows"), *(F.sum(F.col(c).cast("long")).alias(n) for n, c in FLAGS.items()), *ends))
 
 
-def audit_partial(df: DataFrame) -> DataFrame:
-    """The same without a shuffle of rows, for input whose partitions hold runs of files in order.
+KEY = ("symbol", "date")
+ENDS = ("first_row", "last_row", "first_id", "last_id", "first_time_ms", "last_time_ms")
+RUN = "symbol string, date date, version long, rows long, " + ", ".join(f"{n} long" for n in FLAGS) + ", " + ", ".join(f"{n} long" for n in ENDS)
+
 
-    A task walks its rows and gives one row for each run of a (symbol, date): counters inside, first and last. The seams
-    between runs of a partition are added from those few rows.
+def runs(df: DataFrame, version: str | None = None) -> DataFrame:
+    """A row for each run of neighbouring rows (row_idx one after another) of a file, with its counters and ends; no shuffle.
+
+    Rows may come in any split and order: what a task does not see beside each other is a run of its own, and `combined` adds
+    the seams. `version` names a number that grows when a file is replaced; without it there is one version.
     """
-    cols = ["symbol", "date", "row_idx", "id", "time", "invalid", "outside", "mismatch"]
+    cols = [*KEY, "row_idx", "id", "time", "invalid", "outside", "mismatch", "version"]
 
     def walk(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g in it:
             if g.empty:
                 continue
-            new = (g["symbol"] != g["symbol"].shift()) | (g["date"] != g["date"].shift()) | (g["row_idx"].diff() < 0)
-            run = new.cumsum()
-            did, dt = g["id"].diff().where(~new), g["time"].diff().where(~new)
-            g = g.assign(id_back=did <= 0, id_jump=did > 1, time_back=dt < 0)
-            a = g.groupby(run.to_numpy(), sort=False)
-            first, last, sums = a.first(), a.last(), a[[*FLAGS.values()]].sum()
-            out = pd.DataFrame({"symbol": first["symbol"], "date": first["date"], "rows": a.size(), **{n: sums[c].astype(np.int64) for n, c in FLAGS.items()}})
-            yield out.assign(first_row=first["row_idx"], first_id=first["id"], last_id=last["id"], first_time_ms=first["time"], last_time_ms=last["time"])
-
-    schema = "symbol string, date date, rows long, " + ", ".join(f"{n} long" for n in FLAGS) + ", first_row long, first_id long, last_id long, first_time_ms long, last_time_ms long"
-    runs = flagged(df).select(*cols).mapInPandas(walk, schema)
-    w = Window.partitionBy("symbol", "date").orderBy("first_row")
+            new = (g["row_idx"].diff() != 1).to_numpy()
+            for c in (*KEY, "version"):
+                new |= (g[c] != g[c].shift()).to_numpy()
+            start = np.flatnonzero(new)
+            end = np.r_[start[1:], len(g)] - 1
+            ids, times = g["id"].astype("Float64").diff().mask(new), g["time"].astype("Float64").diff().mask(new)
+            if g["id"].dtype == np.int64:  # differences of large ids stay exact
+                ids = g["id"].diff().astype("Float64").mask(new)
+            g = g.assign(id_back=(ids <= 0).fillna(False), id_jump=(ids > 1).fillna(False), time_back=(times < 0).fillna(False))
+            first, last = g.iloc[start].reset_index(drop=True), g.iloc[end].reset_index(drop=True)
+            sums = {n: np.add.reduceat(g[c].to_numpy(np.int64), start) for n, c in FLAGS.items()}
+            out = pd.DataFrame({"symbol": first["symbol"], "date": first["date"], "version": first["version"], "rows": end - start + 1, **sums})
+            yield out.assign(first_row=first["row_idx"], last_row=last["row_idx"], first_id=first["id"], last_id=last["id"], first_time_ms=first["time"], last_time_ms=last["time"])
+
+    numbered = flagged(df).withColumn("version", F.col(version).cast("long") if version else F.lit(0).cast("long"))
+    return numbered.select(*cols).mapInPandas(walk, RUN)
+
+
+def combined(found: DataFrame) -> DataFrame:
+    """A row for each partition from the runs of its newest version: counters with the seams between runs, and the ends.
+
+    The same run twice, of a file that was read again, counts once. Runs that overlap otherwise cannot be put in order: such a
+    partition has failed.
+    """
+    newest = found.withColumn("_newest", F.max("version").over(Window.partitionBy(*KEY))).where("version = _newest").drop("_newest")
+    w = Window.partitionBy(*KEY).orderBy("first_row", "last_row")
+    one = newest.withColumn("_again", F.row_number().over(Window.partitionBy(*KEY, "first_row", "last_row").orderBy("rows"))).where("_again = 1").drop("_again")
     step, back = F.col("first_id") - F.lag("last_id").over(w), F.col("first_time_ms") - F.lag("last_time_ms").over(w)
-    runs = runs.withColumns({"s1": _no(step <= 0).cast("long"), "s2": _no(step > 1).cast("long"), "s3": _no(back < 0).cast("long")})
+    over = _no(F.col("first_row") <= F.max("last_row").over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    one = one.withColumns({"s1": _no(step <= 0).cast("long"), "s2": _no(step > 1).cast("long"), "s3": _no(back < 0).cast("long"), "over": over})
     seams = dict(zip(list(FLAGS)[1:4], ("s1", "s2", "s3"), strict=True))
     sums = [F.sum(F.col(n) + F.col(seams[n]) if n in seams else F.col(n)).alias(n) for n in FLAGS]
     ends = [F.min_by("first_id", "first_row").alias("first_id"), F.max_by("last_id", "first_row").alias("last_id"), F.min_by("first_time_ms", "first_row").alias("first_time_ms"), F.max_by("last_time_ms", "first_row").alias("last_time_ms")]
-    return _results(runs.groupBy("symbol", "date").agg(F.sum("rows").alias("rows"), *sums, *ends))
+    out = one.groupBy(*KEY).agg(F.sum("rows").alias("rows"), *sums, *ends, F.max("over").alias("over"))
+    return out.withColumn("status", F.when(F.col("over") | (F.col("rows") <= 0), "failed").otherwise("audited_all_rows")).drop("over")
+
+
+def audit_partial(df: DataFrame) -> DataFrame:
+    """The same as `audit` without a shuffle of rows: tasks sum up their runs, and only those meet."""
+    return combined(runs(df))
 
 
 def precheck(df: DataFrame, n: int = 1000) -> DataFrame:

@@ -2,23 +2,30 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketlake.sources.archive import ArchiveSource, digests
+
 CANDLE = ("open_time", "open", "high", "low", "close", "volume", "close_time", "quote_volume", "count", "taker_buy_volume", "taker_buy_quote_volume", "ignore")
 
 
 def read_archive(spark: SparkSession, path: str, columns: Sequence[str], first: int | None = None) -> DataFrame:
-    """The rows of zipped CSV files; files are read whole by Spark, so any store will do. See parse_archives."""
-    return parse_archives(spark.read.format("binaryFile").load(path).select("path", "content"), columns, first)
+    """The rows of zipped CSV files, each read as a stream by a task of its own; see archive.ArchiveSource."""
+    spark.dataSource.register(ArchiveSource)
+    r = spark.read.format(ArchiveSource.name()).option("columns", ",".join(columns))
+    return (r if first is None else r.option("first", first)).load(path)
 
 
 def parse_archives(files: DataFrame, columns: Sequence[str], first: int | None = None) -> DataFrame:
     """file, row_idx and the columns (text) of archives (path, content) with one CSV in each; `first` rows of each at most.
 
-    A file is one task's work and a batch of rows its memory. A first line whose first cell is not all digits is a header.
+    For files under 2 GB in a store that only Spark reaches: a cell holds a file. A first line whose first cell is not all digits is a header.
     """
 
     def rows(it: Iterator) -> Iterator:
@@ -65,11 +72,16 @@ def read_candles(spark: SparkSession, path: str) -> DataFrame:
 
 
 def file_inventory(spark: SparkSession, path: str) -> DataFrame:
-    return inventory(spark.read.format("binaryFile").load(path).select("path", "content"))
+    """path, bytes, sha256 of the files of a folder, however large: Spark lists them, tasks read them in chunks.
+
+    Files are dealt out one by one, the largest tasks being one file each.
+    """
+    listed = spark.read.format("binaryFile").load(path).select("path")  # no content is read
+    return digests(listed.repartition(max(1, min(listed.count(), 10_000)), "path"))
 
 
 def inventory(files: DataFrame) -> DataFrame:
-    """path, bytes, sha256 of files (path, content)."""
+    """path, bytes, sha256 of small files that are rows already (path, content)."""
     return files.select("path", F.octet_length("content").cast("long").alias("bytes"), F.sha2("content", 256).alias("sha256"))
 
 
@@ -121,8 +133,41 @@ def parse_envelopes(lines: DataFrame) -> DataFrame:
     return lines.select(*(c.alias(n) for n, c in cols.items()))
 
 
+@contextmanager
+def replacing(spark: SparkSession, path: str) -> Iterator[str]:
+    """A new folder beside `path` to write to; it takes the place of `path` once all is written, else it goes and `path` stays.
+
+    Readers see the old table or the new one. The swap is two renames: if the second fails, the first is taken back. On stores
+    whose renames copy (object stores) the swap is not atomic; there a catalog table with versions serves better.
+    """
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    beside = lambda kind: jvm.org.apache.hadoop.fs.Path(at.getParent(), f".{at.getName()}-{kind}-{uuid.uuid4().hex}")
+    staged, old = beside("new"), beside("old")
+
+    def moved(a: object, b: object) -> bool:
+        try:
+            return fs.rename(a, b)
+        except Py4JJavaError:
+            return False
+
+    try:
+        yield staged.toString()
+        there = fs.exists(at)
+        if there and not moved(at, old):
+            raise OSError(f"{path} could not be moved away")
+        if not moved(staged, at):
+            if there:
+                moved(old, at)
+            raise OSError(f"{path} could not be replaced")
+        fs.delete(old, True)
+    finally:
+        fs.delete(staged, True)
+
+
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = (), fmt: str = "parquet", mode: str = "overwrite") -> None:
-    """Replaces the table, or, with partitions, the partitions that the rows touch.
+    """Replaces the table, or, with partitions, the partitions that the rows touch; a write that fails leaves the old ones.
 
     With `sort_by` the files follow one another in that order and are sorted inside: rows are dealt out by ranges, never gathered.
     """
@@ -132,14 +177,19 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), sort
     w = df.write.mode(mode).format(fmt)
     if fmt == "csv":
         w = w.option("header", True).option("compression", "gzip")
-    if partition_by:
-        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
-    w.save(path)
+    if partition_by:  # Spark stages these itself and moves them when all tasks are done
+        w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic").save(path)
+    elif mode == "overwrite":
+        with replacing(df.sparkSession, path) as staged:
+            w.save(staged)
+    else:
+        w.save(path)
 
 
 def write_report(df: DataFrame, path: str, order_by: Sequence[str] = ()) -> None:
-    """A report of few rows (a row a source, partition or symbol) as one JSON file, in order."""
-    (df.orderBy(*order_by) if order_by else df).coalesce(1).write.mode("overwrite").json(path)
+    """A report of few rows (a row a source, partition or symbol) as one JSON file, in order (of all columns by default)."""
+    with replacing(df.sparkSession, path) as staged:
+        df.orderBy(*(order_by or df.columns)).coalesce(1).write.json(staged)
 
 
 def write_manifest(records: DataFrame, path: str) -> None:
