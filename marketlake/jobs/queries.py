@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from marketlake.operators import bars, book, costs, coverage, features, macro, panel, quality, trades
 from marketlake.shipping import ship
 from marketlake.sources import adapters as ad
+from marketlake.sources import layout
 from marketlake.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,6 +119,28 @@ def section_returns(spark, sf_dir):
     return rounded(df.select("symbol", "open_time", "data_valid", "section", "row_in_section", "return_1", "log_return"), "return_1", "log_return")
 
 
+def stored(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
+    """Hourly bars as a table in buckets by symbol and week."""
+    h = hourly(spark, sf_dir).select("symbol", "open_time", *names)
+    return layout.save_bars(h, f"bars_{uuid.uuid4().hex}", "week", 16, shared(spark, "stored"))
+
+
+@query(SEC + " SELECT symbol, open_time, data_valid, section, row_in_section FROM ret")
+def stored_sections(spark, sf_dir):
+    """Sections of stored bars: their rows are not moved."""
+    df = features.whole(features.with_section(stored(spark, sf_dir, "close")))
+    return df.select("symbol", "open_time", "data_valid", "section", "row_in_section")
+
+
+@query(GRID + " SELECT g1.symbol, g1.open_time, g1.close, g1.volume, i.close AS before FROM grid g1 LEFT JOIN grid i ON i.symbol = g1.symbol AND i.open_time = g1.open_time AND hour(i.open_time) % 3 <> 0")
+def stored_attach(spark, sf_dir):
+    """The close of another stored table beside each bar, and a grid over stored bars: both tables are joined where they lie."""
+    t = stored(spark, sf_dir, "close", "volume")
+    other = layout.save_bars(t.drop("part").where(F.hour("open_time") % 3 != 0), f"bars_{uuid.uuid4().hex}", "week", 16, shared(spark, "stored"))
+    grid = bars.to_grid(t, t, ad.START, ad.END, "1 hour")
+    return panel.attach_close(grid, other, "before").select("symbol", "open_time", "close", "volume", "before")
+
+
 @query(SEC + f" SELECT symbol, open_time, {r('true_range')} FROM ret")
 def true_range(spark, sf_dir):
     return rounded(features.whole(features.true_range(sections(spark, sf_dir, "high", "low", "close"))).select("symbol", "open_time", "true_range"), "true_range")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.sources.layout import dealt, part_of
+
 SUMS = ("volume", "quote_volume", "count", "taker_buy_volume", "taker_buy_quote_volume")
 
 
@@ -22,13 +24,18 @@ def assert_unique(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def to_grid(df: DataFrame, symbols: DataFrame, start: str, end: str, step: str = "1 minute", time: str = "open_time") -> DataFrame:
-    """A row for each symbol and step of [start, end); steps without a row have nulls, nothing is filled."""
+    """A row for each symbol and step of [start, end); steps without a row have nulls, nothing is filled.
+
+    Bars that are stored by symbol and part (sources.layout) are not moved: the grid's empty steps are dealt out as they are.
+    """
     # a symbol's days are exploded one by one, so no row holds a long array
     kind = df.schema[time].dataType.simpleString()
     days = symbols.select("symbol").distinct().withColumn("d", F.explode(F.expr(f"sequence(cast('{start}' as {kind}), cast('{end}' as {kind}) - interval {step}, interval 1 day)")))
     last = f"least(d + interval 1 day, cast('{end}' as {kind})) - interval {step}"
     grid = days.select("symbol", F.explode(F.expr(f"sequence(d, {last}, interval {step})")).alias(time))
-    return grid.join(df, ["symbol", time], "left")
+    if "part" not in df.columns:
+        return grid.join(df, ["symbol", time], "left")
+    return dealt(grid.withColumn("part", part_of(df, time)), df).join(df, ["symbol", "part", time], "left")
 
 
 def resample(df: DataFrame, rule: str, n: int, time: str = "open_time") -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from marketlake.functions.ewm import ewm
+from marketlake.sources.layout import dealt
 
 #: Rows before a part that are copied to it: returns over 60 bars look at one bar more.
 LEAD = 60
@@ -33,8 +34,12 @@ def with_section(grid: DataFrame, block: str = "day", rows: int = LEAD) -> DataF
 
     The result is in parts of one `block`: columns part and lead, the latter true for copies of rows before the part. The
     functions below take such rows; `whole` drops the copies in the end. `rows` is the longest look back in bars.
+
+    A column part that the grid has already (see sources.layout) is taken as it is: rows that are stored by symbol and part
+    stay where they are while sections are found; only copies and a row a part move.
     """
-    df = grid.withColumns({"part": F.date_trunc(block, "open_time"), "data_valid": F.col("close").isNotNull()})
+    df = grid.withColumn("data_valid", F.col("close").isNotNull())
+    df = df if "part" in grid.columns else df.withColumn("part", F.date_trunc(block, "open_time"))
     df = df.withColumn("section", F.count_if(~F.col("data_valid")).over(_so_far("symbol", "part")))
     df = df.withColumns({"row_in_section": F.count("close").over(_so_far("symbol", "part", "section")), "_row": F.row_number().over(_run())})
     # the last row is taken with all its columns, so that this side and the join below read one exchange
@@ -49,6 +54,11 @@ def with_section(grid: DataFrame, block: str = "day", rows: int = LEAD) -> DataF
     n = F.col("row_in_section") + F.when(F.col("section") == 0, F.col("_bars")).otherwise(0)
     df = df.withColumn("row_in_section", F.when(F.col("data_valid"), n)).withColumn("section", F.col("section") + F.col("_gaps"))
     later = F.filter("_next", lambda x: x["first"] - F.col("_first") - F.col("_row") < rows)
+    if "part" in grid.columns:
+        names = [*grid.columns, "data_valid", "section", "row_in_section"]
+        copies = df.where(F.size(later) > 0).select(*(c for c in names if c != "part"), F.explode(F.transform(later, lambda x: x["part"])).alias("part"))
+        copies = dealt(copies.select(*names, F.lit(True).alias("lead")), grid)
+        return df.select(*names, F.lit(False).alias("lead")).unionByName(copies)
     df = df.withColumn("_at", F.explode(F.concat(F.array("part"), F.transform(later, lambda x: x["part"]))))
     return df.withColumn("lead", F.col("_at") != F.col("part")).withColumn("part", F.col("_at")).drop("_gaps", "_bars", "_first", "_next", "_row", "_at")
 

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 
 def attach_close(frame: DataFrame, aux: DataFrame, name: str) -> DataFrame:
-    """Adds the close of another price of the same symbol and minute."""
-    return frame.join(aux.select("symbol", "open_time", F.col("close").alias(name)), ["symbol", "open_time"], "left")
+    """Adds the close of another price of the same symbol and minute. Tables stored by symbol and part are joined where they lie."""
+    keys = ["symbol", *(["part"] if "part" in frame.columns and "part" in aux.columns else []), "open_time"]
+    return frame.join(aux.select(*keys, F.col("close").alias(name)), keys, "left")
 
 
 def attach_exact(frame: DataFrame, events: DataFrame, value: str, name: str, time: str = "event_time_utc") -> DataFrame:

@@ -9,8 +9,8 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from marketlake.operators import coverage, costs, macro, quality
-from marketlake.sources import archive, readers
+from marketlake.operators import bars, costs, coverage, features, macro, panel, quality
+from marketlake.sources import archive, layout, readers
 
 
 def test_archive_source(spark, tmp_path):
@@ -159,3 +159,51 @@ def test_trade_coverage(spark):
     audits = spark.createDataFrame([("A", 10, "audited_all_rows"), ("A", 0, "failed")], "symbol string, rows long, status string")
     got = {r.symbol: (r.expected_files, r.verified_files, r.observed_rows, r.fully_audited_files) for r in coverage.trade_summary(want, want.withColumn("status", F.lit("verified")), audits).collect()}
     assert got == {"A": (2, 2, 10, 1), "B": (1, 1, 0, 0)}
+
+
+def moved(df):
+    """Rows that each exchange of the executed plan moved."""
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    stack, found = [plan], []
+    while stack:
+        node = stack.pop()
+        for name in ("finalPhysicalPlan", "plan"):
+            if node.getClass().getSimpleName() in ("AdaptiveSparkPlanExec", "ShuffleQueryStageExec", "BroadcastQueryStageExec") and hasattr(node, name):
+                try:
+                    stack.append(getattr(node, name)())
+                except Exception:  # noqa: BLE001, S110  (not of this class)
+                    pass
+        if node.getClass().getSimpleName() == "ShuffleExchangeExec":
+            found.append(node.metrics().apply("shuffleRecordsWritten").value())
+        kids = node.children()
+        stack.extend(kids.apply(i) for i in range(kids.size()))
+    return found
+
+
+@pytest.fixture
+def minutes(spark):
+    days = [(s, dt.datetime(2024, 1, 1 + d, h, m), None if (d * 7 + h + m) % 50 == 0 else float(h + m)) for s in "ABC" for d in range(6) for h in range(24) for m in range(0, 60, 5)]
+    return spark.createDataFrame(days, "symbol string, open_time timestamp_ntz, close double")
+
+
+def test_stored_bars_stay_where_they_lie(spark, minutes, tmp_path):
+    n = minutes.count()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        t = layout.save_bars(minutes, "bars_t", "day", 4, str(tmp_path / "t"))
+        u = layout.save_bars(minutes.where("minute(open_time) % 10 = 0"), "bars_u", "day", 4, str(tmp_path / "u"))
+        sections = features.with_section(t, rows=3)
+        rows = moved(sections)
+        assert rows and max(rows) < n / 20  # a row a part, and copies
+        assert moved(panel.attach_close(t, u, "other")) == []
+        assert max(moved(features.with_section(minutes, "day", rows=3))) >= n  # rows that are not stored are dealt out
+        own = lambda df: sorted(map(tuple, df.select("symbol", "part", "open_time", "close", "section", "row_in_section", "lead").collect()), key=repr)
+        assert own(sections) == own(features.with_section(minutes, "day", rows=3))
+        grid = bars.to_grid(t.where("close is not null"), t, "2024-01-01 00:00:00", "2024-01-07 00:00:00", "5 minutes")
+        assert sorted(map(tuple, grid.select("symbol", "open_time", "close").collect()), key=repr) == sorted(map(tuple, minutes.collect()), key=repr)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE IF EXISTS bars_t")
+        spark.sql("DROP TABLE IF EXISTS bars_u")
