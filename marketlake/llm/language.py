@@ -28,6 +28,8 @@ ORDERS = (1, 2, 3, 4)
 UNKNOWN = "und"
 #: Longer texts are landmarks only where a language has no others; they are learnt from and scored like all.
 LONGEST = 100_000
+#: n-grams of a text whose landmark bits are unpacked at a time.
+CHUNK = 255 * 128
 
 
 def presence(text: str) -> np.ndarray:
@@ -64,14 +66,29 @@ class Landmarks:
 
     def kernel(self, ids: np.ndarray) -> np.ndarray:
         """The kernel of a text, given by the ids of its n-grams, with each landmark."""
-        common = np.zeros(len(self.sizes), np.int64)
-        if not len(self.ids) or not len(ids):
-            return common.astype(np.float64)
-        at = np.minimum(np.searchsorted(self.ids, ids), len(self.ids) - 1)
-        at = at[self.ids[at] == ids]
-        for i in range(0, len(at), 255):  # as many as a byte can count
-            common += np.unpackbits(self.bits[at[i : i + 255]], axis=1, count=len(common)).sum(axis=0, dtype=np.uint8)
-        return common / np.sqrt(len(ids) * self.sizes)
+        return self.kernels([ids])[0]
+
+    def kernels(self, sets: list[np.ndarray]) -> np.ndarray:
+        """The kernel of each of some texts, given by the ids of their n-grams, with each landmark: a row a text.
+
+        The sets are looked up as one array. A product of landmark bits is a gather of bytes: rows of bits are added up in
+        blocks of 255, as many as a byte can count, and CHUNK rows at a time, whatever the texts' lengths.
+        """
+        common = np.zeros((len(sets), len(self.sizes)), np.int64)
+        sizes = np.array([len(x) for x in sets])
+        if len(self.ids) and sizes.sum():
+            ids = np.concatenate(sets)
+            at = np.minimum(np.searchsorted(self.ids, ids), len(self.ids) - 1)
+            known = self.ids[at] == ids
+            ends = np.r_[0, np.cumsum(known)][np.cumsum(sizes)]
+            at = at[known]
+            for i, (x, y) in enumerate(zip(np.r_[0, ends[:-1]], ends, strict=True)):
+                for j in range(x, y, CHUNK):
+                    rows = self.bits[at[j : min(j + CHUNK, y)]]
+                    whole = len(rows) // 255 * 255
+                    count = np.unpackbits(rows[:whole], axis=1, count=len(self.sizes)).reshape(-1, 255, len(self.sizes)).sum(axis=1, dtype=np.uint8)
+                    common[i] += count.sum(axis=0, dtype=np.int64) + np.unpackbits(rows[whole:], axis=1, count=len(self.sizes)).sum(axis=0, dtype=np.int64)
+        return common / np.sqrt(np.maximum(sizes, 1)[:, None] * self.sizes)
 
 
 class Model:
@@ -83,12 +100,14 @@ class Model:
         names, sure = [UNKNOWN] * len(texts), np.zeros(len(texts))
         if not self.langs:
             return names, sure
-        for i, t in enumerate(texts):
-            if has_letter(t):
-                score = self.marks.kernel(presence(t)) @ self.weights
-                p = np.exp(4 * (score - score.max()))
-                k = int(score.argmax())
-                names[i], sure[i] = self.langs[k], float(p[k] / p.sum())
+        told = [i for i, t in enumerate(texts) if has_letter(t)]
+        if told:
+            score = self.marks.kernels([presence(texts[i]) for i in told]) @ self.weights  # texts by landmarks, landmarks by languages
+            p = np.exp(4 * (score - score.max(axis=1, keepdims=True)))
+            best = score.argmax(axis=1)
+            sure[told] = p[np.arange(len(told)), best] / p.sum(axis=1)
+            for i, k in zip(told, best, strict=True):
+                names[i] = self.langs[k]
         return names, sure
 
 
@@ -129,7 +148,7 @@ def fit(docs: DataFrame, learn: Column, per_lang: int = 500, max_langs: int = 20
     first = picked.orderBy("rank", "lang").limit(n_landmarks).mapInArrow(sets, "rank int, lang string, grams binary").toPandas().sort_values(["rank", "lang"])
     grams = [np.frombuffer(x, np.uint64) for x in first["grams"]]
     marks = Landmarks(grams)
-    inner = np.array([marks.kernel(x) for x in grams])
+    inner = marks.kernels(grams)
     shared = docs.sparkSession.sparkContext.broadcast(marks)
     weight = {lang: n / (len(names) * size) for lang, size in sizes.items()}
     width = len(grams)
@@ -139,7 +158,7 @@ def fit(docs: DataFrame, learn: Column, per_lang: int = 500, max_langs: int = 20
         gram, of = np.zeros((width, width)), np.zeros((len(names), width))
         for b in text_slices(batches, "text"):
             langs = b.column("lang").to_pylist()
-            k = np.array([shared.value.kernel(presence(t)) for t in b.column("text").to_pylist()])
+            k = shared.value.kernels([presence(t) for t in b.column("text").to_pylist()])
             scale = np.array([weight[x] for x in langs])[:, None]
             gram += k.T @ (scale * k)
             np.add.at(of, [names.index(x) for x in langs], scale * k)

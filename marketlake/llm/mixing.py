@@ -116,9 +116,12 @@ def report(docs: DataFrame) -> DataFrame:
 def mixed(docs: DataFrame) -> DataFrame:
     """The mix itself: every row as often as it is taken, in training order, with the columns as they are.
 
-    Rows of one id and text share a plan row; ids and texts are matched by value, nulls included.
+    Rows are matched to the plan by id, text and source, nulls included. Of rows equal in all three as many are taken as the
+    plan takes, each as often as one of the plan's rows.
     """
-    p = plan(docs, split=False).where("times > 0").groupBy("order").agg(F.max("positions").alias("positions"))
-    packed = docs.select(F.struct("*").alias("row"), F.xxhash64("doc_id", "text").alias("key"))
-    df = packed.join(p, F.col("key") == F.col("order")).withColumn("at", F.explode("positions"))
+    nth = lambda order: F.row_number().over(Window.partitionBy("k").orderBy(order))  # noqa: E731  (one row but for repeated ones)
+    p = plan(docs, split=False).select(F.xxhash64("order", "source").alias("k"), "positions", "times")
+    p = p.withColumn("nth", nth(F.desc("times"))).where("times > 0").drop("times")
+    packed = docs.select(F.struct("*").alias("row"), F.xxhash64("doc_id", "text").alias("key")).withColumn("k", F.xxhash64("key", "row.source"))
+    df = packed.withColumn("nth", nth("key")).join(p, ["k", "nth"]).withColumn("at", F.explode("positions"))
     return df.orderBy("at", "key").select("row.*")

@@ -43,11 +43,12 @@ _SIGN = r"(?::=|=>|[:=]{1,2})"
 _NAME = rf"(?i)(?:{NAMES})[\"'\])]*"
 _FOLLOWS = rf"^{_SIGN}?[\"']?([^\"',;]{{6,}})"
 _SPACED = rf"{_NAME}(?:\s+{_SIGN}|{_SIGN}[\"']?\s)"
-#: A private key: its block, or what is left of one that is cut off.
+#: The markers of a private key's block, and what lines of one that is cut off are made of.
 _OF_KEY = r"(?:[A-Z0-9]+ ){0,3}PRIVATE KEY(?: BLOCK)?-----"
-_PEM = rf"-----BEGIN {_OF_KEY}(?:[^-]*+(?:-(?!----)[^-]*+){{0,200}}+-----END {_OF_KEY}|(?:(?:\s|\\[nr])+[A-Za-z0-9+/=]{{16,}}){{1,400}})"
+_BEGIN = rf"-----BEGIN {_OF_KEY}"
+_LINES = r"^[A-Za-z0-9+/=\s\\]*+"
 #: What a text must hold for any of its words to be a candidate.
-_ANY = rf"{_KEY}|-----BEGIN {_OF_KEY}|{_NAME}\s*{_SIGN}"
+_ANY = rf"{_KEY}|{_BEGIN}|{_NAME}\s*{_SIGN}"
 # What stands in the place of a secret.
 PLAIN = rf"(?i)^(?:none|null|nil|true|false|undefined|string|integer|boolean|bytes|required|optional|missing|invalid|expired|disabled|enabled|unknown|hidden|redacted|example|(?:your|my|the|some)[_\-].*|x+|(?:{NAMES})s?|[a-z]+://[^@]*|[a-z_]+(?:\.[a-z_]+)+)$|[(){{}}\[\]<>$%]"
 #: Transitions between classes of characters, as shares of the length.
@@ -55,6 +56,18 @@ CLASSES = {"lower": "a-z", "upper": "A-Z", "digit": "0-9"}
 FEATURES = ["length", "coverage", "path_depth", "path_test", "told", "stand_in", "bare_word", "named_inside", "named_before", "assigned", "quoted", "word_before", "word_after", *(f"share_{c}" for c in CLASSES), *(f"{a}_{b}" for a in CLASSES for b in CLASSES)]
 
 
+def _block(part: Column) -> Column:
+    """The private key that a text begins with, of any length: up to its end marker, or all lines of 16 characters or more that follow; empty if there is none."""
+    closed = F.regexp_extract(part, rf"(?s)^{_BEGIN}.*?-----END {_OF_KEY}", 0)
+    head = F.regexp_extract(part, f"^{_BEGIN}", 0)
+    rest = F.substring(part, F.length(head) + 1, F.length(part))
+    # line ends may be written out; in their place come spaces, so that places stay the same
+    lines = F.regexp_replace(F.regexp_extract(rest, _LINES, 0), r"\\[nr]", "  ")
+    whole = F.regexp_replace(lines, r"(?s)\s++(?![A-Za-z0-9+/=]{16}).*$", "")
+    cut = F.when(whole.rlike(r"^\s"), F.concat(head, F.substring(rest, F.lit(1), F.length(whole)))).otherwise("")
+    return F.when(F.length(head) == 0, "").when(F.length(closed) > 0, closed).otherwise(cut)
+
+
 def candidates(docs: DataFrame, path: str | None = "source", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row for each candidate: doc_id, doc_key (a hash of the text), word (its place), number (inside the word), value, before, after, inside, path.
 
@@ -62,14 +75,15 @@ def candidates(docs: DataFrame, path: str | None = "source", id_col: str = "doc_
     word may hold several candidates, and repeated rows give theirs again. Other columns are not read.
     """
     text = F.col(text_col)
-    pems = F.when(text.contains("-----BEGIN "), F.regexp_extract_all(text, F.lit(_PEM), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
     def of(docs: DataFrame) -> DataFrame:
         rows = docs.select(
             F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("doc_key"), (F.col(path) if path else F.lit(None)).cast("string").alias("path"), F.split(text, _SPLIT).alias("w"),
-            text.rlike(_SPACED).alias("spaced"), pems.alias("pems"), F.when(F.size(pems) > 0, F.split(text, _PEM)).alias("pieces"),
+            text.rlike(_SPACED).alias("spaced"), F.when(text.contains("-----BEGIN "), F.split(text, f"(?={_BEGIN})")).otherwise(F.array().cast("array<string>")).alias("pieces"),
         )
-        return rows.withColumn("within", F.flatten(F.transform("pems", lambda b: F.split(b, _SPLIT))))
+        found = F.transform("pieces", lambda p, i: F.struct(_block(p).alias("value"), i.alias("at")))
+        rows = rows.withColumn("pems", F.filter(found, lambda b: F.length(b["value"]) > 0))
+        return rows.withColumn("within", F.flatten(F.transform("pems", lambda b: F.split(b["value"], _SPLIT))))
 
     rows = of(docs.where(text.rlike(_ANY)))
 
@@ -93,8 +107,9 @@ def candidates(docs: DataFrame, path: str | None = "source", id_col: str = "doc_
     found = found.select("doc_id", "doc_key", "path", F.col("p.i").cast("int").alias("word"), F.col("p.x").alias("inside"), F.col("p.before").alias("before"), F.col("p.after").alias("after"), F.posexplode(values).alias("number", "value"))
     found = found.where((F.length("value") >= 6) & ~F.col("value").startswith("-----BEGIN"))
     # a private key is one value, at the place of its first word
-    blocks = of(docs.where(text.contains("-----BEGIN "))).where(F.size("pems") > 0).select("*", F.posexplode("pems").alias("number", "value"))
-    ahead = F.array_join(F.transform(F.sequence(F.lit(0), F.col("number")), lambda j: F.concat(F.get("pieces", j), F.when(j < F.col("number"), F.get("pems", j)).otherwise(""))), "")
+    blocks = of(docs.where(text.contains("-----BEGIN "))).where(F.size("pems") > 0).select("*", F.posexplode("pems").alias("number", "b"))
+    ahead = F.array_join(F.slice("pieces", F.lit(1), F.col("b.at")), "")
+    blocks = blocks.withColumn("value", F.col("b.value"))
     blocks = blocks.withColumn("word", F.size(F.split(ahead, _SPLIT)) - 1)
     before = F.array(*(F.get("w", F.col("word") - k) for k in (3, 2, 1)))
     after = F.get("w", F.col("word") + F.size(F.split("value", _SPLIT)))
