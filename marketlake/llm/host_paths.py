@@ -1,9 +1,11 @@
 """Main text of web pages by consensus: each page scores its containers, hosts vote on their paths, pages follow the vote.
 
 A path is the chain of tags from the body down, each with its first class or id, digits generalised. In the first pass a
-page votes for the deepest container outside of which nothing is left but junk and lists of links. Votes add up for each
-host and path in Spark; a host keeps its leading paths. In the second pass a page's text comes from all containers on the
-leading path that suits it best, or, where the page has none of them, from its own best container.
+page votes for the deepest container outside of which nothing is left but junk and lists of links, and names what lies side by
+side in it. Votes add up for each host and path in Spark; a host keeps its leading paths, and the parts that several of its pages
+have beside others. In the second pass a page's text comes from all containers on the leading path that suits it best; readable
+parts outside of these are left out if the host's other pages have them too, and kept if only this page has them. Where the page
+has none of the leading paths, its text comes from its own best container.
 
 Work on a page is linear in its size, however deep its elements nest and whatever is left unclosed.
 """
@@ -29,6 +31,10 @@ LONGEST = 400
 LARGE_HOSTS = 20_000
 #: Paths that a host keeps, and the least share of its votes for one.
 LEADERS, LEAST_VOTES = 5, 0.02
+#: Pages of a host that must have a part beside others for it to be known, and the parts that a host keeps, the most frequent.
+KNOWN, BESIDE = 2, 20
+#: Characters of a list's items on average, from which on a list of links is no menu.
+LONG_ITEM = 40
 
 # Elements by their role in a page.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -326,7 +332,7 @@ class Page:
         gone = set()
         for items in lists.values():
             size = sum(len(self.blocks[k][1]) for k in items)
-            if sum(len(self.blocks[k][1]) * self.blocks[k][2] for k in items) > 0.7 * size:
+            if size < LONG_ITEM * len(items) and sum(len(self.blocks[k][1]) * self.blocks[k][2] for k in items) > 0.7 * size:
                 gone.update(items)
         return [k for k in out if k not in gone]
 
@@ -349,7 +355,8 @@ class Page:
         node = 0
         while not self._is(node, "article"):
             called = [n for n in below[node] if self._is(n, "article", "main")]
-            if len(called) == 1 and total[called[0]] >= MOST * total[0]:
+            # what a main holds beside its article belongs to it
+            if len(called) == 1 and total[called[0]] >= (total[node] if self._is(node, "main") else MOST * total[0]):
                 node = called[0]
                 continue
             whole = [n for n in below[node] if self._holds(n) and total[n] >= total[node]]
@@ -365,8 +372,12 @@ class Page:
         return self.label[n].split(".")[0] in tags
 
 
-def vote(source: str | None) -> tuple[str, float] | None:
-    """The path that a page votes for, with the share of its readable text as weight."""
+def mark(path: str) -> int:
+    return xxhash.xxh3_64_intdigest(path) - (1 << 63)
+
+
+def ballot(source: str | None) -> tuple[str, float, list[int]] | None:
+    """The path that a page votes for, with the share of its readable text as weight, and marks of the parts side by side in it."""
     if not source:
         return None
     page = Page(source)
@@ -374,11 +385,20 @@ def vote(source: str | None) -> tuple[str, float] | None:
     if not total[0]:
         return None
     node = page.best(total)
-    return page.path[node], total[node] / total[0]
+    parts = {mark(page.path[n]) for n in range(1, len(total)) if page.parent[n] == node and total[n] > 0}
+    return page.path[node], total[node] / total[0], sorted(parts) if len(parts) > 1 else []
+
+
+def vote(source: str | None) -> tuple[str, float] | None:
+    found = ballot(source)
+    return found and found[:2]
 
 
-def extract(source: str | None, leaders: list[str], votes: list[float]) -> str:
-    """Text of a page by the paths that its host voted for, best first."""
+def extract(source: str | None, leaders: list[str], votes: list[float], beside: list[int] | None = None) -> str:
+    """Text of a page by the paths that its host voted for, best first.
+
+    beside: marks of parts that several pages of the host have beside others. Without it all parts outside of the path count as such.
+    """
     if not source:
         return ""
     page = Page(source)
@@ -402,6 +422,16 @@ def extract(source: str | None, leaders: list[str], votes: list[float]) -> str:
         inside = [n == own for n in range(len(page.path))]
     for n in range(1, len(inside)):
         inside[n] = inside[n] or inside[page.parent[n]]
+    if ranked and beside is not None:
+        known = set(beside)
+        out = [False] * len(inside)
+        holds = [False] * len(inside)  # containers above what is chosen are no parts beside it
+        for n in range(len(inside) - 1, 0, -1):
+            if inside[n] or holds[n]:
+                holds[page.parent[n]] = True
+        for n in range(1, len(inside)):
+            out[n] = not inside[n] and not holds[n] and (out[page.parent[n]] or mark(page.path[n]) in known)
+        inside = [not o for o in out]
     taken = [k for k in blocks if inside[page.blocks[k][0]]]
     # the title may stand right before the container
     if taken and (place := blocks.index(taken[0])) and page.blocks[blocks[place - 1]][3] == "h1":
@@ -415,25 +445,30 @@ def host_of(url: str | None) -> str:
 
 
 def leading_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """host, paths, votes, all: the leading paths of each host, best first, with their shares of the host's votes, and these."""
+    """host, paths, votes, all, beside: a host's leading paths, best first, with their shares of its votes, and these; marks of its parts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_slices(batches, "html"):
-            hosts, paths, weights = [], [], []
+            hosts, paths, weights, marks = [], [], [], []
             for u, h in zip(b.column("url").to_pylist(), b.column("html").to_pylist(), strict=True):
-                if v := vote(h):
-                    hosts.append(host_of(u))
-                    paths.append(v[0])
-                    weights.append(v[1])
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(weights, pa.float64())], ["host", "path", "weight"])
-
-    votes = pages.select(pages[url_col].alias("url"), pages[html_col].alias("html")).mapInArrow(run, "host string, path string, weight double")
-    sums = votes.groupBy("host", "path").agg(F.sum(F.round(F.col("weight") * 1000).cast("long")).alias("votes"))
-    first = sums.withColumn("place", F.row_number().over(Window.partitionBy("host").orderBy(F.desc("votes"), "path"))).where(F.col("place") <= LEADERS)
-    all_ = sums.groupBy("host").agg(F.sum("votes").alias("all"))
+                if v := ballot(h):
+                    n = len(v[2])
+                    hosts += [host_of(u)] * (1 + n)
+                    paths += [v[0], *[None] * n]
+                    weights += [v[1], *[0.0] * n]
+                    marks += [None, *v[2]]
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(weights, pa.float64()), pa.array(marks, pa.int64())], ["host", "path", "weight", "mark"])
+
+    votes = pages.select(pages[url_col].alias("url"), pages[html_col].alias("html")).mapInArrow(run, "host string, path string, weight double, mark long")
+    sums = written(votes.groupBy("host", "path", "mark").agg(F.sum(F.round(F.col("weight") * 1000).cast("long")).alias("votes"), F.count("*").alias("pages")), "votes")
+    by = sums.where("mark is null").select("host", "path", "votes")
+    first = by.withColumn("place", F.row_number().over(Window.partitionBy("host").orderBy(F.desc("votes"), "path"))).where(F.col("place") <= LEADERS)
+    all_ = by.groupBy("host").agg(F.sum("votes").alias("all"))
     kept = first.join(all_, "host").where(F.col("votes") >= LEAST_VOTES * F.col("all"))
     lists = kept.groupBy("host").agg(F.first("all").alias("all"), F.sort_array(F.collect_list(F.struct("place", "path", (F.col("votes") / F.col("all")).alias("share")))).alias("l"))  # LEADERS rows at most
-    return lists.select("host", F.col("l.path").alias("paths"), F.col("l.share").alias("votes"), "all")
+    parts = sums.where(F.col("mark").isNotNull() & (F.col("pages") >= KNOWN)).withColumn("place", F.row_number().over(Window.partitionBy("host").orderBy(F.desc("pages"), "mark")))
+    parts = parts.where(F.col("place") <= BESIDE).groupBy("host").agg(F.sort_array(F.collect_list("mark")).alias("beside"))  # BESIDE rows at most
+    return lists.join(parts, "host", "left").select("host", F.col("l.path").alias("paths"), F.col("l.share").alias("votes"), "all", F.coalesce("beside", F.array().cast("array<long>")).alias("beside"))
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -451,12 +486,12 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     rows = rows.withColumn("host", host)
     at_large = rows.join(F.broadcast(large), "host")
     others = rows.join(F.broadcast(large.select("host")), "host", "left_anti").join(small, "host", "left")
-    joined = at_large.unionByName(others).select("page_id", "url", "html", "paths", "votes")
+    joined = at_large.unionByName(others).select("page_id", "url", "html", "paths", "votes", "beside")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_slices(batches, "html"):
-            cols = [b.column(c).to_pylist() for c in ("html", "paths", "votes")]
-            texts = [extract(h, p or [], v or []) for h, p, v in zip(*cols, strict=True)]
+            cols = [b.column(c).to_pylist() for c in ("html", "paths", "votes", "beside")]
+            texts = [extract(h, p or [], v or [], o or []) for h, p, v, o in zip(*cols, strict=True)]
             yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     kind = rows.schema["page_id"].dataType.simpleString()
