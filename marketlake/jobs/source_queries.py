@@ -96,12 +96,16 @@ def _id_files(spark, sf_dir, path, some=None):
 @query(TAPE + """, f AS (SELECT symbol || '-' || CAST(date AS VARCHAR) AS name, day(date) AS d, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS content FROM tape GROUP BY symbol, date)
  SELECT name, d % 7 <> 0 AND d % 11 <> 0 AS ok, CASE WHEN d % 11 <> 0 THEN sha256(content) END AS sha256 FROM f""")
 def checksums(spark, sf_dir):
+    return _checked(spark, sf_dir).select("name", "ok", "sha256")
+
+
+def _checked(spark, sf_dir):
     """Partitions as files: some of other bytes than the manifest says, some not there. The manifest is of an earlier reading."""
     whole = _id_files(spark, sf_dir, shared(spark, "acquired"))
     day = F.regexp_extract("name", "-([0-9]+)$", 1).cast("int")
     manifest = whole.select("name", F.when(day % 7 == 0, "other").otherwise(F.col("sha256")).alias("sha256"))
     have = _id_files(spark, sf_dir, shared(spark, "raw"), F.dayofmonth("date") % 11 != 0)
-    return readers.check_inventory(have, manifest).select("name", "ok", "sha256")
+    return readers.check_inventory(have, manifest)
 
 
 @query(TAPE + " SELECT symbol || '-' || CAST(date AS VARCHAR) AS path, length(string_agg(CAST(id AS VARCHAR), ',' ORDER BY id)) AS bytes FROM tape GROUP BY symbol, date")
@@ -127,24 +131,11 @@ def candle_files(spark, sf_dir):
     return df.withColumn("symbol", F.regexp_extract("file", "symbol=([^/]+)/", 1)).drop("file", "row_idx", "ignore")
 
 
-@query(TAPE + """, f AS (SELECT symbol || '-' || CAST(date AS VARCHAR) AS name, day(date) AS d, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS content FROM tape GROUP BY symbol, date)
- SELECT name, d % 7 <> 0 AND d % 11 <> 0 AS ok, CASE WHEN d % 11 <> 0 THEN sha256(content) END AS sha256 FROM f""")
-def checksums(spark, sf_dir):
-    """Partitions as files: some of other bytes than the manifest says, some not there."""
-    t = ad.tape(spark, sf_dir)
-    ids = F.array_join(F.transform(F.sort_array(F.collect_list("id")), lambda x: x.cast("string")), ",")  # of one partition
-    files = t.groupBy("symbol", "date").agg(ids.alias("text")).withColumn("name", F.concat_ws("-", "symbol", F.col("date").cast("string")))
-    day = F.dayofmonth("date")
-    expected = files.select("name", F.when(day % 7 == 0, "other").otherwise(F.sha2("text", 256)).alias("sha256"))
-    have = readers.inventory(files.where(day % 11 != 0).select(F.concat(F.lit("raw/"), "name").alias("path"), F.col("text").cast("binary").alias("content")))
-    return readers.check_inventory(have, expected).select("name", "ok", "sha256")
-
-
-@query(TAPE + " SELECT symbol || '-' || CAST(date AS VARCHAR) AS path, length(string_agg(CAST(id AS VARCHAR), ',' ORDER BY id)) AS bytes FROM tape GROUP BY symbol, date")
-def file_sizes(spark, sf_dir):
-    ids = F.array_join(F.transform(F.sort_array(F.collect_list("id")), lambda x: x.cast("string")), ",")  # of one partition
-    files = ad.tape(spark, sf_dir).groupBy("symbol", "date").agg(ids.alias("content")).select(F.concat_ws("-", "symbol", F.col("date").cast("string")).alias("path"), F.col("content").cast("binary").alias("content"))
-    return readers.inventory(files).select("path", "bytes")
+@query(FAULTS + """ SELECT symbol, date, "rows", CASE WHEN day(date) % 7 = 0 OR day(date) % 11 = 0 THEN 'failed' ELSE status END AS status, CASE WHEN day(date) % 11 = 0 THEN 'source is missing' WHEN day(date) % 7 = 0 THEN 'source checksum changed' END AS error FROM audit""")
+def trade_audit_verified(spark, sf_dir):
+    """Audits of partitions whose files are not what the manifest says have failed."""
+    audit = trades.audit(ad.tape(spark, sf_dir, faults=True)).withColumn("name", F.concat_ws("-", "symbol", F.col("date").cast("string")))
+    return trades.verified(audit, _checked(spark, sf_dir)).select("symbol", "date", "rows", "status", "error")
 
 
 @query(MANIFEST + " SELECT key, symbol, 'trades' AS category, CAST(date AS VARCHAR) AS date, status, sha256 AS source_sha256, length(sha256) AS bytes, CAST(NULL AS VARCHAR) AS repair_for FROM man")

@@ -131,6 +131,15 @@ def audit_partial(df: DataFrame) -> DataFrame:
     return combined(runs(df))
 
 
+def verified(results: DataFrame, checked: DataFrame) -> DataFrame:
+    """The results (with column name, the file) and an error: where a file's bytes are not those of the manifest, or it is not
+    there, its partition has failed, whatever its rows say. `checked` are the rows of readers.check_inventory.
+    """
+    bad = checked.where(~F.col("ok")).groupBy("name").agg(F.when(F.count("path") > 0, "source checksum changed").otherwise("source is missing").alias("error"))
+    df = results.join(bad, "name", "left")
+    return df.withColumn("status", F.when(F.col("error").isNotNull(), "failed").otherwise(F.col("status")))
+
+
 def precheck(df: DataFrame, n: int = 1000) -> DataFrame:
     """Whether the first n rows of each partition look right: positive numbers, times, flags, ids that strictly increase."""
     head = transitions(df.where(F.col("row_idx") < n))

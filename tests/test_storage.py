@@ -9,7 +9,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from marketlake.operators import bars, costs, coverage, features, macro, panel, quality
+from marketlake.operators import bars, costs, coverage, features, macro, panel, quality, trades
 from marketlake.sources import archive, layout, readers
 
 
@@ -154,6 +154,13 @@ def test_macro_records_come_back_whole(spark):
     assert (got["b"]["status"], got["b"]["resumed_from_initial_release"], got["b"]["etag"]) == ("failed", False, None) and set(got) == {"a", "b", "c"}
 
 
+def test_partitions_of_changed_files_have_failed(spark):
+    results = spark.createDataFrame([("a", "audited_all_rows"), ("b", "audited_all_rows"), ("c", "failed"), ("d", "audited_all_rows")], "name string, status string")
+    checked = spark.createDataFrame([("a", "p", True), ("b", "p", False), ("c", "p", True), ("d", None, False)], "name string, path string, ok boolean")
+    got = {r.name: (r.status, r.error) for r in trades.verified(results, checked).collect()}
+    assert got == {"a": ("audited_all_rows", None), "b": ("failed", "source checksum changed"), "c": ("failed", None), "d": ("failed", "source is missing")}
+
+
 def test_trade_coverage(spark):
     want = spark.createDataFrame([("A/1", "A"), ("A/2", "A"), ("B/1", "B")], "key string, symbol string")
     audits = spark.createDataFrame([("A", 10, "audited_all_rows"), ("A", 0, "failed")], "symbol string, rows long, status string")
