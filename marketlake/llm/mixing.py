@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import n_words, written
+from marketlake.llm.common import n_words, sieve, sift, written
 
 #: Parts of a source's pseudo-random order that are summed apart, so that no task holds a whole source.
 PARTS = 4096
@@ -117,11 +117,16 @@ def mixed(docs: DataFrame) -> DataFrame:
     """The mix itself: every row as often as it is taken, in training order, with the columns as they are.
 
     Rows are matched to the plan by id, text and source, nulls included. Of rows equal in all three as many are taken as the
-    plan takes, each as often as one of the plan's rows.
+    plan takes, each as often as one of the plan's rows; only such rows are numbered, and moved for it.
     """
-    nth = lambda order: F.row_number().over(Window.partitionBy("k").orderBy(order))  # noqa: E731  (one row but for repeated ones)
+    nth = lambda order: F.row_number().over(Window.partitionBy("k").orderBy(order))
     p = plan(docs, split=False).select(F.xxhash64("order", "source").alias("k"), "positions", "times")
-    p = p.withColumn("nth", nth(F.desc("times"))).where("times > 0").drop("times")
+    p = written(p.withColumn("nth", nth(F.desc("times"))), "plan")
+    repeated = sieve(p.where("nth = 2"), "k")
+    p = p.where("times > 0").select("k", "nth", "positions")
     packed = docs.select(F.struct("*").alias("row"), F.xxhash64("doc_id", "text").alias("key")).withColumn("k", F.xxhash64("key", "row.source"))
-    df = packed.withColumn("nth", nth("key")).join(p, ["k", "nth"]).withColumn("at", F.explode("positions"))
+    single = sift(packed, "k", repeated, out=True).join(p.where("nth = 1").drop("nth"), "k")
+    again = sift(packed, "k", repeated).withColumn("nth", nth("key")).join(p, ["k", "nth"])
+    names = ["row", "key", "positions"]
+    df = single.select(*names).unionByName(again.select(*names)).withColumn("at", F.explode("positions"))
     return df.orderBy("at", "key").select("row.*")
