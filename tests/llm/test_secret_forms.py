@@ -38,7 +38,7 @@ def test_forms_go_and_clean_texts_stay(spark):
 
 
 def held_out(n=240, seed=11):
-    """Findings in ways of writing that `secrets.WRITTEN` and `secrets.HARMLESS` do not have: (text, value, is a secret)."""
+    """Findings in other wordings than `secrets.WRITTEN` and `secrets.HARMLESS`, some close to theirs (bearer, `-p`, "is"): (text, value, is a secret)."""
     r = random.Random(seed)
     abc = "abcdefghijklmnopqrstuvwxyz"
     key = lambda k: "".join(r.choice(abc + abc.upper() + "0123456789") for _ in range(k - 2)) + r.choice("0123456789") + r.choice(abc)
