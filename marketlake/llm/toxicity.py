@@ -3,13 +3,16 @@
 Tokens are words (runs of letters, in lower case; a letter of a script without spaces stands alone). A token's score is the
 log-odds of toxic against clean documents that hold it, with Dirichlet priors in a chain: a word's prior mean is the rate of
 its first seven letters, theirs the rate of the first six, and so on down to four, theirs even odds. A word that was never
-seen so has the score of its beginning. From every token a small penalty is taken, so that clean text scores below zero on
-average.
+seen so has the score of its beginning. The scores say what holding a word means, so its k-th occurrence in a text counts a
+k-th of them. From every token a penalty is taken, so that clean text scores below zero: the everyday words of a language or
+kind of text that is toxic a little more often all have small positive scores, which long texts would add up without end. The
+penalty is therefore above the mean score of a token in 99 of 100 clean documents.
 
-A linear scan gives all maximal scoring segments of a whole text. The lengths of scores that clean documents reach by chance
-follow an exponential tail, score s in a text of n tokens being expected K n exp(-lambda s) times; lambda and K come from
-clean documents that the scores were not learnt from (four folds). What a text's segments exceed chance by is added up, and
-a logistic curve, fitted to a histogram of that sum by label, gives the probability.
+A linear scan gives all maximal scoring segments of a whole text. The scores that clean documents reach by chance have an
+exponential tail, score s in a text of n tokens being expected K n exp(-lambda s) times; lambda and K come from the highest
+segments, one to four documents, of clean documents, and lower segments count nothing. Penalty and tail are taken from documents that the scores were not
+learnt from (four folds). What a text's segments exceed chance by is added up, and a logistic curve, fitted to a histogram of
+that sum by label, gives the probability. A passage is a segment that fewer than one clean text in a hundred has by chance.
 
 The fit takes about `per_label` labelled rows of each label, picked by the hash of their id; equal texts of a label count
 once. At most `vocab` beginnings and words that differ most between the labels make the model, so it may be broadcast; words
@@ -41,12 +44,18 @@ HAS_ALONE = re.compile(f"[{ALONE}]")
 LONG = 40
 #: Weight of the prior in documents, and the least log-likelihood ratio of a piece that the model keeps.
 PRIOR, EVIDENT = 4.0, 12.0
-#: The penalty of a token, at least: a score of 4 reaches over 100 tokens.
-PENALTY = 0.04
+#: The penalty of a token, at least (a score of 4 reaches over 100 tokens); this much it is above the mean score of a token in
+#: the given share of clean documents. A token counts 1 at most in a mean, so that words that tell leave it low.
+PENALTY, BELOW, ORDINARY = 0.04, 0.99, 1.0
+#: Means by thousandths; the clean segments that make the tail are one to so many documents, each with so much above the least.
+MEANS, TAIL, REACH = 1000, 4, 8.0
+#: How often chance gives a clean text such a segment, at most, for it to be a passage.
+CHANCE = 0.01
 #: Words that a task remembers the scores of.
 MEMORY = 200_000
-#: The histogram of the calibration: bins of a half up to 40.
+#: The histogram of the calibration: bins of a half up to 40; that of clean segments: bins of a twentieth up to 100.
 BIN, BINS = 0.5, 80
+FINE, FINES = 0.05, 2000
 
 
 def word_pattern(text: str) -> re.Pattern[str]:
@@ -109,45 +118,77 @@ class Scores(dict):
             self[word] = known
         return known
 
+    def scored(self, text: str | None) -> tuple[int, list[int], list[float]]:
+        """The number of tokens, and the places and scores of those that score; a word's k-th occurrence scores a k-th."""
+        words = word_pattern(text).findall(text.lower()) if text else []
+        scores = list(map(self.__getitem__, words))
+        at = [i for i, s in enumerate(scores) if s]
+        times: dict[str, int] = {}
+        for i in at:
+            if scores[i] > PENALTY:
+                k = times[words[i]] = times.get(words[i], 0) + 1
+                scores[i] /= k
+        return len(words), at, [scores[i] for i in at]
+
+    def mean(self, text: str | None) -> float:
+        """The mean score of a token, each ORDINARY at most."""
+        n, _, scores = self.scored(text)
+        return sum(min(s, ORDINARY) for s in scores) / max(n, 1)
+
     def scan(self, text: str | None) -> tuple[int, list[tuple[int, int, float]]]:
         """The number of tokens, and the maximal segments by token."""
-        words = word_pattern(text).findall(text.lower()) if text else []
-        scored = list(map(self.__getitem__, words))
-        at = [i for i, s in enumerate(scored) if s]
-        return len(words), segments(at, [scored[i] for i in at], self.penalty)
+        n, at, scores = self.scored(text)
+        return n, segments(at, scores, self.penalty)
 
 
-def scores_of(rows: list[tuple[str, int, int]], n_toxic: int, n_clean: int, clean_tokens: float) -> Scores:
-    """From (piece, toxic documents, clean documents) of all labelled documents; clean_tokens: tokens of a clean document."""
+def scores_of(rows: list[tuple[str, int, int]], n_toxic: int, n_clean: int) -> Scores:
+    """From (piece, toxic documents, clean documents) of all labelled documents, with the least penalty."""
     ratio = n_toxic / n_clean
     share: dict[str, float] = {}
     table: dict[str, float] = {}
-    drawn = 0.0
     for p, t, c in sorted(rows, key=lambda r: (not r[0].endswith("*"), len(r[0]), r[0])):  # beginnings first
         stem = p.rstrip("*")
         above = next((share[stem[:n] + "*"] for n in PREFIXES if len(stem) > n and stem[:n] + "*" in share), 0.5)
         yes, no = t + PRIOR * above, c * ratio + PRIOR * (1 - above)
         share[p] = yes / (yes + no)
         table[p] = math.log(yes / no)
-        drawn += max(table[p], 0.0) * c / n_clean
-    return Scores(table, max(PENALTY, 2 * drawn / max(clean_tokens, 1.0)))
+    return Scores(table, PENALTY)
+
+
+def highest(counts: np.ndarray, wanted: float) -> int:
+    """The last bin that at least `wanted` lie in or above; the first if fewer are there."""
+    above = np.cumsum(counts[::-1])[::-1]
+    return int(max(np.count_nonzero(above >= wanted) - 1, 0))
+
+
+def tail_of(counts: np.ndarray, documents: int, tokens: int) -> tuple[float, float, float]:
+    """lambda, log K and the least score of the tail, from the counts by FINE of clean segments' scores: the mean excess over the least.
+
+    As if one more segment with an excess of 1 had been seen. An excess counts REACH at most, so wrong labels move it little.
+    """
+    first = highest(counts, max(documents / TAIL, 1))
+    n = counts[first:].sum()
+    excess = np.minimum((np.arange(len(counts) - first) + 0.5) * FINE, REACH) @ counts[first:]
+    decay, least = float((n + 1) / (excess + 1)), first * FINE
+    return decay, math.log((n + 1) / max(tokens, 1)) + decay * least, least
 
 
 class Model:
-    """Scores of tokens and the calibration: decay (lambda), scale (K), and the logistic curve's two numbers."""
+    """Scores of tokens and the calibration: decay (lambda), scale (log K), the tail's least score, and the logistic curve's two numbers."""
 
-    def __init__(self, scores: Scores, decay: float, scale: float, curve: tuple[float, float]):
-        self.scores, self.decay, self.scale, self.curve = scores, decay, scale, curve
+    def __init__(self, scores: Scores, decay: float, scale: float, least: float, curve: tuple[float, float]):
+        self.scores, self.decay, self.scale, self.least, self.curve = scores, decay, scale, least, curve
 
     def judge(self, text: str | None) -> tuple[float, list[tuple[int, int, float, float]]]:
-        """The probability, and the segments (first token, last token, score, times expected by chance) that exceed chance."""
+        """The probability, and the passages (first token, last token, score, times expected by chance)."""
         n, found = self.scores.scan(text)
-        kept = []
+        kept, total = [], 0.0
         for first, last, s in found:
-            expected = self.scale * n * math.exp(-self.decay * s)
-            if expected < 1:
-                kept.append((first, last, s, expected))
-        total = min(sum(-math.log(max(e, 1e-300)) for *_, e in kept), BIN * BINS)
+            over = self.decay * s - self.scale - math.log(n) if s >= self.least else 0.0
+            total += max(over, 0.0)
+            if over > -math.log(CHANCE):
+                kept.append((first, last, s, math.exp(-over)))
+        total = min(total, BIN * BINS)
         a, b = self.curve
         return 1 / (1 + math.exp(-(a + b * total))), kept
 
@@ -190,7 +231,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int = 20_0
         return None
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """piece, fold, toxic and clean documents that hold it, and under an empty piece the tokens of clean documents."""
+        """piece, fold, toxic and clean documents that hold it."""
         held: Counter[tuple[str, int, int]] = Counter()
 
         def flush() -> pa.RecordBatch:
@@ -204,7 +245,6 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int = 20_0
             for fold, yes, text in zip(*(b.column(c).to_pylist() for c in ("fold", "toxic", "text")), strict=True):
                 words = word_pattern(text).findall(text.lower())
                 held.update((p, fold, yes) for p in {p for w in set(words) for p in pieces(w)})
-                held[("", fold, yes)] += len(words)
                 if len(held) > 500_000:
                     yield flush()
         yield flush()
@@ -216,17 +256,29 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int = 20_0
     both = F.col("t") + F.col("c")
     part = lambda n, expected: F.when(F.col(n) > 0, F.col(n) * F.log(F.col(n) / expected)).otherwise(0.0)
     evidence = 2 * (part("t", both * share) + part("c", both * (1 - share)))
-    counted = written(counted.withColumn("evidence", evidence).where((F.col("piece") == "") | (F.col("evidence") >= EVIDENT)), "pieces")
-    tokens = counted.where("piece = ''").first()
-    rows = counted.where("piece <> ''").orderBy(F.desc("evidence"), "piece").limit(vocab).collect()  # at most vocab
+    counted = written(counted.withColumn("evidence", evidence).where(F.col("evidence") >= EVIDENT), "pieces")
+    rows = counted.orderBy(F.desc("evidence"), "piece").limit(vocab).collect()  # at most vocab
 
     def without(fold: int | None) -> Scores:
         """The scores, learnt from all folds but one."""
         left = lambda r, k: sum(r[f"{k}{f}"] for f in range(FOLDS) if f != fold)
         yes, no = (max(1, sum(n for (f, t), n in of.items() if t == k and f != fold)) for k in (1, 0))
-        return scores_of([(r["piece"], left(r, "toxic"), left(r, "clean")) for r in rows], yes, no, left(tokens, "clean") / no)
+        return scores_of([(r["piece"], left(r, "toxic"), left(r, "clean")) for r in rows], yes, no)
+
+    parted = [without(f) for f in range(FOLDS)]
+    first = spark.sparkContext.broadcast(parted)
+
+    def mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in text_slices(batches, "text"):
+            got = [first.value[f].mean(t) for f, t in zip(b.column("fold").to_pylist(), b.column("text").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(got, pa.float64())], ["mean"])
 
-    folds = spark.sparkContext.broadcast([without(f) for f in range(FOLDS)])
+    means = np.zeros(MEANS + 1, np.int64)
+    of_clean = picked.where("toxic = 0").mapInArrow(mean, "mean double")
+    for r in of_clean.groupBy(F.greatest(F.lit(0), F.ceil(F.col("mean") * MEANS)).alias("bin")).agg(F.count("*").alias("n")).collect():  # at most MEANS + 1
+        means[r["bin"]] += r["n"]
+    penalty = PENALTY + highest(means, (1 - BELOW) * n_clean) / MEANS
+    folds = spark.sparkContext.broadcast([Scores(s.table, penalty) for s in parted])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_slices(batches, "text"):
@@ -234,16 +286,20 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int = 20_0
             yield pa.RecordBatch.from_arrays([b.column("toxic"), pa.array([n for n, _ in got], pa.int64()), pa.array([[s for *_, s in found] for _, found in got], pa.list_(pa.float64()))], ["toxic", "n", "found"])
 
     scanned = written(picked.mapInArrow(scan, "toxic int, n long, found array<double>"), "scanned")
+    clean = scanned.where("toxic = 0")
+    size = clean.agg(F.sum("n").alias("n"), F.count("*").alias("docs")).first()
+    counts = np.zeros(FINES + 1, np.int64)
+    fine = clean.select(F.explode("found").alias("s")).groupBy(F.least(F.lit(FINES), F.floor(F.col("s") / FINE)).alias("bin"))
+    for r in fine.agg(F.count("*").alias("n")).collect():  # at most FINES + 1
+        counts[r["bin"]] += r["n"]
+    decay, scale, least = tail_of(counts, size["docs"], size["n"])
     add = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
-    clean = scanned.where("toxic = 0").agg(F.sum("n").alias("n"), F.sum(F.size("found")).alias("k"), F.sum(add(F.col("found"))).alias("s")).first()
-    decay = (clean["k"] + 1) / ((clean["s"] or 0.0) + 1)  # as if one more segment of score 1 had been seen
-    scale = (clean["k"] + 1) / max(clean["n"], 1)
-    over = F.transform("found", lambda s: F.greatest(F.lit(0.0), decay * s - F.log(F.greatest(F.lit(1e-300), scale * F.col("n")))))
+    over = F.transform("found", lambda s: F.when(s >= least, F.greatest(F.lit(0.0), decay * s - scale - F.log("n"))).otherwise(0.0))
     bins = scanned.select("toxic", F.least(F.lit(BINS), F.floor(add(over) / BIN)).alias("bin")).groupBy("toxic", "bin").agg(F.count("*").alias("n")).collect()  # at most two a bin
     hist = np.zeros((2, BINS + 1))
     for r in bins:
         hist[r["toxic"], r["bin"]] += r["n"]
-    return Model(without(None), decay, scale, logistic(np.r_[0.0, np.arange(1, BINS + 1) + 0.5] * BIN, hist[0], hist[1]))
+    return Model(Scores(without(None).table, penalty), decay, scale, least, logistic(np.r_[0.0, np.arange(1, BINS + 1) + 0.5] * BIN, hist[0], hist[1]))
 
 
 PASSAGES = "array<struct<start: int, end: int, score: double, expected: double>>"

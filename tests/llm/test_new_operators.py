@@ -92,6 +92,44 @@ def test_toxicity_finds_what_is_planted(spark):
         assert all(re.search("wretch|vermin|blaggard|ölkopf", text[i][s.start : s.end]) and s.expected < 1 for s in r.passages)
 
 
+def test_toxicity_of_long_texts_of_a_language_that_is_toxic_more_often(spark):
+    """Everyday words that tell a little about the label stand in every text of their language, in long ones many times."""
+    rng = random.Random(3)
+    everyday = ["".join(rng.choice("aeioumnrst") for _ in range(rng.randint(2, 6))) for _ in range(120)]
+    rows, truth = [], {}
+    for i in range(1500):
+        own = everyday[:60] if i % 2 else everyday[60:]
+        w = [rng.choice(own) for _ in range(rng.choice([30, 200, 1500]))]
+        truth[i] = int(rng.random() < (0.3 if i % 2 else 0.03))
+        if truth[i]:
+            for _ in range(2):
+                w.insert(rng.randrange(len(w)), rng.choice(["wretch", "vermin", "blaggard"]))
+        rows.append((i, " ".join(w)))
+    labels = spark.createDataFrame(list(truth.items()), "doc_id long, toxic int")
+    got = [r for r in toxicity.report(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), labels).collect() if r.held_out]
+    yes, no = ([r for r in got if truth[r.doc_id] == k] for k in (1, 0))
+    ahead = lambda of: sum((of(y) > of(n)) + (of(y) == of(n)) / 2 for y in yes for n in no) / len(yes) / len(no)
+    assert len(yes) > 30 and ahead(lambda r: r.score) > 0.99 and ahead(lambda r: r.n_passages) > 0.95
+    assert sum(r.predicted for r in no) <= 0.02 * len(no) and sum(r.predicted for r in yes) >= 0.95 * len(yes)
+
+
+def test_repeated_words_tell_less():
+    s = toxicity.Scores({"ha": 1.0, "vermin": 6.0}, 0.1)
+    assert s.scan("ha " * 400)[1][0][2] < 3 and s.scan("vermin vermin x")[1] == [(0, 1, 6.0 + 3.0 - 0.2)]
+    assert s.mean("vermin x x x") == 0.25 and s.mean(None) == s.mean("") == 0
+
+
+def test_tail_of_chance_scores():
+    """Of one exponential tail that is cut off anywhere, decay and scale come back; a few wrong labels move them little."""
+    rng = np.random.default_rng(1)
+    s = rng.exponential(1 / 1.7, 40_000)
+    for wrong in (0, 20):
+        at = np.minimum(np.r_[s, np.full(wrong, 60.0)] // toxicity.FINE, toxicity.FINES).astype(int)
+        decay, scale, least = toxicity.tail_of(np.bincount(at, minlength=toxicity.FINES + 1), 10_000, 1_000_000)
+        assert abs(decay - 1.7) < 0.2 and 1.5 < least < 1.7 and abs(scale - math.log(40_000 / 1_000_000)) < 0.3
+    assert toxicity.tail_of(np.zeros(toxicity.FINES + 1, int), 5, 0) == (1.0, 0.0, 0.0)
+
+
 def test_toxicity_scores_do_not_see_held_out_labels(spark):
     rows, truth = planted(200)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
