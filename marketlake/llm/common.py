@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that a Python task handles at a time.
 SLICE_BYTES = 4 << 20
-#: Bits of a sieve (a power of two): a table of at most SIEVE / 64 rows, however many keys go in.
-SIEVE = 1 << 24
+#: Bits of a sieve (a power of two): a table of at most SIEVE / PAGE rows of PAGE bits each, however many keys go in.
+SIEVE, PAGE = 1 << 24, 1 << 12
 #: Spark's setting by which a query's shuffle files are deleted when it ends.
 SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -64,10 +64,17 @@ def release(*tables: DataFrame) -> None:
 
 
 def sieve(keys: DataFrame, column: str) -> DataFrame:
-    """sieve_word, sieve_bits: a bit for the hash of each key. Bounded in size, so it may be broadcast; `sift` tells keys by it."""
+    """sieve_page, sieve_words: a bit for the hash of each key. Bounded in size, so it may be broadcast; `sift` tells keys by it.
+
+    A row is a page of 64 words, so the driver, which holds all rows and a hash table of them, needs little more than the bits.
+    """
     bit = F.pmod(F.xxhash64(column), F.lit(SIEVE))
-    words = keys.select(F.shiftright(bit, 6).alias("sieve_word"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(bit, F.lit(64)).cast("int")).alias("b"))
-    return words.groupBy("sieve_word").agg(F.bit_or("b").alias("sieve_bits"))
+    words = keys.select(F.shiftright(bit, 6).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(bit, F.lit(64)).cast("int")).alias("b"))
+    words = words.groupBy("word").agg(F.bit_or("b").alias("b"))
+    n = PAGE // 64
+    place = F.struct(F.pmod("word", F.lit(n)).cast("int").alias("at"), "b")
+    pages = words.groupBy(F.floor(F.col("word") / n).alias("sieve_page")).agg(F.map_from_entries(F.collect_list(place)).alias("m"))
+    return pages.select("sieve_page", F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0).cast("long"))).alias("sieve_words"))
 
 
 def sift(rows: DataFrame, column: str, held: DataFrame, out: bool = False) -> DataFrame:
@@ -77,9 +84,10 @@ def sift(rows: DataFrame, column: str, held: DataFrame, out: bool = False) -> Da
     bits, all in the end. Whoever joins what passes gets the same result either way, at the cost of one shuffle of it.
     """
     bit = F.pmod(F.xxhash64(column), F.lit(SIEVE))
-    df = rows.withColumns({"sieve_at": F.shiftright(bit, 6), "sieve_bit": F.pmod(bit, F.lit(64)).cast("int")})
-    df = df.join(F.broadcast(held), F.col("sieve_at") == F.col("sieve_word"), "left")
-    hit = F.coalesce(F.call_function("shiftrightunsigned", F.col("sieve_bits"), F.col("sieve_bit")).bitwiseAND(1) == 1, F.lit(False))
+    df = rows.withColumns({"sieve_at": F.floor(bit / PAGE), "sieve_bit": F.pmod(bit, F.lit(PAGE)).cast("int")})
+    df = df.join(F.broadcast(held), F.col("sieve_at") == F.col("sieve_page"), "left")
+    word = F.get("sieve_words", F.shiftright("sieve_bit", 6))
+    hit = F.coalesce(F.call_function("shiftrightunsigned", word, F.pmod("sieve_bit", F.lit(64)).cast("int")).bitwiseAND(1) == 1, F.lit(False))
     return df.where(~hit if out else hit).select(*rows.columns)
 
 

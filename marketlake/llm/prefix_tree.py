@@ -314,8 +314,8 @@ def linked(docs: DataFrame, size: int = 5, threshold: str = "4/5", id_col: str =
 
         return headed.groupBy("hub", "part", "other").applyInArrow(group, f"hub {kind}, part int, other int, node {kind}, label {kind}")
 
-    def settle(dealt: DataFrame) -> DataFrame:
-        all_ = written(dealt, "dealt")
+    def settle(all_: DataFrame) -> DataFrame:
+        """Links of groups; their table goes."""
         dealt = written(hopeful(all_).distinct(), "hopeful")
         release(all_)
         # texts that may be of use, each once however often its row repeats
@@ -339,13 +339,15 @@ def linked(docs: DataFrame, size: int = 5, threshold: str = "4/5", id_col: str =
         release(dealt)
         return links
 
-    links = settle(dealt)
+    links = settle(written(dealt, "dealt"))
     joined = components(links)
     large = written(met.join(chunks.where("chunks > 1"), "hub").join(joined.withColumnRenamed("node", "n_"), F.col("node") == F.col("n_"), "left").select("hub", "node", "n", F.coalesce("component", "node").alias("label")), "large")
     release(met)
-    rest = _apart(large)
+    rest = written(_apart(large), "dealt")
     if not rest.isEmpty():
-        joined = components(links.union(settle(rest)))
+        more = settle(rest)
+        # what the first links joined is told by its stars
+        joined = joined if more.isEmpty() else components(joined.toDF("a", "b").union(more))
     named = nodes.select("mark", "node").join(joined.withColumnRenamed("node", "n_"), F.col("node") == F.col("n_"), "left").select("mark", F.coalesce("component", "node").alias("c"))
     df = described.select("doc_id", "n", "mark").join(named, "mark", "left")
     return df.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("c", "doc_id").alias("component_id"))

@@ -104,6 +104,14 @@ def test_sieve(spark):
     assert inside | outside == set(range(6000)) and not inside & outside and inside >= set(range(0, 3000, 3)) and len(inside) < 1100
 
 
+def test_full_sieve_is_small(spark):
+    """A sieve of many keys reaches the driver as a few thousand rows, of little more than its 2 MB of bits."""
+    held = common.sieve(spark.range(1_000_000), "id").collect()
+    assert len(held) == len({r[0] for r in held}) <= 4096 and {len(r[1]) for r in held} == {64}
+    bits = sum(int(w).bit_count() if w >= 0 else (int(w) + (1 << 64)).bit_count() for r in held for w in r[1])
+    assert 960_000 < bits < 980_000  # 2^24 (1 - exp(-1e6 / 2^24)), the keys' distinct hashes
+
+
 def test_repeated_id_sends_each_text_once(spark):
     """500 equal rows of one id and two near copies: a task gets three texts, not 502."""
     base = [f"w{i}" for i in range(60)]
